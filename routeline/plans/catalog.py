@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from routeline import contracts as C
-from routeline.operators import alerting, bronze, delivery, dims, fleet, shipments, staging
+from routeline.operators import (
+    alerting, bronze, delivery, dims, fleet, serving, shipments, staging,
+)
 from routeline.functions.values import rounded
 from routeline.sources import feeds
 
@@ -358,3 +360,154 @@ def dim_customers(spark, root):
 @query
 def dim_sellers(spark, root):
     return dims.dim_sellers(_scans(spark, root))
+
+
+# ---- last mile ----------------------------------------------------------------------------------
+
+def _agents(spark, root):
+    return feeds.agent_positions(spark, root)
+
+
+def _deliveries(spark, root):
+    return feeds.delivery_events(spark, root)
+
+
+@query
+def stg_agent_positions(spark, root):
+    return staging.stg_agent_positions(_agents(spark, root))
+
+
+@query
+def stg_delivery_events(spark, root):
+    return staging.stg_delivery_events(_deliveries(spark, root))
+
+
+@query
+def agent_distance(spark, root):
+    return delivery.agent_distance(_agents(spark, root))
+
+
+@query
+def delivery_metrics(spark, root):
+    return delivery.delivery_metrics(_deliveries(spark, root))
+
+
+def _shifts(spark, root):
+    return delivery.agent_shifts(_agents(spark, root), _deliveries(spark, root))
+
+
+@query
+def agent_shifts(spark, root):
+    return _shifts(spark, root)
+
+
+@query
+def agent_ranks(spark, root):
+    return _shifts(spark, root).select(
+        "agent_id", "zone_id", "event_date", "successful_deliveries", "zone_rank",
+        "overall_rank", "is_top_performer")
+
+
+@query
+def zone_performance(spark, root):
+    return delivery.zone_performance(_shifts(spark, root))
+
+
+@query
+def top_performers(spark, root):
+    return serving.top_performers(_shifts(spark, root))
+
+
+@query
+def top_agents(spark, root):
+    return serving.top_agents(_shifts(spark, root))
+
+
+def _int_shifts(spark, root):
+    return delivery.int_agent_shifts(staging.stg_agent_positions(_agents(spark, root)),
+                                     staging.stg_delivery_events(_deliveries(spark, root)))
+
+
+@query
+def int_agent_shifts(spark, root):
+    return _int_shifts(spark, root)
+
+
+def _fct_agents(spark, root):
+    return delivery.fct_agent_daily(_int_shifts(spark, root))
+
+
+@query
+def fct_agent_daily(spark, root):
+    return _fct_agents(spark, root)
+
+
+@query
+def fct_zone_daily(spark, root):
+    return delivery.fct_zone_daily(_fct_agents(spark, root))
+
+
+def _estimate(spark, root):
+    return delivery.shift_summary_estimate(_agents(spark, root), _deliveries(spark, root))
+
+
+@query
+def shift_estimate(spark, root):
+    return _estimate(spark, root)
+
+
+@query
+def zone_estimate(spark, root):
+    return delivery.zone_summary_estimate(_estimate(spark, root))
+
+
+@query
+def area_performance(spark, root):
+    return delivery.area_performance(_deliveries(spark, root))
+
+
+@query
+def shifts_from_attempts(spark, root):
+    return delivery.shifts_from_attempts(_deliveries(spark, root))
+
+
+@query
+def agent_stops(spark, root):
+    return delivery.detect_stops(_agents(spark, root))
+
+
+@query
+def stop_matches(spark, root):
+    return delivery.match_stops(delivery.detect_stops(_agents(spark, root)),
+                                _deliveries(spark, root))
+
+
+# ---- alerts and roll-ups ------------------------------------------------------------------------
+
+def _unified(spark, root):
+    return alerting.unify_alerts(
+        alerting.fleet_alert_records(feeds.alerts(spark, root)),
+        alerting.shipment_exception_records(_scans(spark, root)),
+        alerting.delivery_failure_records(_deliveries(spark, root)))
+
+
+@query
+def alerts_unified(spark, root):
+    return _unified(spark, root)
+
+
+@query
+def alerts_routed(spark, root):
+    return alerting.route_alerts(_unified(spark, root)).groupBy(
+        "channel", "module", "severity").agg(F.count(F.lit(1)).alias("alerts"))
+
+
+@query
+def hourly_rollup(spark, root):
+    return serving.rollup_events(_agents(spark, root), "1 hour", ("zone_id",), "agent_id",
+                                 ("speed_kmh",))
+
+
+@query
+def daily_rollup(spark, root):
+    return serving.rollup_events(_scans(spark, root), "1 day", ("hub_id",), "shipment_id")

@@ -184,7 +184,7 @@ def seconds_between(a: str, b: str) -> str:
 def haversine(lat1: str, lng1: str, lat2: str, lng2: str) -> str:
     h = (f"(pow(sin(radians({lat2} - {lat1}) / 2), 2) + cos(radians({lat1})) * "
          f"cos(radians({lat2})) * pow(sin(radians({lng2} - {lng1}) / 2), 2))")
-    return f"(6371e0 * 2 * asin(sqrt(least(1e0, {h}))))"
+    return f"(6371e0 * 2 * asin(sqrt(case when {h} > 1 then 1e0 else {h} end)))"
 
 
 def flat_km(lat1: str, lng1: str, lat2: str, lng2: str, at: str) -> str:
