@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -97,6 +98,34 @@ def fence_cells(fences: DataFrame, cell_degrees: float) -> DataFrame:
                                                    .alias("_near"))
 
 
+_FENCE_LIST = "array<struct<id:string,type:string>>"
+
+
+def fences_at(lat: Column, lng: Column) -> Column:
+    """The fences of the joined cell (``_near``) that contain a point."""
+    close = F.filter("_near", lambda f: geo.haversine_km(
+        lat, lng, f["center_lat"], f["center_lng"]) <= f["radius_km"])
+    ids = F.transform(close, lambda f: F.struct(f["geofence_id"].alias("id"),
+                                                f["geofence_type"].alias("type")))
+    return F.coalesce(ids, F.array().cast(_FENCE_LIST))
+
+
+def crossings(df: DataFrame, inside: str, was: str) -> DataFrame:
+    """ENTRY and EXIT rows from the fences a vehicle is in and was in."""
+    before = F.coalesce(F.col(was), F.array().cast(_FENCE_LIST))
+
+    def turned(fences: Column, kind: str) -> Column:
+        return F.transform(fences, lambda f: F.struct(f.alias("fence"), F.lit(kind).alias("kind")))
+
+    changes = F.concat(turned(F.array_except(inside, before), "ENTRY"),
+                       turned(F.array_except(before, inside), "EXIT"))
+    place = ["event_id", "vehicle_id", "event_timestamp", "latitude", "longitude"]
+    return df.select(*place, F.explode(changes).alias("c")).select(
+        "event_id", "vehicle_id", F.col("c")["fence"]["id"].alias("geofence_id"),
+        F.col("c")["fence"]["type"].alias("geofence_type"),
+        F.col("c")["kind"].alias("event_type"), "event_timestamp", "latitude", "longitude")
+
+
 def geofence_events(positions: DataFrame, fences: DataFrame, cell_degrees: float = 0.05,
                     line: Timeline = Timeline(keys=("vehicle_id",))) -> DataFrame:
     """ENTRY and EXIT of every vehicle at every circular fence, exits with the dwell time.
@@ -108,32 +137,13 @@ def geofence_events(positions: DataFrame, fences: DataFrame, cell_degrees: float
         "event_id", "vehicle_id", "event_timestamp", "latitude", "longitude",
         geo.grid_index(F.col("latitude"), cell_degrees).alias("cell_y"),
         geo.grid_index(F.col("longitude"), cell_degrees).alias("cell_x"))
-    close = F.filter("_near", lambda f: geo.haversine_km(
-        F.col("latitude"), F.col("longitude"), f["center_lat"], f["center_lng"])
-        <= f["radius_km"])
-    inside = F.coalesce(F.transform(close, lambda f: F.struct(f["geofence_id"].alias("id"),
-                                                              f["geofence_type"].alias("type"))),
-                        F.array().cast("array<struct<id:string,type:string>>"))
     placed = here.join(fence_cells(fences, cell_degrees), ["cell_y", "cell_x"], "left") \
-        .withColumn("inside", inside).drop("_near", "cell_y", "cell_x")
+        .withColumn("inside", fences_at(F.col("latitude"), F.col("longitude"))) \
+        .drop("_near", "cell_y", "cell_x")
     linked = with_neighbours(placed, line, previous={"was": "inside"})
-    was = F.coalesce(F.col("was"), F.array().cast("array<struct<id:string,type:string>>"))
-    crossings = F.concat(
-        F.transform(F.array_except("inside", was),
-                    lambda f: F.struct(f.alias("fence"), F.lit("ENTRY").alias("kind"))),
-        F.transform(F.array_except(was, "inside"),
-                    lambda f: F.struct(f.alias("fence"), F.lit("EXIT").alias("kind"))))
-    events = linked.select("event_id", "vehicle_id", "event_timestamp", "latitude", "longitude",
-                           F.explode(crossings).alias("c")).select(
-        "event_id", "vehicle_id", "event_timestamp", "latitude", "longitude",
-        F.col("c")["fence"]["id"].alias("geofence_id"),
-        F.col("c")["fence"]["type"].alias("geofence_type"), F.col("c")["kind"].alias("kind"))
     paired = with_neighbours(
-        events, Timeline(keys=("vehicle_id", "geofence_id"), hot_rows=line.hot_rows,
-                         slice_seconds=line.slice_seconds),
-        previous={"since": "event_timestamp"})
-    dwell = F.when(F.col("kind") == "EXIT",
+        crossings(linked, "inside", "was"),
+        replace(line, keys=("vehicle_id", "geofence_id")), previous={"since": "event_timestamp"})
+    dwell = F.when(F.col("event_type") == "EXIT",
                    elapsed(F.col("since"), F.col("event_timestamp"), "seconds"))
-    return paired.select("event_id", "vehicle_id", "geofence_id", "geofence_type",
-                         F.col("kind").alias("event_type"), "event_timestamp", "latitude",
-                         "longitude", dwell.alias("dwell_time_seconds"))
+    return paired.withColumn("dwell_time_seconds", dwell).drop("since")

@@ -126,13 +126,13 @@ def quantiles(df: DataFrame, group: str, value: str,
     counts = df.filter(F.col(value).isNotNull()).groupBy(
         F.col(group).alias("g"), F.col(value).cast("double").alias("v")).agg(
         F.count(F.lit(1)).alias("n"))
-    stats = counts.groupBy("g").agg(F.min("v").alias("lo"), F.max("v").alias("hi"),
-                                    F.sum("n").alias("total"))
+    stats = counts.groupBy(F.col("g").alias("sg")).agg(
+        F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("n").alias("total"))
     width = (F.col("hi") - F.col("lo")) / float(buckets)
     bucket = F.when(width > 0, F.least(F.floor((F.col("v") - F.col("lo")) / width),
                                        F.lit(buckets - 1))).otherwise(0)
-    placed = counts.join(stats, counts.g.eqNullSafe(stats.g)).select(
-        counts.g, "v", "n", "total", bucket.alias("b"))
+    placed = counts.join(stats, F.col("g").eqNullSafe(F.col("sg"))).select(
+        "g", "v", "n", "total", bucket.alias("b"))
     before = Window.partitionBy("g").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     totals = placed.groupBy("g", "b").agg(F.sum("n").alias("n"), F.max("total").alias("total")) \
         .withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
@@ -143,11 +143,12 @@ def quantiles(df: DataFrame, group: str, value: str,
         F.struct(w["i"].alias("i"), w["x"].alias("x"), F.ceil(w["x"]).alias("rank")))))
     inside = F.filter(ranks, lambda w: (w["rank"] >= F.col("start"))
                       & (w["rank"] < F.col("start") + F.col("n")))
-    picks = totals.select(F.col("g").alias("pg"), F.col("b").alias("pb"), "start",
+    picks = totals.select(F.col("g").alias("pg"), F.col("b").alias("pb"), F.col("start").alias("start"),
                           F.array_distinct(inside).alias("ranks")).filter(F.size("ranks") > 0)
     ordered = Window.partitionBy("g", "b").orderBy("v").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    members = placed.join(picks, placed.g.eqNullSafe(F.col("pg")) & (placed.b == F.col("pb"))) \
+    members = placed.join(picks, F.col("g").eqNullSafe(F.col("pg"))
+                          & (F.col("b") == F.col("pb"))) \
         .withColumn("upto", F.col("start") + F.sum("n").over(ordered))
     hits = members.select("g", "v", F.explode(F.filter("ranks", lambda w: (
         w["rank"] < F.col("upto")) & (w["rank"] >= F.col("upto") - F.col("n")))).alias("w"))
@@ -157,8 +158,8 @@ def quantiles(df: DataFrame, group: str, value: str,
     wide = found.groupBy(F.col("g").alias("fg")).agg(*[
         F.max(F.when(F.col("i") == i, at)).alias(f"p{round(p * 100)}")
         for i, p in enumerate(probabilities)])
-    return stats.join(wide, stats.g.eqNullSafe(F.col("fg"))).select(
-        F.col("g").alias(group), F.col("total").alias("count"), F.col("lo").alias("min"),
+    return stats.join(wide, F.col("sg").eqNullSafe(F.col("fg"))).select(
+        F.col("sg").alias(group), F.col("total").alias("count"), F.col("lo").alias("min"),
         *[f"p{round(p * 100)}" for p in probabilities], F.col("hi").alias("max"))
 
 
@@ -192,7 +193,7 @@ def preview(spark: SparkSession, name: str, allowed: list[str], n: int = 10) ->
 def sample_positions(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
     """A repeatable random sample of at most ``n`` rows (a distributed top-n by hash)."""
     require_positive_int(n, "n")
-    return df.orderBy(F.xxhash64(F.col("event_id"), F.lit(seed)), "event_id").limit(n)
+    return df.orderBy(F.md5(F.concat_ws(":", "event_id", F.lit(str(seed)))), "event_id").limit(n)
 
 
 def positions_for(df: DataFrame, vehicle_id: str | None = None) -> DataFrame:

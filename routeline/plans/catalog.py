@@ -10,10 +10,12 @@ from pyspark.sql import types as T
 
 from routeline import contracts as C
 from routeline.operators import (
-    alerting, bronze, delivery, dims, fleet, serving, shipments, staging,
+    alerting, bronze, delivery, dims, fleet, quality, serving, shipments, staging,
 )
-from routeline.functions.values import rounded
+from routeline.functions.values import compact_number, rounded
+from routeline.session import scratch_path
 from routeline.sources import feeds
+from routeline.streaming import detect, ingest, status
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -511,3 +513,283 @@ def hourly_rollup(spark, root):
 @query
 def daily_rollup(spark, root):
     return serving.rollup_events(_scans(spark, root), "1 day", ("hub_id",), "shipment_id")
+
+
+# ---- quality ------------------------------------------------------------------------------------
+
+def _dirty(spark, root):
+    return feeds.vehicle_positions(spark, root, clock="raw", dirty=True)
+
+
+def _bronze_tables(spark, root):
+    return {"vehicle_positions": _dirty(spark, root), "shipment_events": _scans(spark, root),
+            "agent_positions": _agents(spark, root), "delivery_events": _deliveries(spark, root)}
+
+
+def _silver_tables(spark, root):
+    return {"trips": fleet.reconstruct_trips(_positions(spark, root)),
+            "journeys": _journeys(spark, root), "agent_shifts": _shifts(spark, root)}
+
+
+@query
+def dq_bronze(spark, root):
+    return quality.bronze_suite(spark, _bronze_tables(spark, root))
+
+
+@query
+def dq_silver(spark, root):
+    return quality.silver_suite(spark, _silver_tables(spark, root))
+
+
+@query
+def dq_report(spark, root):
+    results = quality.run_checks(spark, "all", {**_bronze_tables(spark, root),
+                                                **_silver_tables(spark, root)})
+    return quality.quality_report(results, "all", "2024-02-01 00:00:00").drop("checks")
+
+
+@query
+def dq_failed(spark, root):
+    return quality.failed_checks(quality.bronze_suite(spark, _bronze_tables(spark, root)))
+
+
+@query
+def model_tests(spark, root):
+    staged = _staged_scans(spark, root)
+    positions = staging.stg_vehicle_positions(_dirty(spark, root))
+    agents = staging.stg_agent_positions(_agents(spark, root))
+    deliveries = staging.stg_delivery_events(_deliveries(spark, root))
+    hubs = dims.dim_hubs(spark)
+    days = delivery.fct_agent_daily(delivery.int_agent_shifts(agents, deliveries))
+    return quality.run_model_tests({
+        "stg_vehicle_positions": positions,
+        "stg_vehicle_telemetry": staging.stg_vehicle_telemetry(
+            feeds.vehicle_telemetry(spark, root)),
+        "stg_alerts": staging.stg_alerts(feeds.alerts(spark, root)),
+        "stg_shipment_events": staged, "stg_agent_positions": agents,
+        "stg_delivery_events": deliveries,
+        "fct_trips": fleet.fct_trips(_int_trips(spark, root)),
+        "fct_driver_performance": fleet.fct_driver_performance(_driver_daily(spark, root)),
+        "fct_shipments": shipments.fct_shipments(shipments.int_shipment_journeys(staged), hubs),
+        "fct_hub_daily": shipments.fct_hub_daily(shipments.int_hub_throughput(staged), hubs),
+        "fct_agent_daily": days, "fct_zone_daily": delivery.fct_zone_daily(days),
+    })
+
+
+@query
+def relationships(spark, root):
+    warned = feeds.alerts(spark, root).filter("event_type = 'SPEEDING'")
+    return quality.check_relationship(_dirty(spark, root), warned, "vehicle_id")
+
+
+@query
+def expression_check(spark, root):
+    return quality.check_expression(_deliveries(spark, root),
+                                    "cod_collected <= cod_amount and attempt_number <= 2")
+
+
+@query
+def failing_rows(spark, root):
+    return quality.failing_rows(feeds.vehicle_positions(spark, root, clock="raw"),
+                                quality.unique("trip_id"))
+
+
+# ---- figures and distributions ------------------------------------------------------------------
+
+@query
+def kpis(spark, root):
+    return serving.warehouse_kpis(fleet.fct_trips(_int_trips(spark, root)),
+                                  _fct_shipments(spark, root), _fct_agents(spark, root))
+
+
+@query
+def overview_counts(spark, root):
+    return serving.overview_counts(feeds.vehicle_positions(spark, root, clock="raw"),
+                                   _scans(spark, root), _deliveries(spark, root))
+
+
+@query
+def value_counts(spark, root):
+    return serving.value_counts(_scans(spark, root), "event_type")
+
+
+@query
+def outcome_counts(spark, root):
+    return serving.value_counts(_journeys(spark, root), "journey_outcome", order="asc")
+
+
+@query
+def rating_counts(spark, root):
+    return serving.value_counts(_deliveries(spark, root).filter("customer_rating is not null"),
+                                "customer_rating")
+
+
+@query
+def vehicles_by_type(spark, root):
+    return serving.vehicles_by_type(feeds.vehicle_positions(spark, root, clock="raw"))
+
+
+@query
+def hub_activity(spark, root):
+    return serving.hub_activity(_scans(spark, root))
+
+
+@query
+def zone_stats(spark, root):
+    return serving.zone_stats(_deliveries(spark, root))
+
+
+@query
+def sla_compliance(spark, root):
+    return serving.sla_compliance(_journeys(spark, root))
+
+
+@query
+def trip_summary(spark, root):
+    return serving.trip_summary(fleet.reconstruct_trips(_positions(spark, root)))
+
+
+@query
+def delivery_success_rate(spark, root):
+    return serving.delivery_success_rate(_deliveries(spark, root))
+
+
+@query
+def speed_histogram(spark, root):
+    return serving.histogram(feeds.vehicle_positions(spark, root, clock="raw"), "speed_kmh", 40)
+
+
+@query
+def distance_histogram(spark, root):
+    return serving.histogram(fleet.reconstruct_trips(_positions(spark, root)),
+                             "total_distance_km", 30)
+
+
+@query
+def rating_histogram(spark, root):
+    return serving.histogram(_deliveries(spark, root), "customer_rating", 5)
+
+
+@query
+def speed_quartiles(spark, root):
+    return serving.speed_quartiles(feeds.vehicle_positions(spark, root, clock="raw"))
+
+
+@query
+def inventory(spark, root):
+    return serving.inventory({
+        "vehicle_positions": ("Bronze", feeds.vehicle_positions(spark, root, clock="raw")),
+        "shipment_events": ("Bronze", _scans(spark, root)),
+        "delivery_events": ("Bronze", _deliveries(spark, root)),
+        "trips": ("Silver", fleet.reconstruct_trips(_positions(spark, root))),
+        "zone_performance": ("Silver", None),
+    })
+
+
+@query
+def compact_numbers(spark, root):
+    totals = feeds.read_table(spark, root, "events").groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("events"), rounded(F.sum("value"), 2).alias("total"))
+    return totals.withColumn("label", compact_number(F.col("total")))
+
+
+@query
+def vehicle_drilldown(spark, root):
+    return serving.positions_for(feeds.vehicle_positions(spark, root, clock="raw"),
+                                 "VEH_00007").select(
+        "event_id", "vehicle_id", "event_timestamp", "speed_kmh", "state")
+
+
+@query
+def sample_positions(spark, root):
+    return serving.sample_positions(feeds.vehicle_positions(spark, root, clock="raw"), 2000) \
+        .select("event_id", "vehicle_id", "latitude", "longitude", "speed_kmh")
+
+
+# ---- streams --------------------------------------------------------------------------------------
+# The given tables are read as unbounded input; each stream runs to the end of it into a table in
+# the shared scratch folder, which is then read back.
+
+def _drain(spark, stream: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(spark, name)
+    ingest.write_stream(stream, f"{path}/table", f"{path}/checkpoint", partition_cols=(),
+                        available_now=True).awaitTermination()
+    return spark.read.parquet(f"{path}/table")
+
+
+def _position_stream(spark, root, **kwargs):
+    return feeds.vehicle_positions(spark, root, table=feeds.stream_table, **kwargs)
+
+
+@query
+def stream_bronze(spark, root):
+    raw = encoded(_position_stream(spark, root, clock="raw", dirty=True), "vehicle_positions",
+                  "vehicle_id")
+    path = scratch_path(spark, "bronze")
+    rows = ingest.bronze_rows(raw, "vehicle_positions")
+    ingest.write_stream(rows, f"{path}/table", f"{path}/checkpoint",
+                        available_now=True).awaitTermination()
+    return spark.read.parquet(f"{path}/table").select(
+        "event_id", "vehicle_id", "latitude", "longitude", "speed_kmh", "is_valid_location",
+        "is_valid_speed")
+
+
+@query
+def stream_dedup(spark, root):
+    """Every event is delivered twice and kept once."""
+    twice = _position_stream(spark, root, clock="raw").unionByName(
+        _position_stream(spark, root, clock="raw"))
+    raw = encoded(twice, "vehicle_positions", "vehicle_id")
+    rows = ingest.bronze_rows(raw, "vehicle_positions", dedup_delay="1 hour")
+    return _drain(spark, rows, "dedup").select("event_id", "vehicle_id", "event_timestamp",
+                                               "speed_kmh")
+
+
+@query
+def stream_speeding(spark, root):
+    alerts = detect.stream_speeding(_position_stream(spark, root, clock="raw"))
+    return _drain(spark, alerts, "speeding").select(
+        "event_id", "vehicle_id", "driver_id", "speed_kmh", "event_type", "severity",
+        "event_timestamp")
+
+
+@query
+def stream_driving_events(spark, root):
+    return _drain(spark, detect.stream_driving_events(_position_stream(spark, root)), "driving")
+
+
+@query
+def stream_geofence(spark, root):
+    crossed = detect.stream_geofence(_position_stream(spark, root), feeds.geofences(spark, root))
+    return _drain(spark, crossed, "geofence")
+
+
+@query
+def stream_status_upsert(spark, root):
+    path = scratch_path(spark, "status")
+    scans = feeds.shipment_events(spark, root, table=feeds.stream_table)
+    status.stream_status(scans, f"{path}/table", f"{path}/checkpoint",
+                         available_now=True).awaitTermination()
+    return status.read_status(spark, f"{path}/table")
+
+
+@query
+def stream_failure_alerts(spark, root):
+    failed = feeds.delivery_events(spark, root, table=feeds.stream_table)
+    return _drain(spark, detect.stream_failure_alerts(failed), "failures")
+
+
+@query
+def stream_stops(spark, root):
+    """Sessions of slow points at most ninety minutes apart that the watermark has closed."""
+    slow = detect.stream_stops(feeds.agent_positions(spark, root, table=feeds.stream_table),
+                               gap="90 minutes")
+    return _drain(spark, slow, "stops")
+
+
+@query
+def stream_rollup(spark, root):
+    rolled = serving.rollup_events(
+        feeds.agent_positions(spark, root, table=feeds.stream_table), "1 day", ("zone_id",),
+        measures=("speed_kmh",))
+    return _drain(spark, rolled, "rollup")

@@ -1,5 +1,7 @@
 """Independent DuckDB SQL for the query catalogue."""
 
-from routeline.plans.oracle import delivery, fleet, shipments
+from routeline.plans.oracle import delivery, fleet, quality, shipments, streams
 
-SQL: dict[str, str] = {**fleet.SQL, **shipments.SQL, **delivery.SQL}
+SQL: dict[str, str] = {
+    **fleet.SQL, **shipments.SQL, **delivery.SQL, **quality.SQL, **streams.SQL,
+}
