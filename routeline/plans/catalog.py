@@ -755,13 +755,18 @@ def stream_speeding(spark, root):
 
 @query
 def stream_driving_events(spark, root):
-    return _drain(spark, detect.stream_driving_events(_position_stream(spark, root)), "driving")
+    path = scratch_path(spark, "driving")
+    detect.stream_driving_events(_position_stream(spark, root), path, f"{path}/checkpoint",
+                                 available_now=True).awaitTermination()
+    return spark.read.parquet(f"{path}/events").drop("batch")
 
 
 @query
 def stream_geofence(spark, root):
-    crossed = detect.stream_geofence(_position_stream(spark, root), feeds.geofences(spark, root))
-    return _drain(spark, crossed, "geofence")
+    path = scratch_path(spark, "geofence")
+    detect.stream_geofence(_position_stream(spark, root), feeds.geofences(spark, root), path,
+                           f"{path}/checkpoint", available_now=True).awaitTermination()
+    return spark.read.parquet(f"{path}/events").drop("batch")
 
 
 @query

@@ -23,6 +23,8 @@ def build_session(app: str = "routeline", master: str | None = None, **conf: str
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        # sessions are merged per task before the shuffle, so a hot key arrives pre-aggregated
+        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     }
     settings.update(conf)
     for key, value in settings.items():

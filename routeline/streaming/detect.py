@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StreamingQuery
 
 from routeline import contracts as C
 from routeline.functions import geo
 from routeline.functions.clock import elapsed
 from routeline.operators import alerting, fleet
 from routeline.operators.bronze import with_event_watermark
+from routeline.operators.timeline import Timeline, with_neighbours
 
 
 def stream_speeding(positions: DataFrame, limit: float = C.LIMITS.speeding_kmh,
@@ -31,78 +31,94 @@ def as_messages(df: DataFrame) -> DataFrame:
     return df.select(F.to_json(F.struct("*")).alias("value"))
 
 
-_POINT = ("event_id string, vehicle_id string, driver_id string, vehicle_type string, "
-          "event_timestamp timestamp, latitude double, longitude double, speed_kmh double")
-_LINKED = _POINT + (", prev_timestamp timestamp, prev_speed double, prev_lat double, "
-                    "prev_lng double")
-_LAST = "micros long, speed double, lat double, lng double"
-_CARRIED = {"prev_speed": "speed_kmh", "prev_lat": "latitude", "prev_lng": "longitude"}
+_POINT = ("event_id", "vehicle_id", "driver_id", "vehicle_type", "event_timestamp", "latitude",
+          "longitude", "speed_kmh")
+_BEFORE = {"prev_timestamp": "event_timestamp", "prev_speed": "speed_kmh",
+           "prev_lat": "latitude", "prev_lng": "longitude"}
 
 
-def _link(key: tuple, frames: Iterator[pd.DataFrame],
-          state: GroupState) -> Iterator[pd.DataFrame]:
-    """Attach to every point of one vehicle the point before it, across batches.
+def link_batch(batch: DataFrame, last: DataFrame | None,
+               line: Timeline = fleet.BY_VEHICLE) -> DataFrame:
+    """The points of a micro-batch with the point before each, given the last point of every
+    vehicle so far. The last points join the series as ordinary rows, so a hot vehicle is split
+    like in a batch table."""
+    points = batch.select(*_POINT, F.lit(False).alias("_known"))
+    if last is not None:
+        points = points.unionByName(last.select(*_POINT, F.lit(True).alias("_known")))
+    return with_neighbours(points, line, previous=_BEFORE).filter(~F.col("_known"))
 
-    A group holds the points of one vehicle in one trigger, which the source's rate limit
-    bounds. A point older than the last one seen has no known predecessor and stays unlinked.
+
+def last_points(batch: DataFrame, last: DataFrame | None) -> DataFrame:
+    """The newest point of every vehicle."""
+    points = batch.select(*_POINT)
+    if last is not None:
+        points = points.unionByName(last.select(*_POINT))
+    newest = F.max_by(F.struct(*_POINT), F.struct("event_timestamp", "event_id"))
+    return points.groupBy("vehicle_id").agg(newest.alias("p")).select("p.*")
+
+
+def stream_linked(positions: DataFrame, detect: Callable[[DataFrame], DataFrame], path: str,
+                  checkpoint: str, available_now: bool = False) -> StreamingQuery:
+    """Run ``detect`` over the linked points of every micro-batch and append its rows below
+    ``path/events``.
+
+    The last points live in two alternating folders: a batch reads the one its predecessor wrote
+    and writes the other, so a retried batch finds its input unchanged and replaces its output.
     """
-    if state.hasTimedOut:
-        state.remove()
-        return
-    rows = pd.concat(list(frames), ignore_index=True)
-    rows = rows.sort_values(["event_timestamp", "event_id"], ignore_index=True)
-    micros = rows["event_timestamp"].astype("datetime64[us]").astype("int64")
-    linked = {"prev_timestamp": rows["event_timestamp"].shift(1)}
-    linked.update({name: rows[source].shift(1) for name, source in _CARRIED.items()})
-    newest = (int(micros.iloc[-1]), *[float(rows[c].iloc[-1]) for c in _CARRIED.values()])
-    if state.exists:
-        last = state.get
-        late = int((micros < last[0]).sum())
-        for column in linked.values():
-            column.iloc[:late] = None
-        if late < len(rows):
-            linked["prev_timestamp"].iloc[late] = pd.Timestamp(last[0], unit="us")
-            for name, value in zip(_CARRIED, last[1:]):
-                linked[name].iloc[late] = value
-        newest = max(newest, last, key=lambda point: point[0])
-    state.update(newest)
-    expiry = max(newest[0] // 1000, state.getCurrentWatermarkMs()) + 86_400_000
-    state.setTimeoutTimestamp(expiry)
-    yield rows.assign(**linked)
-
-
-def link_points(positions: DataFrame, delay: str = "1 minute") -> DataFrame:
-    """A position stream in which every point knows its predecessor. State per vehicle is its
-    last point, dropped after a day of silence."""
-    names = [c.split()[0] for c in _POINT.split(", ")]
-    return positions.select(*names).withWatermark("event_timestamp", delay) \
-        .groupBy("vehicle_id").applyInPandasWithState(
-            _link, _LINKED, _LAST, "append", GroupStateTimeout.EventTimeTimeout)
-
-
-def stream_driving_events(positions: DataFrame, delay: str = "1 minute") -> DataFrame:
-    """Speeding, harsh braking and harsh acceleration between consecutive points of a stream."""
+    def store(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch.persist()
+        last = spark.read.parquet(f"{path}/last/{(batch_id - 1) % 2}") if batch_id else None
+        detect(link_batch(batch, last)).write.mode("overwrite").parquet(
+            f"{path}/events/batch={batch_id}")
+        last_points(batch, last).write.mode("overwrite").parquet(f"{path}/last/{batch_id % 2}")
+        batch.unpersist()
+
+    writer = positions.select(*_POINT).writeStream.foreachBatch(store) \
+        .option("checkpointLocation", checkpoint)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
+
+
+def driving_events_of(linked: DataFrame) -> DataFrame:
+    """Speeding, harsh braking and harsh acceleration between linked points."""
     seconds = elapsed(F.col("prev_timestamp"), F.col("event_timestamp"), "seconds")
     event = fleet.driving_event(F.coalesce("prev_speed", "speed_kmh"), F.col("speed_kmh"),
                                 seconds, F.col("vehicle_type"))
-    return link_points(positions, delay).select(
+    return linked.select(
         "event_id", "vehicle_id", "driver_id", "event_timestamp", "latitude", "longitude",
         *[c.alias(n) for n, c in event.items()]).filter("event_type is not null")
 
 
-def stream_geofence(positions: DataFrame, fences: DataFrame, cell_degrees: float = 0.05,
-                    delay: str = "1 minute") -> DataFrame:
-    """ENTRY and EXIT events of a position stream; both ends of a hop meet the static fences of
-    their own grid cell."""
+def geofence_crossings_of(fences: DataFrame,
+                          cell_degrees: float = 0.05) -> Callable[[DataFrame], DataFrame]:
+    """ENTRY and EXIT events between linked points; both ends of a hop meet the fences of their
+    own grid cell."""
     cells = alerting.fence_cells(fences, cell_degrees)
-    linked = link_points(positions.filter("latitude is not null and longitude is not null"),
-                         delay)
-    for lat, lng, inside in (("latitude", "longitude", "now"), ("prev_lat", "prev_lng", "was")):
-        keyed = linked.withColumns({"cell_y": geo.grid_index(F.col(lat), cell_degrees),
-                                    "cell_x": geo.grid_index(F.col(lng), cell_degrees)})
-        linked = keyed.join(cells, ["cell_y", "cell_x"], "left").withColumn(
-            inside, alerting.fences_at(F.col(lat), F.col(lng))).drop("_near", "cell_y", "cell_x")
-    return alerting.crossings(linked, "now", "was")
+
+    def crossed(linked: DataFrame) -> DataFrame:
+        for lat, lng, inside in (("latitude", "longitude", "now"),
+                                 ("prev_lat", "prev_lng", "was")):
+            keyed = linked.withColumns({"cell_y": geo.grid_index(F.col(lat), cell_degrees),
+                                        "cell_x": geo.grid_index(F.col(lng), cell_degrees)})
+            linked = keyed.join(cells, ["cell_y", "cell_x"], "left").withColumn(
+                inside, alerting.fences_at(F.col(lat), F.col(lng))) \
+                .drop("_near", "cell_y", "cell_x")
+        return alerting.crossings(linked, "now", "was")
+
+    return crossed
+
+
+def stream_driving_events(positions: DataFrame, path: str, checkpoint: str,
+                          available_now: bool = False) -> StreamingQuery:
+    return stream_linked(positions, driving_events_of, path, checkpoint, available_now)
+
+
+def stream_geofence(positions: DataFrame, fences: DataFrame, path: str, checkpoint: str,
+                    available_now: bool = False) -> StreamingQuery:
+    located = positions.filter("latitude is not null and longitude is not null")
+    return stream_linked(located, geofence_crossings_of(fences), path, checkpoint, available_now)
 
 
 def stream_stops(positions: DataFrame, gap: str = "5 minutes", delay: str = "10 minutes",
