@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from routeline.functions.clock import micros
 
-NULL_KEY = "\u0000null"       # groups the rows whose key is NULL, as a window would
+NULL_KEY = "\u2400"           # groups the rows whose key is NULL, as a window would
 NULL_TIME_SLICE = -(2 ** 62)  # rows without a time sort first, so does their slice
 
 

@@ -21,12 +21,16 @@ Table = Callable[[SparkSession, str, str], DataFrame]
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/{name}.parquet")
+    """A given table. One that comes in fewer splits than there are cores (a small file is one
+    row group, which one task reads) is dealt out to all of them first."""
+    df = spark.read.parquet(f"{root}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def stream_table(spark: SparkSession, root: str, name: str, **options: str) -> DataFrame:
     """The same table as an unbounded input; the schema is taken from its files."""
-    schema = read_table(spark, root, name).schema
+    schema = spark.read.parquet(f"{root}/{name}.parquet").schema
     return spark.readStream.schema(schema).options(**options).parquet(f"{root}/{name}*.parquet")
 
 
@@ -39,7 +43,7 @@ def _pick(values, index: Column) -> Column:
 
 
 def _plus_hours(ts: Column, hours: Column) -> Column:
-    return F.timestamp_add("HOUR", hours.cast("int"), ts)
+    return F.timestamp_micros(F.unix_micros(ts) + hours.cast("long") * 3_600_000_000)
 
 
 def _iso(ts: Column) -> Column:

@@ -15,13 +15,11 @@ def is_empty(df: DataFrame) -> bool:
 def write_silver(df: DataFrame, path: str, partition_by: str, fmt: str = "parquet") -> None:
     """Replace exactly the partitions present in ``df``, so a rerun of a day leaves one copy.
 
-    Rows are spread by partition value and a hash of the row, not by the value alone: a day with
-    most of the rows is written by many tasks.
+    The rebalance hint groups rows by partition value, joins small values into one task and
+    splits a value that holds most of the rows over many.
     """
-    spread = F.pmod(F.xxhash64(*[c for c in df.columns if c != partition_by]), F.lit(64))
-    (df.withColumn("_spread", spread).repartition(partition_by, "_spread").drop("_spread")
-     .write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_by).save(path))
+    (df.hint("rebalance", partition_by).write.format(fmt).mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).save(path))
 
 
 def materialize(name: str, df: DataFrame, kind: str, root: str | None = None,
