@@ -22,18 +22,18 @@ QUERIES: dict[str, Query] = {}
 
 
 def present(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Comparable output: doubles rounded, instants as plain timestamps, lists as text."""
+    """Comparable output: doubles rounded half up, instants as plain timestamps, lists as text."""
     out = []
     for field in df.schema.fields:
-        c = F.col(f"`{field.name}`")
+        c = f"`{field.name}`"
         if isinstance(field.dataType, T.DoubleType):
-            c = rounded(c, digits)
+            c = f"cast(round(cast({c} as decimal(38,10)), {digits}) as double)"
         elif isinstance(field.dataType, T.TimestampType):
-            c = c.cast("timestamp_ntz")
+            c = f"cast({c} as timestamp_ntz)"
         elif isinstance(field.dataType, T.ArrayType):
-            c = F.array_join(c, ",")
-        out.append(c.alias(field.name))
-    return df.select(*out)
+            c = f"array_join({c}, ',')"
+        out.append(f"{c} as `{field.name}`")
+    return df.selectExpr(*out)
 
 
 def query(build: Query, name: str | None = None) -> Query:

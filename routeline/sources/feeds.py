@@ -34,12 +34,10 @@ def stream_table(spark: SparkSession, root: str, name: str, **options: str) -> D
     return spark.readStream.schema(schema).options(**options).parquet(f"{root}/{name}*.parquet")
 
 
-def _lit_array(values) -> Column:
-    return F.array(*[F.lit(v) for v in values])
-
-
 def _pick(values, index: Column) -> Column:
-    return F.element_at(_lit_array(values), (index + 1).cast("int"))
+    """The value at a 0-based position of a fixed list."""
+    listed = ", ".join(f"'{v}'" if isinstance(v, str) else f"{v}D" for v in values)
+    return F.element_at(F.expr(f"array({listed})"), (index + 1).cast("int"))
 
 
 def _plus_hours(ts: Column, hours: Column) -> Column:
