@@ -97,7 +97,7 @@ def delivery_success_rate(deliveries: DataFrame) -> DataFrame:
 
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     """Counts in ``bins`` equal-width bins from the smallest to the largest value, empty bins
-    included. Two passes: the range, then the counts; only bins are shuffled."""
+    included. Two passes over the input: the range, then the counts; only bins are shuffled."""
     require_positive_int(bins, "bins")
     known = df.select(F.col(column).cast("double").alias("v")).filter("v is not null")
     span = known.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi")).alias("r"))
@@ -106,13 +106,14 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     place = F.when(width > 0, F.least(F.floor((F.col("v") - r["lo"]) / width),
                                       F.lit(bins - 1))).otherwise(0).cast("int")
     counts = known.groupBy(place.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    grid = span.filter(F.col("r")["lo"].isNotNull()).select(
-        "r", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    step = (F.col("r")["hi"] - F.col("r")["lo"]) / float(bins)
-    return grid.join(counts, "bin", "left").select(
-        "bin", (F.col("r")["lo"] + F.col("bin") * step).alias("bin_start"),
-        (F.col("r")["lo"] + (F.col("bin") + 1) * step).alias("bin_end"),
-        F.coalesce("count", F.lit(0)).alias("count"))
+    # at most ``bins`` entries
+    filled = counts.agg(F.map_from_entries(F.collect_list(F.struct("bin", "count"))).alias("m"))
+    grid = filled.filter(F.size("m") > 0).select(
+        "m", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    return grid.select(
+        "bin", (r["lo"] + F.col("bin") * width).alias("bin_start"),
+        (r["lo"] + (F.col("bin") + 1) * width).alias("bin_end"),
+        F.coalesce(F.try_element_at("m", F.col("bin")), F.lit(0)).alias("count"))
 
 
 def quantiles(df: DataFrame, group: str, value: str,
