@@ -3,8 +3,9 @@
 A text becomes tokens: runs of letters, of digits, and of other visible characters inside each
 word, letters folded to lower case. A word written in capitals adds the token CAPS, a token equal
 to the one before adds REPEAT in its place. Single tokens and neighbouring pairs are hashed into
-``DIM`` weights; a text's features are its distinct hashes, each valued 1/sqrt(number of them), so
-that long and short texts score on one scale. A score is the sigmoid of a sparse dot product.
+``DIM`` weights; a text's features are its distinct hashes, each valued SCALE/sqrt(number of them),
+so that long and short texts score on one scale, and a bias of 1. A score is the sigmoid of a sparse
+dot product.
 
 Training reads at most ``MAX_ROWS`` labelled rows (the first in the order of a hash of the id, a
 documented bound) dealt to ``SHARDS`` tasks. Each shard runs FTRL-proximal over its rows in that
@@ -31,8 +32,9 @@ from routeline.llm.common import BASE_B, BYTE_VALUE, RunHash, mix, text_chunks
 DIM_BITS = 18
 DIM = 1 << DIM_BITS
 MAX_ROWS = 20_000
-SHARDS, ROUNDS = 8, 2
-ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.001, 0.1
+SHARDS, ROUNDS = 4, 4
+ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.001, 0.01
+SCALE = 6.0
 SEED = 20240501
 
 _LETTER, _DIGIT, _OTHER, _SPACE = 1, 2, 3, 0
@@ -92,6 +94,17 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -35, 35)))
 
 
+def values(index: np.ndarray) -> np.ndarray:
+    """Feature values of one text; the bias (index 0, always first) is 1."""
+    x = np.full(len(index), SCALE / np.sqrt(len(index)))
+    x[0] = 1.0
+    return x
+
+
+def margin(weights: np.ndarray, index: np.ndarray) -> float:
+    return float(weights[index] @ values(index))
+
+
 def ftrl(index: list[np.ndarray], labels: np.ndarray, start: np.ndarray) -> np.ndarray:
     """One pass of follow-the-regularised-leader over the rows, from weights ``start``."""
     # z is set so that the first weights equal the starting ones
@@ -100,8 +113,8 @@ def ftrl(index: list[np.ndarray], labels: np.ndarray, start: np.ndarray) -> np.n
     for at, label in zip(index, labels.tolist(), strict=True):
         zi, ni = z[at], n[at]
         w = np.where(np.abs(zi) <= L1, 0.0, -(zi - np.sign(zi) * L1) / ((BETA + np.sqrt(ni)) / ALPHA + L2))
-        x = 1.0 / np.sqrt(len(at))
-        g = (float(sigmoid(np.array(w.sum() * x))) - label) * x
+        x = values(at)
+        g = (float(sigmoid(w @ x)) - label) * x
         root = np.sqrt(ni + g * g)
         z[at] = zi + g - (root - np.sqrt(ni)) / ALPHA * w
         n[at] = ni + g * g
@@ -154,7 +167,8 @@ def scorer(weights: np.ndarray, spark):
             out = []
             for index, begin in token_features(part):
                 total = np.add.reduceat(w[index].astype(np.float64), begin[:-1])
-                out.append(sigmoid(total / np.sqrt(np.diff(begin))))
+                bias = np.float64(w[0])
+                out.append(sigmoid((total - bias) * SCALE / np.sqrt(np.diff(begin)) + bias))
             yield pa.array(np.concatenate(out) if out else np.empty(0), pa.float64())
 
     return score

@@ -52,18 +52,27 @@ def _check(digest: Column) -> Column:
     return F.xxhash64(digest, F.lit(-1))
 
 
-def written(items: Column, size: int = SHOWN_SIZE) -> Column:
-    """The sketch of a digest array as text: slot:count:xor:check of every non-empty cell."""
+def placed(items: Column, size: int = SHOWN_SIZE) -> Column:
+    """Each digest with its check hash and its cell in every subtable of a sketch of ``size``."""
+    return F.transform(items, lambda x: F.struct(
+        x.cast("bigint").alias("k"), _check(x).alias("c"),
+        *[_slot(x, j, F.lit(size)).alias(f"s{j}") for j in range(SUBTABLES)]))
+
+
+def written(cells: Column, size: int = SHOWN_SIZE) -> Column:
+    """A sketch as text, slot:count:xor:check of every non-empty cell; ``cells`` is a column of ``placed``."""
     def cell(slot: Column, members: Column) -> Column:
-        fold = lambda f: F.aggregate(members, F.lit(0).cast("bigint"), lambda a, x: a.bitwiseXOR(f(x)))
+        fold = lambda f: F.hex(F.aggregate(members, F.lit(0).cast("bigint"), lambda a, x: a.bitwiseXOR(
+            x[f])).bitwiseAND(F.lit(0xFFFFFFFF)))
         return F.when(F.size(members) > 0, F.concat_ws(
-            ":", slot.cast("string"), F.size(members).cast("string"),
-            F.hex(fold(lambda x: x.cast("bigint")).bitwiseAND(F.lit(0xFFFFFFFF))),
-            F.hex(fold(_check).bitwiseAND(F.lit(0xFFFFFFFF)))))
+            ":", slot.cast("string"), F.size(members).cast("string"), fold("k"), fold("c")))
 
     def subtable(j: int) -> Column:
         slots = F.sequence(F.lit(size * j), F.lit(size * (j + 1) - 1))
-        return F.transform(slots, lambda s: cell(s, F.filter(items, lambda x: _slot(x, j, F.lit(size)) == s)))
+        # members first, so that a cell's four figures don't search for them four times
+        groups = F.transform(slots, lambda s: F.struct(
+            s.alias("slot"), F.filter(cells, lambda x: x[f"s{j}"] == s).alias("members")))
+        return F.transform(groups, lambda g: cell(g.slot, g.members))
 
     return F.array_join(F.concat(*map(subtable, range(SUBTABLES))), ";")
 
@@ -172,8 +181,9 @@ def fingerprint(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sha
     rows = both.select(
         "key", "previous_key", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
         digests(F.col("text")).alias("own"), digests(F.col("edited")).alias("other"))
-    return stored(rows.withColumns({"fingerprint": written(F.col("own")), "edited_fingerprint": written(F.col("other"))}),
-                  "fingerprints")
+    rows = rows.withColumns({"own_cells": placed(F.col("own")), "other_cells": placed(F.col("other"))})
+    rows = rows.withColumns({"fingerprint": written(F.col("own_cells")), "edited_fingerprint": written(F.col("other_cells"))})
+    return stored(rows.drop("own_cells", "other_cells"), "fingerprints")
 
 
 def compare(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

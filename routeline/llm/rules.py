@@ -8,7 +8,8 @@ posterior probability of being good given all its votes, so no single rule decid
 The figures come from one pass over the texts. The votes of all texts are counted per distinct
 pattern (at most 3^rules of them, whatever the corpus), and EM runs on those counts.
 
-Fixed failures (too few words, too many repeated five-word windows) drop a text before any vote.
+Fixed failures (too few words, too many repeated five-word windows) drop a text before any vote; the
+estimates leave those texts out.
 
 Defined cases: NULL or blank text: no words, every figure 0, failed and not kept. One-sided votes
 (no text voted on a rule) leave that rule at its starting accuracy. Empty table: empty result.
@@ -36,7 +37,9 @@ MAX_REPEAT_PERCENT = 20
 SYMBOLS = b"[#*$%&|<>]"
 STEPS = 50
 PRIOR_VOTES = 10.0     # strength of the starting accuracies, in texts
-START_ACCURACY = 0.8
+START_GOOD_RIGHT = 0.99  # votes on good texts that are for good
+START_BAD_RIGHT = 0.2    # votes on bad texts that are for bad: a bad text has one defect or two
+START_GOOD = 0.8
 THRESHOLD = 0.5
 
 FIGURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper",
@@ -133,12 +136,13 @@ class Rule:
 
 
 RULES = (
-    Rule("symbols", "n_symbols", "n_words", 0.02, 0.3),
-    Rule("capitals", "n_upper", "n_letters", 0.15, 0.4),
-    Rule("repeated_words", "n_repeat_words", "n_words", 0.05, 0.15),
-    Rule("repeated_lines", "n_dup_lines", "n_lines", 0.1, 0.3),
-    Rule("digits", "n_digits", "word_chars", 0.02, 0.2),
-    Rule("word_length", "word_chars", "n_words", 8.0, 12.0),
+    Rule("symbols_per_word", "n_symbols", "n_words", 0.05, 0.3),
+    Rule("symbols_per_character", "n_symbols", "word_chars", 0.01, 0.06),
+    Rule("capitals", "n_upper", "n_letters", 0.15, 0.5),
+    Rule("repeated_words", "n_repeat_words", "n_words", 0.1, 0.2),
+    Rule("repeated_lines", "n_dup_lines", "n_lines", 0.2, 0.6),
+    Rule("digits", "n_digits", "word_chars", 0.05, 0.4),
+    Rule("word_length", "word_chars", "n_words", 9.0, 15.0),
 )
 
 
@@ -151,31 +155,37 @@ def vote(rule: Rule) -> Column:
 @dataclass
 class Estimates:
     good: float            # share of good texts
-    votes: np.ndarray      # rules x (bad, good text) x (bad, abstain, good vote)
+    votes: np.ndarray      # rules x (bad, good text) x (bad, good vote), abstentions aside
+
+    def evidence(self, rule: int, given: int) -> float:
+        """What a vote adds to the log odds of a good text."""
+        if given == 0:
+            return 0.0
+        side = int(given > 0)
+        return math.log(self.votes[rule, 1, side]) - math.log(self.votes[rule, 0, side])
 
     def posterior(self, pattern: tuple[int, ...]) -> float:
-        odds = math.log(self.good / (1 - self.good))
-        for r, v in enumerate(pattern):
-            odds += math.log(self.votes[r, 1, v + 1]) - math.log(self.votes[r, 0, v + 1])
+        odds = math.log(self.good / (1 - self.good)) + sum(self.evidence(r, v) for r, v in enumerate(pattern))
         return 1 / (1 + math.exp(-max(-500.0, min(500.0, odds))))
 
 
 def estimate(patterns: dict[tuple[int, ...], int], rules: int, steps: int = STEPS) -> Estimates:
-    """EM over counted vote patterns. A rule starts as right on START_ACCURACY of its votes."""
-    prior = np.empty((rules, 2, 3))
-    prior[:, 1] = [(1 - START_ACCURACY) * 0.5, 0.5, START_ACCURACY * 0.5]
-    prior[:, 0] = [START_ACCURACY * 0.5, 0.5, (1 - START_ACCURACY) * 0.5]
+    """EM over counted vote patterns."""
+    prior = np.empty((rules, 2, 2))
+    prior[:, 1] = [1 - START_GOOD_RIGHT, START_GOOD_RIGHT]
+    prior[:, 0] = [START_BAD_RIGHT, 1 - START_BAD_RIGHT]
     keys = sorted(patterns)
     count = np.array([patterns[k] for k in keys], dtype=float)
-    seen = np.array(keys, dtype=int).reshape(len(keys), rules) + 1
-    now = Estimates(0.8, prior.copy())
+    seen = np.array(keys, dtype=int).reshape(len(keys), rules)
+    now = Estimates(START_GOOD, prior.copy())
     for _ in range(steps if len(keys) else 0):
         p = np.array([now.posterior(k) for k in keys])
         votes = prior * PRIOR_VOTES
         for side, weight in ((1, p * count), (0, (1 - p) * count)):
             for r in range(rules):
-                votes[r, side] += np.bincount(seen[:, r], weight, 3)
-        good = ((p * count).sum() + 0.8 * PRIOR_VOTES) / (count.sum() + PRIOR_VOTES)
+                votes[r, side, 0] += weight[seen[:, r] < 0].sum()
+                votes[r, side, 1] += weight[seen[:, r] > 0].sum()
+        good = ((p * count).sum() + START_GOOD * PRIOR_VOTES) / (count.sum() + PRIOR_VOTES)
         now = Estimates(float(good), votes / votes.sum(axis=2, keepdims=True))
     return now
 
@@ -188,13 +198,13 @@ def judge(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES)
     rated = (figures_.withColumns({name: F.col(f"__figures.{name}") for name in FIGURES}).drop("__figures")
              .withColumn("base_failed", failed).withColumn("quality_votes", votes))
     counted = (docs.select(measure(F.col(text)).alias("f")).select("f.*")
-               .filter("n_words > 0").groupBy(votes.alias("votes")).count().collect())  # at most 3^rules rows
+               .filter(~failed).groupBy(votes.alias("votes")).count().collect())  # at most 3^rules rows
     patterns = {tuple(r["votes"]): r["count"] for r in counted}
     model = estimate(patterns, len(rules))
     odds = F.lit(math.log(model.good / (1 - model.good)))
     for r in range(len(rules)):
-        ratio = np.log(model.votes[r, 1]) - np.log(model.votes[r, 0])
-        odds = odds + F.element_at(F.array(*[F.lit(float(x)) for x in ratio]), F.col("quality_votes")[r] + 2)
+        given = F.array(*[F.lit(float(model.evidence(r, v))) for v in (-1, 0, 1)])
+        odds = odds + F.element_at(given, F.col("quality_votes")[r] + 2)
     posterior = F.when(F.col("n_words") > 0, 1 / (1 + F.exp(-odds))).otherwise(0.0)
     return rated.withColumn("quality_p", posterior).withColumn(
         "kept", ~F.col("base_failed") & (F.col("quality_p") >= THRESHOLD))
