@@ -7,8 +7,8 @@ of their check hashes. Two sketches of one size subtract cell by cell, which can
 texts share. The rest is peeled: a cell whose count is 1 or -1 and whose check fits holds a single
 digest; it is recovered and taken out of its other two cells, which exposes more. Peeling goes by
 subtable in turn, so that a digest alone in several of its cells is taken out once. Cells left
-after the last turn mean the sketch was too small: the pair is tried again at twice the size, until
-every pair is recovered. A pair starts at the size its two digest counts would fill at worst.
+after the last turn mean the sketch was too small: the pair is tried again at GROWTH times the size,
+until every pair is recovered. A pair starts at the size its two digest counts would fill at worst.
 
 With d recovered digests of two texts that have a and b, likeness is (a + b - d) / (a + b + d), the
 Jaccard index of the two sets; two texts without digests are alike.
@@ -25,6 +25,8 @@ enter.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,8 +34,10 @@ from routeline.llm.common import NO_ID, positioned, stored
 
 UNIT_END = r"\n|(?<=[.!?])[ \t]+"
 SUBTABLES = 3
-SHOWN_SIZE = 8       # cells per subtable of the sketch that is written out as text
+SHOWN_SIZE = 4       # cells per subtable of the sketch that is written out as text
 FILL = 1.7           # cells per digest at the first size, in the worst case
+LEAST_SIZE = 32      # cells per subtable
+GROWTH = 8
 TURNS = 12           # subtable turns per size
 PARTITION_DIGESTS = 400_000
 
@@ -79,7 +83,7 @@ def written(cells: Column, size: int = SHOWN_SIZE) -> Column:
 
 def start_size(total: Column) -> Column:
     """Cells per subtable: the power of two that holds ``total`` digests at FILL cells each."""
-    return F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(total * F.lit(FILL / SUBTABLES), F.lit(8.0))))).cast("int")
+    return F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(total * F.lit(FILL / SUBTABLES), F.lit(float(LEAST_SIZE)))))).cast("int")
 
 
 def sketch(items: DataFrame, keys: list[str]) -> DataFrame:
@@ -122,14 +126,15 @@ def peel(cells: DataFrame, keys: list[str], turns: int = TURNS) -> DataFrame:
     return now
 
 
-def recover(pairs: DataFrame, keys: list[str], lists: bool = True) -> DataFrame:
+def recover(pairs: Callable[[DataFrame | None], DataFrame], keys: list[str], lists: bool = True) -> DataFrame:
     """(keys, n_left, n_right[, only_left, only_right]): what each side of a pair has alone.
 
-    ``pairs`` holds keys and two digest arrays ``left`` and ``right``, and is partitioned by the
-    keys or a part of them. With ``lists`` the recovered digests are returned, else their numbers.
+    ``pairs`` gives rows of keys and two digest arrays ``left`` and ``right``, partitioned by the
+    keys or a part of them: all of them for None, else those of a table of keys. With ``lists`` the
+    recovered digests are returned, else their numbers. Pairs without any digest may be missing.
     """
-    size = start_size((F.size("left") + F.size("right")).cast("double"))
-    left, done = pairs.withColumn("size", size), None
+    left = pairs(None)
+    left, done = left.withColumn("size", start_size((F.size("left") + F.size("right")).cast("double"))), None
     while True:
         sides = left.select(*keys, "size", F.explode(F.array(
             F.struct(F.lit(1).alias("sign"), F.col("left").alias("all")),
@@ -145,10 +150,11 @@ def recover(pairs: DataFrame, keys: list[str], lists: bool = True) -> DataFrame:
         state = stored(peeled.groupBy(*keys, "size").agg(*figures), "peeled")
         whole = state.filter("cells = 0").drop("cells", "size")
         done = whole if done is None else done.union(whole)
-        failed = state.filter("cells > 0")
+        failed = state.filter("cells > 0").select(*keys, (F.col("size") * GROWTH).alias("size"))
         if failed.isEmpty():
             return done
-        left = stored(left.drop("size").join(failed.select(*keys, (F.col("size") * 2).alias("size")), keys), "unresolved")
+        failed = stored(failed, "failed")
+        left = pairs(failed.select(*keys)).join(failed, keys)
 
 
 def _neighbours(ids: DataFrame) -> DataFrame:
@@ -171,39 +177,52 @@ def fingerprint(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sha
     ids = (source.select("key", "text_hash", F.length("text").cast("bigint").alias("n_chars")).groupBy("key")
            .agg(F.max(F.struct("n_chars", "text_hash")).alias("best")).select("key", "best.*"))
     ids = stored(_neighbours(ids), "neighbours")
-    chosen = source.join(ids, ["key", "text_hash"])
+    # joined on the key alone (an equality on the hash would become a join key), so that the one
+    # shuffle of the texts also serves the join with the heads
+    chosen = source.join(ids.withColumnRenamed("text_hash", "best_hash"), "key").filter(
+        "text_hash >= best_hash and text_hash <= best_hash")
     # what the document before needs of this text; repeated rows meet in the aggregate
     quarter = lambda n: F.floor(F.col(n) / share).cast("int")
     heads = chosen.select(F.col("previous_key").alias("key"),
                           F.substr(F.col("text"), F.lit(1), quarter("previous_chars")).alias("head"))
     keep = (F.col("n_chars") - quarter("n_chars")).cast("int")
+    chosen, heads = chosen.dropDuplicates(["key"]), heads.dropDuplicates(["key"])
     both = chosen.join(heads, "key").withColumn("edited", F.concat(F.substr(F.col("text"), F.lit(1), keep), F.col("head")))
     rows = both.select(
         "key", "previous_key", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
         digests(F.col("text")).alias("own"), digests(F.col("edited")).alias("other"))
     rows = rows.withColumns({"own_cells": placed(F.col("own")), "other_cells": placed(F.col("other"))})
     rows = rows.withColumns({"fingerprint": written(F.col("own_cells")), "edited_fingerprint": written(F.col("other_cells"))})
+    rows = rows.withColumn("n_own", F.size("own"))
     return stored(rows.drop("own_cells", "other_cells"), "fingerprints")
 
 
 def compare(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Fingerprints of every document and its edited text, and their likenesses."""
-    rows = fingerprint(docs, doc_id, text).dropDuplicates(["key"])
+    rows = fingerprint(docs, doc_id, text)
     counts = rows.agg(F.sum(F.size("own") + F.size("other"))).first()[0] or 0
     parts = min(100_000, max(1, -(-2 * counts // PARTITION_DIGESTS)))
-    own = rows.select("key", "own", "other").repartition(parts, "key")
-    following = rows.select(F.col("previous_key").alias("key"), F.col("own").alias("next")).repartition(parts, "key")
-    pairs = own.join(following, "key").select("key", F.explode(F.array(
-        F.struct(F.lit(0).alias("kind"), F.col("own").alias("left"), F.col("other").alias("right")),
-        F.struct(F.lit(1).alias("kind"), F.col("own").alias("left"), F.col("next").alias("right")))).alias("p"))
-    pairs = pairs.select("key", "p.*").withColumn("total", F.size("left") + F.size("right"))
-    found = recover(pairs.drop("total"), ["key", "kind"], lists=False)
+
+    def pairs(only: DataFrame | None) -> DataFrame:
+        own = rows.select("key", "own", "other")
+        following = rows.select(F.col("previous_key").alias("key"), F.col("own").alias("next"))
+        if only is not None:
+            keys = only.select("key").distinct()
+            own, following = own.join(keys, "key", "left_semi"), following.join(keys, "key", "left_semi")
+        # both sides by key, into parts of a bounded number of digests: every later aggregate stays in place
+        met = own.repartition(parts, "key").join(following.repartition(parts, "key"), "key")
+        return met.select("key", F.explode(F.array(
+            F.struct(F.lit(0).alias("kind"), F.col("own").alias("left"), F.col("other").alias("right")),
+            F.struct(F.lit(1).alias("kind"), F.col("own").alias("left"), F.col("next").alias("right")))).alias("p")
+        ).select("key", "p.*")
+
+    found = recover(pairs, ["key", "kind"], lists=False)
     apart = found.groupBy("key").agg(*[
         F.max(F.when(F.col("kind") == k, F.col("n_left"))).alias(f"left_{k}") for k in (0, 1)], *[
         F.max(F.when(F.col("kind") == k, F.col("n_right"))).alias(f"right_{k}") for k in (0, 1)])
     # a pair without cells at all has no row: nothing differs
-    shared = lambda k: F.size("own") - F.coalesce(f"left_{k}", F.lit(0))
-    united = lambda k: F.size("own") + F.coalesce(f"right_{k}", F.lit(0))
+    shared = lambda k: F.col("n_own") - F.coalesce(f"left_{k}", F.lit(0))
+    united = lambda k: F.col("n_own") + F.coalesce(f"right_{k}", F.lit(0))
     near = lambda k: F.when(united(k) == 0, 1.0).otherwise(shared(k) / united(k))
     return rows.join(apart, "key", "left").select(
         F.when(F.col("key") != NO_ID, F.col("key")).alias("doc_id"), "n_chars", "edited_sha256", "fingerprint",
