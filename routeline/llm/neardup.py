@@ -1,19 +1,21 @@
 """Near-duplicate classes by b-bit MinHash.
 
 1. One pass over the texts: distinct word shingles are hashed, and each text yields its set size, a
-   128-bit digest of the set, hashes of its minima in bands, and the low ``BITS`` bits of every
-   minimum packed into four words.
+   128-bit digest of the set, hashes of BANDS groups of minima over independent permutations, and a
+   b-bit signature: the minima of LANES parts of one permutation, each cut to two bits (0 for a part
+   without shingles, else one of three values), packed into sixteen words.
 2. Texts with equal sets (groups of exact copies, however large) become one class through the
    digest, an aggregate that is combined before its shuffle. Only one node per class goes on.
 3. Nodes that share a band are candidates. Groups are never paired off. In each round a group has a
-   few centres (its smallest node, then four, sixteen, ... by hash), each compared only with members
-   not yet known to be linked to it. A centre leaves its group after its round, and a group ends
-   when its remaining members carry one label. So every pair of a group is either compared or
+   few centres (first the node with most copies, then 16, 256, ... by hash), each compared only with
+   members not yet known to be linked to it. A centre leaves its group after its round, and a group
+   ends when its remaining members carry one label. So every pair of a group is either compared or
    already known to be in one component: no link between components is lost, and a group of n
    alike copies costs n comparisons.
-4. A candidate first passes a size bound and the similarity estimated from the packed words: with
-   m of K lanes equal, s = (m/K - 2^-b) / (1 - 2^-b), kept down to SLACK standard deviations below
-   the threshold. What remains is confirmed on the full shingle sets of the two texts.
+4. A candidate first passes a size bound and the similarity estimated from the packed words by bit
+   counts: of u lanes filled in either node and b filled in both, e are equal; a third of unequal
+   fillings agree by chance, so s = (e - b/3) / (2/3) / u. It must come within SLACK standard
+   deviations of the threshold. What remains is confirmed on the full shingle sets of the two texts.
 5. Links become components by alternating large-star and small-star steps over distributed tables.
 
 With 25 bands of 5 minima a pair at similarity 0.85 shares no band with probability 4e-7.
@@ -38,13 +40,17 @@ from routeline.llm.common import (
 )
 
 SHINGLE, PERCENT = 3, 85
-BANDS, BAND_ROWS, BITS = 25, 5, 2
+BANDS, BAND_ROWS = 25, 5
 MINIMA = BANDS * BAND_ROWS
-SLACK = 6.0
+LANES = 512
+WORDS = LANES // 32
+SLACK = 5.0
+FAN = 16
 SEED = 20240501
 _LOW = 0x5555555555555555  # lowest bit of each two-bit lane
 
-FEATURES = ("struct<n:bigint,d1:bigint,d2:bigint,bands:array<bigint>,s0:bigint,s1:bigint,s2:bigint,s3:bigint>")
+SIGNATURE = [f"s{i}" for i in range(WORDS)]
+FEATURES = ("struct<n:bigint,d1:bigint,d2:bigint,bands:array<bigint>," + ",".join(f"{s}:bigint" for s in SIGNATURE) + ">")
 
 
 def shingle_sets(texts: pa.Array, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -92,12 +98,20 @@ def minima(h: np.ndarray, begin: np.ndarray) -> np.ndarray:
     return out
 
 
-def _packed(low: np.ndarray) -> list[np.ndarray]:
-    """Two-bit lanes of each row, 32 to a word."""
-    lanes = np.zeros((len(low), 128), dtype=np.uint64)
-    lanes[:, :MINIMA] = low
+def packed(h: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """Texts x WORDS: two bits of the smallest hash in each lane, 0 for an empty lane."""
+    n = len(begin) - 1
+    owner = np.repeat(np.arange(n), np.diff(begin))
+    part = mix(h ^ np.uint64(0xA4093822299F31D0))
+    lane = owner * LANES + (part >> np.uint64(64 - 9)).astype(np.int64)
+    order = np.lexsort((part, lane))
+    lane, part = lane[order], part[order]
+    first = np.ones(len(lane), bool)
+    first[1:] = lane[1:] != lane[:-1]
+    lanes = np.zeros(n * LANES, np.uint64)
+    lanes[lane[first]] = mix(part[first]) % np.uint64(3) + np.uint64(1)
     shift = np.arange(32, dtype=np.uint64) * np.uint64(2)
-    return [signed(np.bitwise_or.reduce(lanes[:, i * 32:(i + 1) * 32] << shift, axis=1)) for i in range(4)]
+    return np.bitwise_or.reduce(lanes.reshape(n, WORDS, 32) << shift, axis=2)
 
 
 def features(size: int = SHINGLE):
@@ -105,7 +119,7 @@ def features(size: int = SHINGLE):
     @F.arrow_udf(FEATURES)
     def signature(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for part in parts:
-            columns: list[list[np.ndarray]] = [[] for _ in range(8)]
+            columns: list[list[np.ndarray]] = [[] for _ in range(4 + WORDS)]
             for h, begin in shingle_sets(part, size):
                 n = np.diff(begin)
                 filled = np.flatnonzero(n)
@@ -120,8 +134,8 @@ def features(size: int = SHINGLE):
                 for r in range(BAND_ROWS):
                     band = mix(band + least[:, r::BAND_ROWS] + np.uint64(r + 1))
                 band = mix(band + np.arange(BANDS, dtype=np.uint64))
-                low = mix(least + np.uint64(0x452821E638D01377)) & np.uint64((1 << BITS) - 1)
-                for column, values in zip(columns, [n, *digest, signed(band), *_packed(low)], strict=True):
+                bits = signed(np.ascontiguousarray(packed(h, begin).T))
+                for column, values in zip(columns, [n, *digest, signed(band), *bits], strict=True):
                     column.append(values)
             flat = [np.concatenate(c) if c else np.zeros((0, BANDS) if i == 3 else 0, np.int64)
                     for i, c in enumerate(columns)]
@@ -129,7 +143,7 @@ def features(size: int = SHINGLE):
             offsets = pa.array(np.arange(len(flat[3]) + 1, dtype=np.int32) * BANDS, pa.int32())
             bands = pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(flat[3]).ravel()))
             arrays.insert(3, bands)
-            yield pa.StructArray.from_arrays(arrays, names=["n", "d1", "d2", "bands", "s0", "s1", "s2", "s3"])
+            yield pa.StructArray.from_arrays(arrays, names=["n", "d1", "d2", "bands", *SIGNATURE])
 
     return signature
 
@@ -153,21 +167,24 @@ def confirmer(size: int = SHINGLE):
     return confirm
 
 
-def estimate(left: str, right: str) -> Column:
-    """Similarity from the packed words of two nodes, corrected for lanes that agree by chance."""
-    differ = F.lit(0)
-    for i in range(4):
-        x = F.col(f"{left}.s{i}").bitwiseXOR(F.col(f"{right}.s{i}"))
-        lane = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(_LOW))
-        differ = differ + F.bit_count(lane)
-    chance = 2.0 ** -BITS
-    return ((1 - differ / F.lit(float(MINIMA))) - chance) / (1 - chance)
-
-
-def least_estimate(percent: int) -> float:
-    s, chance = percent / 100, 2.0 ** -BITS
-    equal = chance + (1 - chance) * s
-    return s - SLACK * (equal * (1 - equal) / MINIMA) ** 0.5 / (1 - chance)
+def likely(left: str, right: str, percent: int) -> Column:
+    """Size bound, then the corrected estimate within SLACK deviations of the threshold."""
+    low = F.lit(_LOW)
+    filled = lambda x: x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(low)
+    either, both, unequal = F.lit(0), F.lit(0), F.lit(0)
+    for s in SIGNATURE:
+        x, y = F.col(f"{left}.{s}"), F.col(f"{right}.{s}")
+        either = either + F.bit_count(filled(x.bitwiseOR(y)))
+        both = both + F.bit_count(filled(x).bitwiseAND(filled(y)))
+        unequal = unequal + F.bit_count(filled(x.bitwiseXOR(y)))
+    same = (either - unequal).cast("double")
+    s = percent / 100
+    estimate = (same - both / F.lit(3.0)) / F.lit(2 / 3) / either
+    n, m = F.col(f"{left}.n"), F.col(f"{right}.n")
+    # lanes sample the united set without replacement; unequal fillings agree by chance
+    missed = F.greatest(F.lit(0.05), 1 - either * F.lit(1 + s) / (n + m))
+    deviation = F.sqrt(F.lit(s * (1 - s)) * missed / either + F.lit((1 - s) / 2) / either)
+    return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (estimate >= F.lit(s) - deviation * SLACK)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -204,18 +221,11 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("b").alias("node"), F.col("a").alias("label"))
 
 
-def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The candidate pairs (a, b) whose full shingle sets reach the threshold."""
-    bits = nodes.select("node", "n", "s0", "s1", "s2", "s3")
-    a, b = bits.withColumnRenamed("node", "__a").alias("l"), bits.withColumnRenamed("node", "__b").alias("r")
-    small, large = F.least(F.col("l.n"), F.col("r.n")), F.greatest(F.col("l.n"), F.col("r.n"))
-    likely = (pairs.join(a, F.col("a") == F.col("__a")).join(b, F.col("b") == F.col("__b"))
-              .filter((small * 100 >= large * percent) & (estimate("l", "r") >= least_estimate(percent)))
-              .select("a", "b").distinct())
-    likely = stored(likely, "likely")
+def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full shingle sets reach the threshold."""
     # the texts travel once: both joins read the same shuffle of (node, text)
     texts = docs.select("node", "text")
-    both = (likely.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
+    both = (pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
             .join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b"))
     found = both.withColumn("found", confirmer(size)("text_a", "text_b"))
     return (found.filter((F.col("found.shared") * 100 >= F.col("found.united") * percent))
@@ -229,19 +239,29 @@ def classify(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size:
     seen = stored(source.withColumn("f", features(size)("text")).select("node", "f.*"), "shingles")
     filled = seen.filter("n > 0 and node is not null")
     # one node per distinct set; its band hashes and bits are the same for all rows of the class
-    classes = stored(filled.groupBy("d1", "d2", "n").agg(F.min("node").alias("node")), "classes")
+    classes = stored(filled.groupBy("d1", "d2", "n").agg(
+        F.min("node").alias("node"), F.count("*").alias("copies")), "classes")
     nodes = stored(
-        filled.join(classes.select("node", "d1", "d2").distinct(), ["node", "d1", "d2"], "left_semi")
+        filled.join(classes.select("node", "d1", "d2", "copies"), ["node", "d1", "d2"])
         .dropDuplicates(["node", "d1", "d2"]), "nodes")
-
-    by_band = nodes.select("node", F.explode("bands").alias("band"))
-    groups = by_band.groupBy("band").agg(F.min("node").alias("centre"), F.max("node").alias("last")).filter("centre < last")
-    # first round: the smallest node of each group is its centre
-    members = stored(by_band.join(groups.drop("last"), "band"), "members")
-    pairs = members.filter("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
-    labels = components(_links(pairs, nodes, source, size, percent))
+    bits = nodes.select("node", "n", *SIGNATURE)
+
+    by_band = nodes.select("node", "copies", F.explode("bands").alias("band"))
+    groups = by_band.groupBy("band").agg(
+        F.min("node").alias("lo"), F.max("node").alias("hi"),
+        F.max(F.struct("copies", (-F.col("node")).alias("first"))).alias("c")).filter("lo < hi")
+    # first round: the most copied node of each group is its centre
+    members = stored(by_band.drop("copies").join(
+        groups.select("band", (-F.col("c.first")).alias("centre")), "band"), "members")
+    pairs = members.filter("node <> centre").select(
+        F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b")).distinct()
+    a, b = (bits.withColumnRenamed("node", f"__{x}").alias(f"side_{x}") for x in "ab")
+    pairs = (pairs.join(a, F.col("a") == F.col("__a")).join(b, F.col("b") == F.col("__b"))
+             .filter(likely("side_a", "side_b", percent)).select("a", "b"))
+    tested = stored(pairs, "likely")
+    labels = components(_confirmed(tested, source, size, percent))
     members = members.filter("node <> centre").drop("centre")
-    fan = 4
+    fan = FAN
     while True:
         named = (members.join(labels, "node", "left")
                  .select("band", "node", F.coalesce("label", "node").alias("label")))
@@ -250,17 +270,20 @@ def classify(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size:
         named = stored(named.join(open_groups, "band", "left_semi"), "open")
         if named.isEmpty():
             break
-        centres = (named.groupBy("band", F.pmod(F.xxhash64("node", F.lit(fan)), F.lit(fan)).alias("slot"))
-                   .agg(F.min_by(F.struct("node", "label"), "node").alias("c"))
-                   .select("band", F.col("c.node").alias("a"), F.col("c.label").alias("a_label")))
-        centres = stored(centres, "centres")
-        met = named.join(centres, "band").filter("label <> a_label")
-        pairs = met.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
-        links = _links(pairs, nodes, source, size, percent)
+        centres = stored(
+            named.groupBy("band", F.pmod(F.xxhash64("node", F.lit(fan)), F.lit(fan)).alias("slot"))
+            .agg(F.min_by(F.struct("node", "label"), "node").alias("c"))
+            .select("band", F.col("c.node").alias("node"), F.col("c.label").alias("label")), "centres")
+        a, b = centres.join(bits, "node").alias("side_a"), named.join(bits, "node").alias("side_b")
+        pairs = a.join(b, (F.col("side_a.band") == F.col("side_b.band")) & (F.col("side_a.label") != F.col("side_b.label"))
+                       & likely("side_a", "side_b", percent)).select(
+            F.least("side_a.node", "side_b.node").alias("a"), F.greatest("side_a.node", "side_b.node").alias("b"))
+        fresh = stored(pairs.distinct().join(tested, ["a", "b"], "left_anti"), "likely")
+        tested = tested.union(fresh)
+        links = _confirmed(fresh, source, size, percent)
         labels = components(links.union(labels.select(F.col("label").alias("a"), F.col("node").alias("b"))))
-        members = named.select("band", "node").join(
-            centres.select("band", F.col("a").alias("node")), ["band", "node"], "left_anti")
-        fan *= 4
+        members = named.select("band", "node").join(centres.select("band", "node"), ["band", "node"], "left_anti")
+        fan *= FAN
     return _answer(seen, classes, labels)
 
 
