@@ -223,7 +223,7 @@ def compare(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     # a pair without cells at all has no row: nothing differs
     shared = lambda k: F.col("n_own") - F.coalesce(f"left_{k}", F.lit(0))
     united = lambda k: F.col("n_own") + F.coalesce(f"right_{k}", F.lit(0))
-    near = lambda k: F.when(united(k) == 0, 1.0).otherwise(shared(k) / united(k))
+    near = lambda k: F.coalesce(F.try_divide(shared(k).cast("double"), united(k).cast("double")), F.lit(1.0))
     return rows.join(apart, "key", "left").select(
         F.when(F.col("key") != NO_ID, F.col("key")).alias("doc_id"), "n_chars", "edited_sha256", "fingerprint",
         "edited_fingerprint", near(0).alias("near_edited"), near(1).alias("near_next"))

@@ -68,7 +68,7 @@ def plan(docs: DataFrame, text: str = "text", source: str = "source", key: tuple
     sized = docs.drop("size", "source_size", "target", "copies").withColumn("size", word_count(F.col(text)))
     targets = source_targets(sized.select(F.col(source), "size"), source, "size", weights, budget, limit)
     targets = targets.withColumnRenamed("source", "__source")
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+    rate = F.coalesce(F.try_divide(F.col("target"), F.col("source_size").cast("double")), F.lit(0.0))
     draw = uniform(seed, *[F.col(k) for k in key])
     return (sized.join(targets, F.col(source).eqNullSafe(F.col("__source"))).drop("__source")
             .withColumn("copies", (F.floor(rate) + (draw < rate - F.floor(rate)).cast("int")).cast("int")))

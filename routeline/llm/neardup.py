@@ -178,6 +178,7 @@ def likely(left: str, right: str, percent: int) -> Column:
         both = both + F.bit_count(filled(x).bitwiseAND(filled(y)))
         unequal = unequal + F.bit_count(filled(x.bitwiseXOR(y)))
     same = (either - unequal).cast("double")
+    either = F.greatest(either, F.lit(1)).cast("double")
     s = percent / 100
     estimate = (same - both / F.lit(3.0)) / F.lit(2 / 3) / either
     n, m = F.col(f"{left}.n"), F.col(f"{right}.n")

@@ -88,7 +88,7 @@ def figures(texts: pa.Array) -> Iterator[dict[str, np.ndarray]]:
         line_break = data == 10
         line_start = np.unique(np.concatenate([offsets[:-1], np.flatnonzero(line_break) + 1]))
         line_start = line_start[line_start < len(data)]
-        line_end = np.append(line_start[1:], len(data))
+        line_end = np.append(line_start[1:], len(data))[:len(line_start)]
         closed = line_end - 1
         line_end = np.where(line_break[closed], closed, line_end) if len(closed) else line_end
         line_text = np.searchsorted(offsets, line_start, side="right") - 1
@@ -148,7 +148,7 @@ RULES = (
 
 def vote(rule: Rule) -> Column:
     """1 good, -1 bad, 0 abstain."""
-    share = F.col(rule.part) / F.col(rule.whole)
+    share = F.try_divide(F.col(rule.part).cast("double"), F.col(rule.whole).cast("double"))
     return F.when(F.col(rule.whole) < 1, 0).when(share <= rule.good, 1).when(share >= rule.bad, -1).otherwise(0)
 
 
