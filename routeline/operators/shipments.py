@@ -66,21 +66,18 @@ def _with_gaps(events: DataFrame, line: Timeline) -> DataFrame:
 def hub_dwell(events: DataFrame, bottleneck_hours: float = C.LIMITS.bottleneck_hours) -> DataFrame:
     """Stay of each shipment at each hub.
 
-    Scans are counted per type before the per-hub merge, so however often a parcel is scanned the
-    shuffle carries one row per type. ``hub_events`` lists the scan types by first occurrence.
+    ``hub_events`` lists the scan types in order of (event_timestamp, event_id). The list is part of
+    the result; a stay holds the few scans one parcel gets at one hub.
     """
     require_non_negative_number(bottleneck_hours, "bottleneck_hours")
     place = ["shipment_id", "hub_id", "hub_name", "hub_city"]
-    by_type = events.filter(F.col("event_type").like("HUB_%")).groupBy(*place, "event_type").agg(
-        F.min("event_timestamp").alias("first"), F.max("event_timestamp").alias("last"),
-        F.min(_at()).alias("seen"), F.count(F.lit(1)).alias("n"))
-    stays = by_type.groupBy(*place).agg(
-        F.min("first").alias("hub_arrival_time"), F.max("last").alias("hub_departure_time"),
-        F.sum("n").alias("hub_event_count"),
-        F.sort_array(F.collect_list(F.struct("seen", "event_type", "n"))).alias("_types"))
+    stays = events.filter(F.col("event_type").like("HUB_%")).groupBy(*place).agg(
+        F.min("event_timestamp").alias("hub_arrival_time"),
+        F.max("event_timestamp").alias("hub_departure_time"),
+        F.count(F.lit(1)).alias("hub_event_count"),
+        F.sort_array(F.collect_list(F.struct("event_timestamp", "event_id", "event_type"))).alias("_scans"))
     hours = elapsed(F.col("hub_arrival_time"), F.col("hub_departure_time"), "hours")
-    listed = F.flatten(F.transform("_types", lambda t: F.array_repeat(t["event_type"],
-                                                                      t["n"].cast("int"))))
+    listed = F.transform("_scans", lambda scan: scan["event_type"])
     return stays.select(*place, "hub_arrival_time", "hub_departure_time", "hub_event_count",
                         listed.alias("hub_events"), hours.alias("hub_dwell_hours"),
                         (hours > bottleneck_hours).alias("is_bottleneck"))
@@ -290,10 +287,10 @@ def int_hub_throughput(stg: DataFrame) -> DataFrame:
 
 
 def _hub_role(hubs: DataFrame, prefix: str, key: str) -> DataFrame:
-    """The hub dimension in one role; ten master rows, safe to broadcast."""
-    return F.broadcast(hubs.select(
+    """The hub dimension in one role; the planner broadcasts it if it is small."""
+    return hubs.select(
         F.col("hub_id").alias(key), F.col("hub_name").alias(f"{prefix}_hub_name"),
-        F.col("city").alias(f"{prefix}_city"), F.col("region").alias(f"{prefix}_region")))
+        F.col("city").alias(f"{prefix}_city"), F.col("region").alias(f"{prefix}_region"))
 
 
 def fct_shipments(journeys: DataFrame, hubs: DataFrame) -> DataFrame:
@@ -325,8 +322,8 @@ def fct_shipments(journeys: DataFrame, hubs: DataFrame) -> DataFrame:
 
 
 def fct_hub_daily(throughput: DataFrame, hubs: DataFrame) -> DataFrame:
-    master = F.broadcast(hubs.select("hub_id", F.col("hub_name").alias("_name"), "city", "region",
-                                     "hub_type", "capacity_daily"))
+    master = hubs.select("hub_id", F.col("hub_name").alias("_name"), "city", "region",
+                         "hub_type", "capacity_daily")
     return throughput.join(master, "hub_id", "left").select(
         surrogate_key(F.col("hub_id"), F.col("event_date")).alias("hub_daily_key"), "hub_id",
         F.col("event_date").alias("date_key"), F.col("_name").alias("hub_name"), "city",

@@ -51,16 +51,12 @@ select event_id, shipment_id, hub_id, event_type, event_timestamp,
 from ({SHIPMENT_EVENTS}) where event_type like 'HUB%'"""
 
 _DWELL = f"""
-with t as (
-  select shipment_id, hub_id, hub_name, hub_city, event_type, min(event_timestamp) as a,
-    max(event_timestamp) as b, min({_AT}) as seen, count(*) as n
-  from ({SHIPMENT_EVENTS}) where event_type like 'HUB%' group by all)
-select shipment_id, hub_id, hub_name, hub_city, min(a) as hub_arrival_time,
-  max(b) as hub_departure_time, cast(sum(n) as bigint) as hub_event_count,
-  string_agg(rtrim(repeat(event_type || ',', n), ','), ',' order by seen) as hub_events,
-  {hours_between("min(a)", "max(b)")} as hub_dwell_hours,
-  {hours_between("min(a)", "max(b)")} > 12 as is_bottleneck
-from t group by all"""
+select shipment_id, hub_id, hub_name, hub_city, min(event_timestamp) as hub_arrival_time,
+  max(event_timestamp) as hub_departure_time, count(*) as hub_event_count,
+  string_agg(event_type, ',' order by event_timestamp, event_id) as hub_events,
+  {hours_between("min(event_timestamp)", "max(event_timestamp)")} as hub_dwell_hours,
+  {hours_between("min(event_timestamp)", "max(event_timestamp)")} > 12 as is_bottleneck
+from ({SHIPMENT_EVENTS}) where event_type like 'HUB%' group by all"""
 SQL["hub_dwell"] = rounded(_DWELL, "hub_dwell_hours")
 
 _JOURNEYS = f"""

@@ -33,10 +33,16 @@ def build_session(app: str = "routeline", master: str | None = None, **conf: str
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a local one only where it is unset."""
+    """The shared folder named by ``spark.checkpoint.dir``.
+
+    Where it is unset, a local master gets a local folder; on a cluster that is an error, because
+    executors don't see each other's disks.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     root = os.path.join(tempfile.gettempdir(), "routeline-scratch")
     spark.conf.set("spark.checkpoint.dir", root)
     return root

@@ -21,11 +21,8 @@ Table = Callable[[SparkSession, str, str], DataFrame]
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A given table. One that comes in fewer splits than there are cores (a small file is one
-    row group, which one task reads) is dealt out to all of them first."""
-    df = spark.read.parquet(f"{root}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """A given table, in the splits its files give it."""
+    return spark.read.parquet(f"{root}/{name}.parquet")
 
 
 def stream_table(spark: SparkSession, root: str, name: str, **options: str) -> DataFrame:
