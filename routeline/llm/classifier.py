@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from routeline.llm.common import BASE_B, BYTE_VALUE, RunHash, mix, text_chunks
+from routeline.llm.common import BASE_B, BYTE_VALUE, RunHash, mix, stored, text_chunks
 
 DIM_BITS = 18
 DIM = 1 << DIM_BITS
@@ -122,16 +122,22 @@ def ftrl(index: list[np.ndarray], labels: np.ndarray, start: np.ndarray) -> np.n
     return np.where(n > 0, w, start)
 
 
-def train(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "label",
+def train(labels: DataFrame, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "label",
           max_rows: int = MAX_ROWS) -> np.ndarray:
-    """Weights learned from at most ``max_rows`` rows with a label."""
-    spark = labelled.sparkSession
+    """Weights learned from the documents of at most ``max_rows`` labels.
+
+    The sample is drawn from the labels, so it is small enough to broadcast (two numbers a row) and
+    the documents are not shuffled for it.
+    """
+    spark = labels.sparkSession
     order = F.xxhash64(F.col(doc_id), F.lit(SEED))
-    rows = (labelled.filter(F.col(label).isNotNull())
-            .select(order.alias("place"), F.coalesce(F.col(text), F.lit("")).alias("text"),
-                    F.col(label).cast("double").alias("label"))
-            .orderBy("place", "text", "label").limit(max_rows)
-            .withColumn("shard", F.pmod(F.col("place"), F.lit(SHARDS)).cast("int")))
+    sample = stored(
+        labels.filter(F.col(label).isNotNull())
+        .select(F.col(doc_id).alias("__id"), order.alias("place"), F.col(label).cast("double").alias("label"))
+        .orderBy("place", "label").limit(max_rows), "labels")
+    texts = docs.select(F.col(doc_id).alias("__id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rows = stored(texts.join(F.broadcast(sample), "__id").drop("__id").withColumn(
+        "shard", F.pmod(F.col("place"), F.lit(SHARDS)).cast("int")), "labelled")
     weights = np.zeros(DIM)
     for _ in range(ROUNDS):
         got = rows.groupBy("shard").applyInPandas(

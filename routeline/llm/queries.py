@@ -183,7 +183,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = bucket_of(F.col("doc_id"), 3) == 1
     labels = table(spark, sf_dir, "labels").filter(~held_out).select("doc_id", F.col("quality").alias("label"))
-    weights = classifier.train(docs.join(labels, "doc_id"))
+    weights = classifier.train(labels, docs)
     score = classifier.scorer(weights, spark)
     return docs.withColumn("score", score("text")).select(
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -121,8 +121,8 @@ def test_pieces(spark, docs, empty):
 
 
 def test_classifier(spark, docs, empty):
-    labelled = docs.select("doc_id", "text", F.lit(1).alias("label"))
-    scores = docs.select(classifier.scorer(classifier.train(labelled), spark)("text").alias("s")).collect()
+    labels = docs.select("doc_id", F.lit(1).alias("label"))
+    scores = docs.select(classifier.scorer(classifier.train(labels, docs), spark)("text").alias("s")).collect()
     assert all(0.5 <= r.s <= 1 for r in scores)
-    none = classifier.train(empty.withColumn("label", F.lit(1)))
+    none = classifier.train(empty.withColumn("label", F.lit(1)), empty)
     assert {r.s for r in docs.select(classifier.scorer(none, spark)("text").alias("s")).collect()} == {0.5}
