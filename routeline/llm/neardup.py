@@ -3,12 +3,12 @@
 1. One pass over the texts: distinct word shingles are hashed, and each text yields its set size, a
    128-bit digest of the set, hashes of BANDS groups of minima over independent permutations, and a
    b-bit signature: the minima of LANES parts of one permutation, each cut to two bits (0 for a part
-   without shingles, else one of three values), packed into sixteen words.
+   without shingles, else one of three values), packed into thirty-two words.
 2. Texts with equal sets (groups of exact copies, however large) become one class through the
    digest, an aggregate that is combined before its shuffle. Only one node per class goes on.
 3. Nodes that share a band are candidates. Groups are never paired off. In each round a group has a
-   few centres (first the node with most copies, then 16, 256, ... by hash), each compared only with
-   members not yet known to be linked to it. A centre leaves its group after its round, and a group
+   few centres (first the node with most copies, then 64, 4096, ... by hash), each compared only with
+   members not yet known to be linked to it, and a pair only in the first band that it shares. A centre leaves its group after its round, and a group
    ends when its remaining members carry one label. So every pair of a group is either compared or
    already known to be in one component: no link between components is lost, and a group of n
    alike copies costs n comparisons.
@@ -42,10 +42,10 @@ from routeline.llm.common import (
 SHINGLE, PERCENT = 3, 85
 BANDS, BAND_ROWS = 25, 5
 MINIMA = BANDS * BAND_ROWS
-LANES = 512
+LANES = 1024
 WORDS = LANES // 32
-SLACK = 5.0
-FAN = 16
+SLACK = 4.5
+FAN = 64
 SEED = 20240501
 _LOW = 0x5555555555555555  # lowest bit of each two-bit lane
 
@@ -103,7 +103,7 @@ def packed(h: np.ndarray, begin: np.ndarray) -> np.ndarray:
     n = len(begin) - 1
     owner = np.repeat(np.arange(n), np.diff(begin))
     part = mix(h ^ np.uint64(0xA4093822299F31D0))
-    lane = owner * LANES + (part >> np.uint64(64 - 9)).astype(np.int64)
+    lane = owner * LANES + (part >> np.uint64(64 - LANES.bit_length() + 1)).astype(np.int64)
     order = np.lexsort((part, lane))
     lane, part = lane[order], part[order]
     first = np.ones(len(lane), bool)
@@ -177,15 +177,21 @@ def likely(left: str, right: str, percent: int) -> Column:
         either = either + F.bit_count(filled(x.bitwiseOR(y)))
         both = both + F.bit_count(filled(x).bitwiseAND(filled(y)))
         unequal = unequal + F.bit_count(filled(x.bitwiseXOR(y)))
-    same = (either - unequal).cast("double")
-    either = F.greatest(either, F.lit(1)).cast("double")
     s = percent / 100
-    estimate = (same - both / F.lit(3.0)) / F.lit(2 / 3) / either
     n, m = F.col(f"{left}.n"), F.col(f"{right}.n")
-    # lanes sample the united set without replacement; unequal fillings agree by chance
-    missed = F.greatest(F.lit(0.05), 1 - either * F.lit(1 + s) / (n + m))
-    deviation = F.sqrt(F.lit(s * (1 - s)) * missed / either + F.lit((1 - s) / 2) / either)
-    return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (estimate >= F.lit(s) - deviation * SLACK)
+    # What to expect of two sets at similarity s: lanes filled in either, those filled in both but
+    # unequal (a third agree by chance; few where the sets are small), and how far equal lanes stray,
+    # since lanes sample the united set without replacement. Only the sizes enter.
+    united = (n + m) / F.lit(1 + s)
+    empty = lambda size: F.exp(-size / F.lit(float(LANES)))
+    lanes = (1 - empty(united)) * float(LANES)
+    missed = F.greatest(F.lit(0.05), 1 - lanes / united)
+    chance = (1 - empty(n) - empty(m) + empty(united)) * float(LANES) - lanes * s
+    chance = F.greatest(chance, F.lit(0.0)) * 1.5 + 2
+    deviation = F.sqrt(lanes * s * (1 - s) * missed + chance / 2)
+    # equal lanes are (either - unequal - both/3) / (2/3); they should be s * either
+    above = either * F.lit(1.5 - s) - unequal * F.lit(1.5) - both * F.lit(0.5)
+    return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (above >= deviation * -SLACK)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -262,7 +268,8 @@ def classify(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size:
     tested = stored(pairs, "likely")
     labels = components(_confirmed(tested, source, size, percent))
     members = members.filter("node <> centre").drop("centre")
-    fan = FAN
+    bits = nodes.select("node", "n", "bands", *SIGNATURE)
+    fan, texts = FAN, source
     while True:
         named = (members.join(labels, "node", "left")
                  .select("band", "node", F.coalesce("label", "node").alias("label")))
@@ -271,19 +278,25 @@ def classify(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size:
         named = stored(named.join(open_groups, "band", "left_semi"), "open")
         if named.isEmpty():
             break
+        # rounds only lose members, so the texts of these serve all later ones
+        texts = stored(texts.join(named.select("node").distinct(), "node", "left_semi"), "texts")
         centres = stored(
             named.groupBy("band", F.pmod(F.xxhash64("node", F.lit(fan)), F.lit(fan)).alias("slot"))
             .agg(F.min_by(F.struct("node", "label"), "node").alias("c"))
             .select("band", F.col("c.node").alias("node"), F.col("c.label").alias("label")), "centres")
+        named = named.join(centres.select("band", "node", F.lit(True).alias("centre")), ["band", "node"], "left")
         a, b = centres.join(bits, "node").alias("side_a"), named.join(bits, "node").alias("side_b")
+        # two centres meet once, and a pair counts in the first of the bands that it shares
         pairs = a.join(b, (F.col("side_a.band") == F.col("side_b.band")) & (F.col("side_a.label") != F.col("side_b.label"))
-                       & likely("side_a", "side_b", percent)).select(
+                       & (F.col("side_b.centre").isNull() | (F.col("side_a.node") < F.col("side_b.node")))
+                       & likely("side_a", "side_b", percent)
+                       & (F.array_intersect("side_a.bands", "side_b.bands")[0] == F.col("side_a.band"))).select(
             F.least("side_a.node", "side_b.node").alias("a"), F.greatest("side_a.node", "side_b.node").alias("b"))
         fresh = stored(pairs.distinct().join(tested, ["a", "b"], "left_anti"), "likely")
         tested = tested.union(fresh)
-        links = _confirmed(fresh, source, size, percent)
+        links = _confirmed(fresh, texts, size, percent)
         labels = components(links.union(labels.select(F.col("label").alias("a"), F.col("node").alias("b"))))
-        members = named.select("band", "node").join(centres.select("band", "node"), ["band", "node"], "left_anti")
+        members = named.filter("centre is null").select("band", "node")
         fan *= FAN
     return _answer(seen, classes, labels)
 
