@@ -228,6 +228,19 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("b").alias("node"), F.col("a").alias("label"))
 
 
+def relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (node, label) after further links (a, b): only components that meet are worked on.
+
+    The smallest node of a component has no row and stands for itself, as does a node without links.
+    """
+    met = links
+    for end in ("a", "b"):
+        met = met.join(labels.select(F.col("node").alias(end), F.col("label").alias(f"{end}_label")), end, "left")
+    new = components(met.select(F.coalesce("a_label", "a").alias("a"), F.coalesce("b_label", "b").alias("b")))
+    moved = labels.join(new.select(F.col("node").alias("label"), F.col("label").alias("now")), "label", "left")
+    return stored(moved.select("node", F.coalesce("now", "label").alias("label")).union(new), "labels")
+
+
 def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full shingle sets reach the threshold."""
     # the texts travel once: both joins read the same shuffle of (node, text)
@@ -268,7 +281,9 @@ def classify(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size:
     tested = stored(pairs, "likely")
     labels = components(_confirmed(tested, source, size, percent))
     members = members.filter("node <> centre").drop("centre")
-    bits = nodes.select("node", "n", "bands", *SIGNATURE)
+    # halves of the band hashes tell bands of one place apart well enough
+    bits = nodes.select("node", "n", F.transform("bands", lambda x: F.shiftright(x, 32).cast("int")).alias("bands"), *SIGNATURE)
+    half = F.shiftright("side_a.band", 32).cast("int")
     fan, texts = FAN, source
     while True:
         named = (members.join(labels, "node", "left")
@@ -290,12 +305,13 @@ def classify(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size:
         pairs = a.join(b, (F.col("side_a.band") == F.col("side_b.band")) & (F.col("side_a.label") != F.col("side_b.label"))
                        & (F.col("side_b.centre").isNull() | (F.col("side_a.node") < F.col("side_b.node")))
                        & likely("side_a", "side_b", percent)
-                       & (F.array_intersect("side_a.bands", "side_b.bands")[0] == F.col("side_a.band"))).select(
+                       & (F.array_intersect("side_a.bands", "side_b.bands")[0] == half)).select(
             F.least("side_a.node", "side_b.node").alias("a"), F.greatest("side_a.node", "side_b.node").alias("b"))
         fresh = stored(pairs.distinct().join(tested, ["a", "b"], "left_anti"), "likely")
         tested = tested.union(fresh)
-        links = _confirmed(fresh, texts, size, percent)
-        labels = components(links.union(labels.select(F.col("label").alias("a"), F.col("node").alias("b"))))
+        links = stored(_confirmed(fresh, texts, size, percent), "links")
+        if not links.isEmpty():
+            labels = relabelled(labels, links)
         members = named.filter("centre is null").select("band", "node")
         fan *= FAN
     return _answer(seen, classes, labels)
