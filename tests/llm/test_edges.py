@@ -126,3 +126,25 @@ def test_classifier(spark, docs, empty):
     assert all(0.5 <= r.s <= 1 for r in scores)
     none = classifier.train(empty.withColumn("label", F.lit(1)), empty)
     assert {r.s for r in docs.select(classifier.scorer(none, spark)("text").alias("s")).collect()} == {0.5}
+
+
+def test_near_copies_around_the_threshold(spark):
+    """Copies with 0 to 7 words changed: those of up to four link through the base, the others don't."""
+    base = [f"word{i}" for i in range(150)]
+    rows = []
+    for i in range(160):
+        text = list(base)
+        for j in range(i % 8):
+            text[(i * 13 + j * 19) % 150] = f"new{i}x{j}"
+        rows.append((i, " ".join(text)))
+    want = brute.near_classes(rows)
+    assert 1 < len({c for _, c in want.values()}) < len(rows)
+    got = neardup.classify(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+
+
+def test_relabelled(spark):
+    labels = spark.createDataFrame([(2, 1), (3, 1), (6, 5)], "node bigint, label bigint")
+    links = spark.createDataFrame([(3, 6), (0, 9), (2, 3)], "a bigint, b bigint")
+    got = {tuple(r) for r in neardup.relabelled(labels, links).collect()}
+    assert got == {(2, 1), (3, 1), (6, 1), (5, 1), (9, 0)}
