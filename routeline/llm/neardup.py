@@ -47,7 +47,6 @@ WORDS = LANES // 32
 SLACK = 4.5
 FAN = 64
 SEED = 20240501
-_LOW = 0x5555555555555555  # lowest bit of each two-bit lane
 
 SIGNATURE = [f"s{i}" for i in range(WORDS)]
 FEATURES = ("struct<n:bigint,d1:bigint,d2:bigint,bands:array<bigint>," + ",".join(f"{s}:bigint" for s in SIGNATURE) + ">")
@@ -99,7 +98,10 @@ def minima(h: np.ndarray, begin: np.ndarray) -> np.ndarray:
 
 
 def packed(h: np.ndarray, begin: np.ndarray) -> np.ndarray:
-    """Texts x WORDS: two bits of the smallest hash in each lane, 0 for an empty lane."""
+    """Texts x WORDS: two bits of the smallest hash in each lane, 0 for an empty lane.
+
+    The low bits of all lanes fill the first half of the words, the high bits the second.
+    """
     n = len(begin) - 1
     owner = np.repeat(np.arange(n), np.diff(begin))
     part = mix(h ^ np.uint64(0xA4093822299F31D0))
@@ -110,8 +112,11 @@ def packed(h: np.ndarray, begin: np.ndarray) -> np.ndarray:
     first[1:] = lane[1:] != lane[:-1]
     lanes = np.zeros(n * LANES, np.uint64)
     lanes[lane[first]] = mix(part[first]) % np.uint64(3) + np.uint64(1)
-    shift = np.arange(32, dtype=np.uint64) * np.uint64(2)
-    return np.bitwise_or.reduce(lanes.reshape(n, WORDS, 32) << shift, axis=2)
+    lanes = lanes.reshape(n, WORDS // 2, 64)
+    place = np.arange(64, dtype=np.uint64)
+    low = np.bitwise_or.reduce((lanes & np.uint64(1)) << place, axis=2)
+    high = np.bitwise_or.reduce((lanes >> np.uint64(1)) << place, axis=2)
+    return np.concatenate([low, high], axis=1)
 
 
 def features(size: int = SHINGLE):
@@ -167,16 +172,27 @@ def confirmer(size: int = SHINGLE):
     return confirm
 
 
+def signed_nodes(nodes: DataFrame, *columns: Column | str) -> DataFrame:
+    """``nodes`` with their sizes, signatures and numbers of filled lanes, declared never NULL.
+
+    Without the NULL checks the comparison stays a method small enough for the JVM to compile.
+    """
+    zero = F.lit(0).cast("bigint")
+    filled = F.lit(0)
+    for low, high in zip(SIGNATURE[:WORDS // 2], SIGNATURE[WORDS // 2:]):
+        filled = filled + F.bit_count(F.col(low).bitwiseOR(F.col(high)))
+    return nodes.select("node", *columns, F.coalesce(filled, F.lit(0)).alias("filled"),
+                        *[F.coalesce(c, zero).alias(c) for c in ("n", *SIGNATURE)])
+
+
 def likely(left: str, right: str, percent: int) -> Column:
     """Size bound, then the corrected estimate within SLACK deviations of the threshold."""
-    low = F.lit(_LOW)
-    filled = lambda x: x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(low)
-    either, both, unequal = F.lit(0), F.lit(0), F.lit(0)
-    for s in SIGNATURE:
-        x, y = F.col(f"{left}.{s}"), F.col(f"{right}.{s}")
-        either = either + F.bit_count(filled(x.bitwiseOR(y)))
-        both = both + F.bit_count(filled(x).bitwiseAND(filled(y)))
-        unequal = unequal + F.bit_count(filled(x.bitwiseXOR(y)))
+    both, unequal = F.lit(0), F.lit(0)
+    for low, high in zip(SIGNATURE[:WORDS // 2], SIGNATURE[WORDS // 2:]):
+        x0, x1, y0, y1 = (F.col(f"{side}.{s}") for side in (left, right) for s in (low, high))
+        both = both + F.bit_count(x0.bitwiseOR(x1).bitwiseAND(y0.bitwiseOR(y1)))
+        unequal = unequal + F.bit_count(x0.bitwiseXOR(y0).bitwiseOR(x1.bitwiseXOR(y1)))
+    fills = F.col(f"{left}.filled") + F.col(f"{right}.filled")
     s = percent / 100
     n, m = F.col(f"{left}.n"), F.col(f"{right}.n")
     # What to expect of two sets at similarity s: lanes filled in either, those filled in both but
@@ -189,8 +205,8 @@ def likely(left: str, right: str, percent: int) -> Column:
     chance = (1 - empty(n) - empty(m) + empty(united)) * float(LANES) - lanes * s
     chance = F.greatest(chance, F.lit(0.0)) * 1.5 + 2
     deviation = F.sqrt(lanes * s * (1 - s) * missed + chance / 2)
-    # equal lanes are (either - unequal - both/3) / (2/3); they should be s * either
-    above = either * F.lit(1.5 - s) - unequal * F.lit(1.5) - both * F.lit(0.5)
+    # equal lanes are (either - unequal - both/3) / (2/3); they should be s * either = s * (fills - both)
+    above = fills * F.lit(1.5 - s) - unequal * F.lit(1.5) - both * F.lit(2 - s)
     return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (above >= deviation * -SLACK)
 
 
@@ -264,7 +280,7 @@ def classify(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size:
     nodes = stored(
         filled.join(classes.select("node", "d1", "d2", "copies"), ["node", "d1", "d2"])
         .dropDuplicates(["node", "d1", "d2"]), "nodes")
-    bits = nodes.select("node", "n", *SIGNATURE)
+    bits = signed_nodes(nodes)
 
     by_band = nodes.select("node", "copies", F.explode("bands").alias("band"))
     groups = by_band.groupBy("band").agg(
@@ -282,7 +298,7 @@ def classify(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size:
     labels = components(_confirmed(tested, source, size, percent))
     members = members.filter("node <> centre").drop("centre")
     # halves of the band hashes tell bands of one place apart well enough
-    bits = nodes.select("node", "n", F.transform("bands", lambda x: F.shiftright(x, 32).cast("int")).alias("bands"), *SIGNATURE)
+    bits = signed_nodes(nodes, F.transform("bands", lambda x: F.shiftright(x, 32).cast("int")).alias("bands"))
     half = F.shiftright("side_a.band", 32).cast("int")
     fan, texts = FAN, source
     while True:
