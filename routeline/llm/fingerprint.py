@@ -17,10 +17,13 @@ Cells are rows keyed by pair (only non-empty cells exist), and all turns of a si
 because every aggregate keeps the partitioning by pair; a long document is many rows, not one large
 value. Texts are shuffled once; after that only digests travel.
 
-Defined cases: NULL text counts as empty: no digests, an empty fingerprint. Of rows that share an id,
-the one with the longest text (then the larger hash) counts, once. A NULL id is an id of its own,
-ordered first. A single document is its own next. Empty table: empty result. Other columns don't
-enter.
+Every row gives one row. Rows are ordered by id (NULL first), then text hash, then copy; the next
+document of a row is the one after it in this order, the first after the last. Rows alike in id and
+text are worked on once with their number of copies: the next of the last copy is the next group's
+text, that of the other copies is their own text.
+
+Defined cases: NULL text counts as empty: no digests, an empty fingerprint. A single document is its
+own next. Empty table: empty result. Other columns don't enter.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from routeline.llm.common import NO_ID, positioned, stored
+from routeline.llm.common import positioned, stored
 
 UNIT_END = r"\n|(?<=[.!?])[ \t]+"
 SUBTABLES = 3
@@ -40,6 +43,8 @@ LEAST_SIZE = 32      # cells per subtable
 GROWTH = 8
 TURNS = 12           # subtable turns per size
 PARTITION_DIGESTS = 400_000
+COPIES_PER_TASK = 100_000
+GROUP = ["has_id", "id", "text_hash"]  # rows alike in these are copies; also their order
 
 
 def digests(text: Column) -> Column:
@@ -157,39 +162,49 @@ def recover(pairs: Callable[[DataFrame | None], DataFrame], keys: list[str], lis
         left = pairs(failed.select(*keys)).join(failed, keys)
 
 
-def _neighbours(ids: DataFrame) -> DataFrame:
-    """ids with the length and key of the row before; the first row's is the last."""
-    placed = stored(positioned(ids, F.col("key")), "order")
+def _neighbours(groups: DataFrame) -> DataFrame:
+    """groups with their position, and position, length and columns of the group before; the first's is the last."""
+    placed = stored(positioned(groups, *map(F.col, GROUP)), "order")
     n = max(placed.count(), 1)
-    before = placed.select(F.pmod(F.col("position") + 1, F.lit(n)).alias("position"),
-                           F.col("key").alias("previous_key"), F.col("n_chars").alias("previous_chars"))
-    return placed.join(before, "position").drop("position")
+    before = placed.select(
+        F.pmod(F.col("position") + 1, F.lit(n)).alias("position"), F.col("position").alias("previous_position"),
+        F.col("n_chars").alias("previous_chars"), *[F.col(c).alias(f"previous_{c}") for c in GROUP])
+    return placed.join(before, "position")
 
 
 def fingerprint(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", share: int = 4) -> DataFrame:
-    """One row per document, written to scratch: its digests, those of its edited text, both sketches.
+    """Rows written to scratch: digests of a text, those of its edited text, both sketches, and ``times``.
 
-    The edited text has the beginning of the next document's in place of its last 1/``share``.
+    The edited text has the beginning of the next document's in place of its last 1/``share``. A
+    group of copies has a row for its last copy (even key) and, if there are more, one for the
+    ``times`` others (odd key). ``previous_key`` is the row whose next document is this one's text.
     """
     source = docs.select(
-        F.coalesce(F.col(doc_id).cast("bigint"), F.lit(NO_ID)).alias("key"),
+        F.col(doc_id).isNotNull().alias("has_id"), F.coalesce(F.col(doc_id).cast("bigint"), F.lit(0)).alias("id"),
         F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("text_hash", F.xxhash64("text"))
-    ids = (source.select("key", "text_hash", F.length("text").cast("bigint").alias("n_chars")).groupBy("key")
-           .agg(F.max(F.struct("n_chars", "text_hash")).alias("best")).select("key", "best.*"))
-    ids = stored(_neighbours(ids), "neighbours")
-    # joined on the key alone (an equality on the hash would become a join key), so that the one
-    # shuffle of the texts also serves the join with the heads
-    chosen = source.join(ids.withColumnRenamed("text_hash", "best_hash"), "key").filter(
-        "text_hash >= best_hash and text_hash <= best_hash")
-    # what the document before needs of this text; repeated rows meet in the aggregate
+    groups = source.select(*GROUP, F.length("text").cast("bigint").alias("n_chars")).groupBy(*GROUP).agg(
+        F.max("n_chars").alias("n_chars"), F.count("*").alias("copies"))
+    groups = stored(_neighbours(groups), "neighbours")
+    if (groups.agg(F.max("copies")).first()[0] or 0) > 1:
+        source = source.dropDuplicates(GROUP)
+    # the one shuffle of the texts, by group, also serves the join with the heads
+    chosen = source.join(groups, GROUP)
+    # what the group before needs of this text
     quarter = lambda n: F.floor(F.col(n) / share).cast("int")
-    heads = chosen.select(F.col("previous_key").alias("key"),
+    heads = chosen.select(*[F.col(f"previous_{c}").alias(c) for c in GROUP],
                           F.substr(F.col("text"), F.lit(1), quarter("previous_chars")).alias("head"))
     keep = (F.col("n_chars") - quarter("n_chars")).cast("int")
-    chosen, heads = chosen.dropDuplicates(["key"]), heads.dropDuplicates(["key"])
-    both = chosen.join(heads, "key").withColumn("edited", F.concat(F.substr(F.col("text"), F.lit(1), keep), F.col("head")))
+    last = F.struct((F.col("position") * 2).alias("key"), (F.col("previous_position") * 2).alias("previous_key"),
+                    F.lit(1).cast("bigint").alias("times"), F.col("head").alias("head"))
+    own = F.col("position") * 2 + 1
+    others = F.struct(own.alias("key"), own.alias("previous_key"), (F.col("copies") - 1).alias("times"),
+                      F.substr(F.col("text"), F.lit(1), quarter("n_chars")).alias("head"))
+    both = chosen.join(heads, GROUP).select("has_id", "id", "n_chars", "text", F.explode(F.array_compact(F.array(
+        last, F.when(F.col("copies") > 1, others)))).alias("copy"))
+    both = both.withColumn("edited", F.concat(F.substr(F.col("text"), F.lit(1), keep), F.col("copy.head")))
     rows = both.select(
-        "key", "previous_key", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        "copy.key", "copy.previous_key", "copy.times", F.when(F.col("has_id"), F.col("id")).alias("doc_id"), "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
         digests(F.col("text")).alias("own"), digests(F.col("edited")).alias("other"))
     rows = rows.withColumns({"own_cells": placed(F.col("own")), "other_cells": placed(F.col("other"))})
     rows = rows.withColumns({"fingerprint": written(F.col("own_cells")), "edited_fingerprint": written(F.col("other_cells"))})
@@ -200,8 +215,8 @@ def fingerprint(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sha
 def compare(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Fingerprints of every document and its edited text, and their likenesses."""
     rows = fingerprint(docs, doc_id, text)
-    counts = rows.agg(F.sum(F.size("own") + F.size("other"))).first()[0] or 0
-    parts = min(100_000, max(1, -(-2 * counts // PARTITION_DIGESTS)))
+    counts, most = rows.agg(F.sum(F.size("own") + F.size("other")), F.max("times")).first()
+    parts = min(100_000, max(1, -(-2 * (counts or 0) // PARTITION_DIGESTS)))
 
     def pairs(only: DataFrame | None) -> DataFrame:
         own = rows.select("key", "own", "other")
@@ -224,6 +239,14 @@ def compare(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     shared = lambda k: F.col("n_own") - F.coalesce(f"left_{k}", F.lit(0))
     united = lambda k: F.col("n_own") + F.coalesce(f"right_{k}", F.lit(0))
     near = lambda k: F.coalesce(F.try_divide(shared(k).cast("double"), united(k).cast("double")), F.lit(1.0))
-    return rows.join(apart, "key", "left").select(
-        F.when(F.col("key") != NO_ID, F.col("key")).alias("doc_id"), "n_chars", "edited_sha256", "fingerprint",
-        "edited_fingerprint", near(0).alias("near_edited"), near(1).alias("near_next"))
+    shown = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+    out = rows.join(apart, "key", "left").withColumns({"near_edited": near(0), "near_next": near(1)})
+    if (most or 1) == 1:
+        return out.select(*shown)
+    # copies are dealt out a bounded number at a time
+    out = out.select("key", "times", *shown, F.explode(F.sequence(
+        F.lit(0).cast("bigint"), F.col("times") - 1, F.lit(COPIES_PER_TASK).cast("bigint"))).alias("first"))
+    if most > COPIES_PER_TASK:
+        out = out.repartition("key", "first")
+    return out.select(*shown, F.explode(F.sequence(
+        "first", F.least(F.col("first") + COPIES_PER_TASK, F.col("times")) - 1)).alias("copy")).drop("copy")
