@@ -37,42 +37,69 @@ _BEFORE = {"prev_timestamp": "event_timestamp", "prev_speed": "speed_kmh",
            "prev_lat": "latitude", "prev_lng": "longitude"}
 
 
-def link_batch(batch: DataFrame, last: DataFrame | None,
-               line: Timeline = fleet.BY_VEHICLE) -> DataFrame:
-    """The points of a micro-batch with the point before each, given the last point of every
-    vehicle so far. The last points join the series as ordinary rows, so a hot vehicle is split
-    like in a batch table."""
-    points = batch.select(*_POINT, F.lit(False).alias("_known"))
-    if last is not None:
-        points = points.unionByName(last.select(*_POINT, F.lit(True).alias("_known")))
-    return with_neighbours(points, line, previous=_BEFORE).filter(~F.col("_known"))
-
-
-def last_points(batch: DataFrame, last: DataFrame | None) -> DataFrame:
-    """The newest point of every vehicle."""
-    points = batch.select(*_POINT)
-    if last is not None:
-        points = points.unionByName(last.select(*_POINT))
-    newest = F.max_by(F.struct(*_POINT), F.struct("event_timestamp", "event_id"))
-    return points.groupBy("vehicle_id").agg(newest.alias("p")).select("p.*")
+def link_points(points: DataFrame, line: Timeline = fleet.BY_VEHICLE) -> DataFrame:
+    """Points with the point before each; a hot vehicle is split like in a batch table."""
+    return with_neighbours(points, line, previous=_BEFORE)
 
 
-def stream_linked(positions: DataFrame, detect: Callable[[DataFrame], DataFrame], path: str,
-                  checkpoint: str, available_now: bool = False) -> StreamingQuery:
-    """Run ``detect`` over the linked points of every micro-batch and append its rows below
-    ``path/events``.
+def _with_closed(points: DataFrame, seen: DataFrame, lateness: str) -> DataFrame:
+    """Flag the points earlier than ``lateness`` before the newest point of their vehicle in
+    ``seen``. Points without a time come first in a series, so they are closed with any point."""
+    cuts = seen.groupBy(F.col("vehicle_id").alias("_vehicle")).agg(
+        (F.max("event_timestamp") - F.expr(f"interval '{lateness}'")).alias("_cut"))
+    time, cut = F.col("event_timestamp"), F.col("_cut")
+    closed = F.coalesce(cut.isNotNull() & (time.isNull() | (time < cut)), F.lit(False))
+    return points.join(cuts, F.col("vehicle_id").eqNullSafe(F.col("_vehicle")), "left") \
+        .withColumn("_closed", closed).drop("_vehicle", "_cut")
+
 
-    The last points live in two alternating folders: a batch reads the one its predecessor wrote
-    and writes the other, so a retried batch finds its input unchanged and replaces its output.
+def stream_linked(positions: DataFrame, detect: Callable[[DataFrame], DataFrame], path: str,
+                  checkpoint: str, available_now: bool = False,
+                  lateness: str = "1 hour") -> StreamingQuery:
+    """Run ``detect`` over linked points; the rows below ``path/events`` are the batch answer over
+    the points so far, in whatever order they arrived.
+
+    A vehicle's time is closed up to ``lateness`` before its newest point. Rows of closed time are
+    appended in a folder per batch; those of open time are in the folder ``batch=-1``, which every
+    batch replaces. The open points and the last closed one of each vehicle are held in two
+    alternating folders: a batch reads the one its predecessor wrote and writes the other, so a
+    retried batch finds its input unchanged and replaces its output. Closed points are kept below
+    ``path/points``: a point that comes later than ``lateness`` has all of them linked anew and the
+    events replaced, so ``lateness`` bounds the work, not the result.
     """
     def store(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch.persist()
-        last = spark.read.parquet(f"{path}/last/{(batch_id - 1) % 2}") if batch_id else None
-        detect(link_batch(batch, last)).write.mode("overwrite").parquet(
-            f"{path}/events/batch={batch_id}")
-        last_points(batch, last).write.mode("overwrite").parquet(f"{path}/last/{batch_id % 2}")
-        batch.unpersist()
+        points = batch.select(*_POINT, F.lit(False).alias("_known"))
+        again = False
+        if batch_id:
+            held = spark.read.parquet(f"{path}/held/{(batch_id - 1) % 2}")
+            again = not _with_closed(batch, held, lateness).filter("_closed").isEmpty()
+            if again:  # every closed point is linked anew
+                past = spark.read.parquet(f"{path}/points").filter(F.col("batch") < batch_id)
+                held = held.filter("not _known").unionByName(
+                    past.select(*_POINT, F.lit(True).alias("_known")))
+            points = points.unionByName(held)
+        points = _with_closed(points, points, lateness).persist()
+        linked = link_points(points).persist()
+        closed = linked.filter("_closed" if again else "_closed and not _known")
+        if again:
+            detect(closed).withColumn("batch", F.lit(batch_id)).write.mode("overwrite") \
+                .option("partitionOverwriteMode", "static").partitionBy("batch") \
+                .parquet(f"{path}/events")
+        else:
+            detect(closed).write.mode("overwrite").parquet(f"{path}/events/batch={batch_id}")
+        detect(linked.filter("not _closed")).write.mode("overwrite").parquet(
+            f"{path}/events/batch=-1")
+        points.filter("_closed and not _known").select(*_POINT).write.mode("overwrite").parquet(
+            f"{path}/points/batch={batch_id}")
+        newest = F.max_by(F.struct(*_POINT), F.struct("event_timestamp", "event_id"))
+        last = points.filter("_closed").groupBy("vehicle_id").agg(newest.alias("p")).select(
+            "p.*", F.lit(True).alias("_known"))
+        points.filter("not _closed").select(*_POINT, F.lit(False).alias("_known")) \
+            .unionByName(last).write.mode("overwrite").parquet(f"{path}/held/{batch_id % 2}")
+        for kept in (linked, points, batch):
+            kept.unpersist()
 
     writer = positions.select(*_POINT).writeStream.foreachBatch(store) \
         .option("checkpointLocation", checkpoint)
@@ -111,14 +138,16 @@ def geofence_crossings_of(fences: DataFrame,
 
 
 def stream_driving_events(positions: DataFrame, path: str, checkpoint: str,
-                          available_now: bool = False) -> StreamingQuery:
-    return stream_linked(positions, driving_events_of, path, checkpoint, available_now)
+                          available_now: bool = False,
+                          lateness: str = "1 hour") -> StreamingQuery:
+    return stream_linked(positions, driving_events_of, path, checkpoint, available_now, lateness)
 
 
 def stream_geofence(positions: DataFrame, fences: DataFrame, path: str, checkpoint: str,
-                    available_now: bool = False) -> StreamingQuery:
+                    available_now: bool = False, lateness: str = "1 hour") -> StreamingQuery:
     located = positions.filter("latitude is not null and longitude is not null")
-    return stream_linked(located, geofence_crossings_of(fences), path, checkpoint, available_now)
+    return stream_linked(located, geofence_crossings_of(fences), path, checkpoint, available_now,
+                         lateness)
 
 
 def stream_stops(positions: DataFrame, gap: str = "5 minutes", delay: str = "10 minutes",
