@@ -70,12 +70,10 @@ def stamp(df: DataFrame, column: str, as_of: Column | str | None = None) -> Data
     return df.withColumn(column, value)
 
 
-def dedup_events(df: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Drop repeated ``event_id``s: within the watermark on a stream, overall in a batch."""
-    if df.isStreaming:
-        return df.withWatermark("event_timestamp", delay) \
-            .dropDuplicatesWithinWatermark(["event_id"])
-    return df.dropDuplicates(["event_id"])
+def dedup_events(df: DataFrame) -> DataFrame:
+    """One row per ``event_id``; rows without an id are not repeats of each other."""
+    return df.filter("event_id is not null").dropDuplicates(["event_id"]) \
+        .unionByName(df.filter("event_id is null"))
 
 
 def with_event_watermark(df: DataFrame, delay: str = "5 minutes") -> DataFrame:

@@ -15,6 +15,7 @@ from routeline.operators import (
 from routeline.functions.values import compact_number, rounded
 from routeline.session import scratch_path
 from routeline.sources import feeds
+from routeline.sources.tables import read_bronze
 from routeline.streaming import detect, ingest, status
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -740,9 +741,13 @@ def stream_dedup(spark, root):
     twice = _position_stream(spark, root, clock="raw").unionByName(
         _position_stream(spark, root, clock="raw"))
     raw = encoded(twice, "vehicle_positions", "vehicle_id")
-    rows = ingest.bronze_rows(raw, "vehicle_positions", dedup_delay="1 hour")
-    return _drain(spark, rows, "dedup").select("event_id", "vehicle_id", "event_timestamp",
-                                               "speed_kmh")
+    path = scratch_path(spark, "dedup")
+    ingest.write_deduplicated(
+        ingest.bronze_rows(raw, "vehicle_positions"), f"{path}/bronze/vehicle_positions",
+        f"{path}/bronze_late/vehicle_positions", f"{path}/checkpoint", "1 hour",
+        available_now=True).awaitTermination()
+    return read_bronze(spark, path, "vehicle_positions").select(
+        "event_id", "vehicle_id", "event_timestamp", "speed_kmh")
 
 
 @query

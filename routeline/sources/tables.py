@@ -44,8 +44,11 @@ def read_topic(spark: SparkSession, topic: str, fmt: str = "kafka", **options: s
 
 def read_bronze(spark: SparkSession, root: str, table: str, date: str | None = None,
                 lookback_days: int = 0) -> DataFrame:
-    """A bronze table, or one day of it (plus earlier days); the filter prunes partitions."""
+    """A bronze table with its late rows, or one day of it (plus earlier days); the filter prunes
+    partitions."""
     df = spark.read.parquet(f"{root}/bronze/{table}")
+    if has_data(spark, f"{root}/bronze_late/{table}"):
+        df = df.unionByName(spark.read.parquet(f"{root}/bronze_late/{table}"))
     if date is None:
         return df
     day = F.lit(date).cast("date")

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from routeline.contracts import CONTRACTS, contract
 from routeline.operators import bronze
-from routeline.sources.tables import read_topic
+from routeline.sources.tables import has_data, read_topic
 
 FLAGS = {
     "vehicle_positions": lambda df: bronze.with_valid_speed(bronze.with_valid_location(df)),
@@ -19,11 +20,9 @@ FLAGS = {
 }
 
 
-def bronze_rows(raw: DataFrame, topic: str, dedup_delay: str | None = None,
-                as_of: Column | None = None) -> DataFrame:
-    """Decoded and flagged rows of a topic; repeats dropped within ``dedup_delay`` if given."""
-    rows = FLAGS[topic](bronze.parse_events(raw, contract(topic), as_of))
-    return bronze.dedup_events(rows, dedup_delay) if dedup_delay else rows
+def bronze_rows(raw: DataFrame, topic: str, as_of: Column | None = None) -> DataFrame:
+    """Decoded and flagged rows of a topic."""
+    return FLAGS[topic](bronze.parse_events(raw, contract(topic), as_of))
 
 
 def write_stream(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
@@ -41,12 +40,62 @@ def write_stream(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet"
     return writer.start(path)
 
 
+def write_deduplicated(df: DataFrame, path: str, late_path: str, checkpoint: str, delay: str,
+                       fmt: str = "parquet", available_now: bool = False) -> StreamingQuery:
+    """Append the first delivery of every event; repeats are looked up in the stored days.
+
+    A stored event is a repeat if its day is within ``delay`` of the batch's times. First
+    deliveries more than ``delay`` behind the newest stored time go to ``late_path``, which
+    ``read_bronze`` merges. A retried batch adds nothing, but rows without an id may repeat.
+    """
+    spark, span = df.sparkSession, F.expr(f"interval '{delay}'")
+    log = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_spark_metadata")
+    if log.getFileSystem(spark._jsc.hadoopConfiguration()).exists(log):
+        raise ValueError(f"{path} was written by a file sink, whose log hides other files")
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        batch.persist()
+        rows = bronze.dedup_events(batch)
+        first, last = batch.agg(F.to_date(F.min("event_timestamp") - span),
+                               F.to_date(F.max("event_timestamp") + span)).first()
+        newest = None
+        for known in (path, late_path):
+            if not has_data(session, known):
+                continue
+            stored = session.read.schema(batch.schema).format(fmt).load(known)
+            if known == path:
+                day = stored.agg(F.max("event_date")).first()[0]
+                newest = stored.filter(F.col("event_date") == F.lit(day)).agg(
+                    F.max("event_timestamp")).first()[0]
+            near = F.col("event_date").isNull()
+            if first is not None:
+                near = near | F.col("event_date").between(first, last)
+            rows = rows.join(stored.filter(near).select("event_id"), "event_id", "left_anti")
+        rows = rows.select(*batch.columns).persist()
+        late = F.coalesce(F.col("event_timestamp") < F.lit(newest).cast("timestamp") - span, F.lit(False))
+        for part, target in ((rows.filter(~late), path), (rows.filter(late), late_path)):
+            if target == path or not part.isEmpty():
+                part.hint("rebalance", "event_date").write.format(fmt).mode("append") \
+                    .partitionBy("event_date").save(target)
+        rows.unpersist()
+        batch.unpersist()
+
+    writer = df.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
+
+
 def ingest(spark: SparkSession, topic: str, root: str, checkpoints: str, fmt: str = "kafka",
            dedup_delay: str | None = None, available_now: bool = False, sink: str = "parquet",
            **options: str) -> StreamingQuery:
     raw = read_topic(spark, topic, fmt, **options)
-    return write_stream(bronze_rows(raw, topic, dedup_delay), f"{root}/bronze/{topic}",
-                        f"{checkpoints}/{topic}", sink, available_now=available_now)
+    rows, path = bronze_rows(raw, topic), f"{root}/bronze/{topic}"
+    if dedup_delay:
+        return write_deduplicated(rows, path, f"{root}/bronze_late/{topic}",
+                                  f"{checkpoints}/{topic}", dedup_delay, sink, available_now)
+    return write_stream(rows, path, f"{checkpoints}/{topic}", sink, available_now=available_now)
 
 
 def run_streams(spark: SparkSession, root: str, checkpoints: str,
