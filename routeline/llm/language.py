@@ -170,7 +170,15 @@ def _scores(words: Words, model: Model) -> np.ndarray:
 
 
 def _may_switch(s: np.ndarray, best: int, penalty: float) -> bool:
-    """Whether some stretch of words gains more than one switch costs by leaving ``best``."""
+    """Whether a path may beat the constant one in the best language.
+
+    A path that uses ``best`` has a switch for every other stretch, so one stretch must gain more
+    than a switch costs. One that never does has a switch at least, and can't do better than the
+    best other language at every word.
+    """
+    others = np.delete(s, best, axis=1)
+    if others.shape[1] > 1 and others.max(axis=1).sum() - penalty > s[:, best].sum():
+        return True
     run = np.cumsum(s - s[:, best:best + 1], axis=0)
     low = np.minimum.accumulate(np.vstack([np.zeros((1, s.shape[1])), run[:-1]]), axis=0)
     return bool((run - low).max() > penalty)
