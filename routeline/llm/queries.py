@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from routeline.llm import (
-    classifier, fingerprint, language, mixing, neardup, pieces, rules, secrets, substrings, urllists,
+    classifier, fingerprint, hardneg, language, mixing, neardup, pieces, rules, secrets, sharding, spelling,
+    substrings, urllists,
 )
 from routeline.llm.common import bucket_of, table
 
@@ -189,7 +190,115 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, in whole 1/256 units, after relabelling every seventh."""
+    vec_id = F.col("vec_id")
+    whole = F.transform("embedding", lambda x: F.floor(256.0 * x.cast("double")).cast("double"))
+    rows = table(spark, sf_dir, "embeddings").filter(hardneg.usable(F.col("embedding"))).select(
+        "vec_id", F.when(vec_id % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"),
+        whole.alias("embedding"))
+    return hardneg.mine(rows, vec_id % 100 == 0)
+
+
+OP11_SQL = """
+with usable as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(256 * x::double)) as v
+  from embeddings
+  where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+  select a.vec_id as anchor_id, b.vec_id as other, a.label = b.label as alike, list_dot_product(a.v, b.v)::bigint as score
+  from usable a join usable b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0),
+positives as (
+  select anchor_id, other as positive_id, score as positive_score from scored where alike
+  qualify row_number() over (partition by anchor_id order by score desc, other) <= 5)
+select anchor_id, positive_id, row_number() over w::integer as rank, other as negative_id, positive_score, score as negative_score
+from positives p join scored s using (anchor_id)
+where not alike and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+window w as (partition by anchor_id, positive_id order by score desc, other)
+qualify row_number() over w <= 10
+"""
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants among the words of all documents, with planted deletions."""
+    return spelling.group_variants(spelling.count_words(table(spark, sf_dir, "documents"), damage=97))
+
+
+def sql_crc32(data: str) -> str:
+    """CRC-32 of a blob in DuckDB, which has no such function; needs the common table ``crc_table(t)``."""
+    return (f"xor(list_reduce(list_transform(range(octet_length({data})), lambda i: "
+            f"('0x' || substr(hex({data}), i * 2 + 1, 2))::bigint), lambda c, b: "
+            f"xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295::bigint), 4294967295::bigint)")
+
+
+CRC_TABLE = """
+crc_steps as (
+  select range as n, 0 as step, range::bigint as c from range(256)
+  union all
+  select n, step + 1, case when c & 1 = 1 then xor(c >> 1, 3988292384::bigint) else c >> 1 end from crc_steps where step < 8),
+crc_table as (select list(c order by n) as t from crc_steps where step = 8)"""
+
+OP12_SQL = f"""
+with recursive {CRC_TABLE},
+runs as (
+  select doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz') as run from documents),
+distinct_runs as (
+  select run, encode(coalesce(doc_id::varchar, '') || ':' || run) as data, count(*) as n from runs group by all),
+hashed as (select run, n, {sql_crc32("data")} as h from distinct_runs, crc_table),
+damaged as (
+  select n, case when h % 97 = 0 then substr(run, 1, (h % length(run))::int) || substr(run, (h % length(run))::int + 2)
+                 else run end as word from hashed),
+words as (
+  select word, sum(n)::bigint as n from damaged where length(word) >= 5 group by word having sum(n) >= 3),
+cuts as (
+  select word, n, unnest(range(1, length(word) + 1)) as spot, substr(word, 1, spot - 1) || substr(word, spot + 1) as rest from words),
+near as (
+  select a.word, b.word as near, b.n as near_n from cuts a join cuts b on a.spot = b.spot and a.rest = b.rest and a.word <> b.word
+  union select c.word, w.word, w.n from cuts c join words w on c.rest = w.word
+  union select w.word, c.word, c.n from cuts c join words w on c.rest = w.word),
+best as (
+  select word, count(*) as n_near, first(near order by near_n desc, encode(near)) as form, max(near_n) as form_n
+  from near group by word),
+judged as (
+  select word, n, coalesce(n_near, 0) as n_near, case when form_n >= 2 * n then form end as form,
+         case when form_n >= 2 * n then form_n end as form_n
+  from words left join best using (word)),
+walk as (
+  select word, word as root, form as ahead from judged
+  union all
+  select walk.word, walk.ahead, judged.form from walk join judged on judged.word = walk.ahead)
+select word, n, n_near, form, form_n, root from judged join (select word, root from walk where ahead is null) using (word)
+"""
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents dealt to eight shards that each match the mixture of sources (law ``rows``)."""
+    return sharding.interleave(table(spark, sf_dir, "documents"), carry=["doc_id"])
+
+
+OP13_SQL = f"""
+with recursive {CRC_TABLE},
+sized as (
+  select doc_id, source, octet_length(encode(coalesce(text, ''))) + 1 as size,
+         {sql_crc32("encode(coalesce(text, ''))")} as crc from documents, crc_table),
+drawn as (
+  select *, cast('0x' || substr(sha256('{mixing.SEED}' || chr(31) || coalesce(doc_id::varchar, chr(30)) || chr(31) || crc), 1, 13)
+                 as bigint) / 4503599627370496.0 as draw from sized),
+ranked as (
+  select *, row_number() over (partition by source order by draw, doc_id, crc, size) - 1 as rank,
+         count(*) over (partition by source) as n, count(*) over () as total from drawn),
+placed as (
+  select *, row_number() over (order by (2 * rank + 1) / (2 * n), source is null, encode(source), rank) - 1 as spot from ranked)
+select doc_id, size::bigint as size, crc::bigint as text_crc32, 'rows' as law, (spot * 8 // total)::integer as shard,
+       (spot - ((spot * 8 // total) * total + 7) // 8)::bigint as slot, null::integer as grown_shard
+from placed
+"""
+
+
 LLM_QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_fingerprints, op2_minhash, op3_weak_supervision, op4_url_lists, op5_language, op6_secrets,
-    op7_substrings, op8_mixing, op9_pieces, op10_quality)}
-LLM_SQL: dict[str, str] = {"op4_url_lists": OP4_SQL, "op8_mixing": OP8_SQL}
+    op7_substrings, op8_mixing, op9_pieces, op10_quality, op11_hard_negatives, op12_spelling, op13_sharding)}
+LLM_SQL: dict[str, str] = {"op4_url_lists": OP4_SQL, "op8_mixing": OP8_SQL, "op11_hard_negatives": OP11_SQL,
+                           "op12_spelling": OP12_SQL, "op13_sharding": OP13_SQL}
