@@ -227,9 +227,8 @@ def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sql_crc32(data: str) -> str:
     """CRC-32 of a blob in DuckDB, which has no such function; needs the common table ``crc_table(t)``."""
-    return (f"xor(list_reduce(list_transform(range(octet_length({data})), lambda i: "
-            f"('0x' || substr(hex({data}), i * 2 + 1, 2))::bigint), lambda c, b: "
-            f"xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295::bigint), 4294967295::bigint)")
+    return (f"xor(list_reduce(list_transform(regexp_extract_all(hex({data}), '..'), lambda b: ('0x' || b)::bigint), "
+            f"lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295::bigint), 4294967295::bigint)")
 
 
 CRC_TABLE = """
