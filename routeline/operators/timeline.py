@@ -1,16 +1,21 @@
-"""Exact ordered-series operators that survive hot keys.
-
-A plain ``Window.partitionBy(key)`` sends a whole series to one task, so a single vehicle that
-holds a third of all rows would stall the job. Here every series is windowed per
-``(key, slice)``. Ordinary keys have the single slice 0, which is exactly the plain window: one
-shuffle, one sort. A key with at least ``hot_rows`` rows is cut into time slices that spread over
-the cluster; one summary row per slice (first row, last row, counts) is then windowed per key and
-joined back, so the first row of a slice sees the last row of the slice before it. Results do not
-depend on which keys were cut.
-
-The list of hot keys is a top-k by row count, therefore at most ``max_hot_keys`` rows whatever the
-data volume, which is what makes broadcasting it safe. When no key is hot the summary side is
-empty and adaptive execution removes it.
+"""Exact ordered-series operators over ranges, whatever the keys' sizes.
+
+A plain ``Window.partitionBy(key)`` sends a whole series to one task, so a vehicle with a third of
+all rows, or all rows without a time, would stall the job. Here the rows are cut into ranges of
+(key, time, tie-breaker), every key alike:
+
+* The cuts are rows of the table: those with the smallest hashes form a random sample of
+  ``slices * SAMPLES`` places, read as a scalar subquery over the key and order columns only. Every
+  ``SAMPLES``-th is the last place of a range, so a range holds about 1 / slices of all rows, and a
+  key is cut as often as its size asks for. A row finds its range by binary search.
+* Rows move once, by (key, range), and are sorted once. The last row of a range is a known place, so
+  that row is also sent to the next range, where ``lag`` finds it; for ``lead`` the rows up to the
+  first sampled place of a range go to the range before. These guests leave after the window.
+* Running numbers and as-of values start in each range. What they start from is carried by a scan
+  over one row per range of the keys that are cut, at most two a range.
+
+No pass counts keys, and nothing depends on how large a key is. Rows that agree in key, time and
+tie-breaker can't be told apart and stay together.
 """
 
 from __future__ import annotations
@@ -21,21 +26,20 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from routeline.functions.clock import micros
-
-NULL_KEY = "\u2400"           # groups the rows whose key is NULL, as a window would
-NULL_TIME_SLICE = -(2 ** 62)  # rows without a time sort first, so does their slice
+NULL_KEY = "␀"  # groups the rows whose key is NULL, as a window would
+SAMPLES = 16         # sampled places a range
 
 
 @dataclass(frozen=True)
 class Timeline:
-    """How to group and order a series. ``order[0]`` is a timestamp, the rest break ties."""
+    """How to group and order a series. ``order[0]`` is a timestamp, the rest break ties.
+
+    ``slices`` is the number of ranges, the session's shuffle partitions by default.
+    """
 
     keys: tuple[str, ...]
     order: tuple[str, ...] = ("event_timestamp", "event_id")
-    slice_seconds: int = 3600
-    hot_rows: int = 1_000_000
-    max_hot_keys: int = 4096
+    slices: int | None = None
 
 
 Field = Callable[[str], Column]
@@ -46,37 +50,65 @@ def _field(struct: str) -> Field:
     return lambda name: F.col(struct)[name]
 
 
-class _Sliced:
-    """The rows of a series tagged with grouping keys and slice, plus their hot subset."""
+class _Ranges:
+    """The rows of a series with their range, guests of the neighbouring ranges included."""
 
-    def __init__(self, df: DataFrame, line: Timeline):
+    def __init__(self, df: DataFrame, line: Timeline, before: bool = False, after: bool = False):
         self.keys = [f"_k{i}" for i in range(len(line.keys))]
-        self.where = [*self.keys, "_slice"]
+        self.where = [*self.keys, "_range"]
+        slices = line.slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         keyed = df.withColumns({
             alias: F.coalesce(F.col(key).cast("string"), F.lit(NULL_KEY))
             for alias, key in zip(self.keys, line.keys)
         })
-        hot = (
-            keyed.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("_n"))
-            .filter(F.col("_n") >= line.hot_rows)
-            .orderBy(F.desc("_n"), *self.keys).limit(line.max_hot_keys)
-            .select(*self.keys, F.lit(True).alias("_hot"))
+        place = F.struct(*self.keys, *line.order)
+        picked = keyed.select(place.alias("place")).orderBy(F.xxhash64("place"), "place").limit(
+            slices * SAMPLES)
+        sample = picked.agg(F.sort_array(F.collect_set("place"))).scalar()
+        # by index: every SAMPLES-th place ends a range
+        end = lambda i: F.get("_sample", i * SAMPLES + (SAMPLES - 1))
+        here = F.col("_place")
+
+        def narrowed(at: Column, step: Column) -> Column:
+            return F.when(end(at + step - 1) < here, at + step).otherwise(at)
+
+        steps = F.array(*[F.lit(1 << b) for b in reversed(range(slices.bit_length()))])
+        home = F.col("_home")
+        mine = lambda i: end(i)["_k0"].eqNullSafe(F.col("_k0")) if len(self.keys) == 1 else F.struct(
+            *[end(i)[k] for k in self.keys]).eqNullSafe(F.struct(*self.keys))
+        hosts = [F.array(home)]
+        if before:
+            hosts.append(F.when(end(home) == here, F.array(home + 1)))
+        if after:
+            first = F.get("_sample", home * SAMPLES)
+            hosts.append(F.when(mine(home - 1) & F.coalesce(here <= first, F.lit(True)),
+                                F.array(home - 1)))
+        none = F.array().cast("array<int>")
+        placed = (
+            keyed.withColumns({"_sample": sample, "_place": place})
+            .withColumn("_home", F.reduce(steps, F.lit(0), narrowed))
+            .withColumn("_cut", mine(home) | (F.coalesce(mine(home - 1), F.lit(False))))
         )
-        cut = F.coalesce(F.floor(micros(F.col(line.order[0])) / (line.slice_seconds * 1e6)),
-                         F.lit(NULL_TIME_SLICE))
-        self.rows = keyed.join(F.broadcast(hot), self.keys, "left").withColumn(
-            "_slice", F.when(F.col("_hot"), cut).otherwise(F.lit(0)).cast("long"))
-        self.hot = keyed.join(F.broadcast(hot), self.keys, "inner").withColumn(
-            "_slice", cut.cast("long"))
+        if len(hosts) > 1:
+            placed = placed.withColumn("_range", F.explode(F.concat(
+                *[F.coalesce(h, none) for h in hosts])))
+        else:
+            placed = placed.withColumn("_range", home)
+        self.rows = placed.withColumn("_guest", F.col("_range") != home).drop(
+            "_sample", "_place", "_home")
         self.window = Window.partitionBy(*self.where).orderBy(*line.order)
         self.running = self.window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        self.slices = Window.partitionBy(*self.keys).orderBy("_slice")
-        self.earlier = self.slices.rowsBetween(Window.unboundedPreceding, -1)
+        self.earlier = Window.partitionBy(*self.keys).orderBy("_range").rowsBetween(
+            Window.unboundedPreceding, -1)
         self.position = F.struct(*line.order)
 
-    def join(self, rows: DataFrame, summary: DataFrame) -> DataFrame:
-        return rows.join(summary, self.where, "left")
+    def carried(self, rows: DataFrame, within: Column, across: Column, name: str) -> DataFrame:
+        """``across`` over the ranges before, of ``within`` per range; only of keys that are cut."""
+        return (rows.filter("_cut and not _guest").groupBy(*self.where).agg(within.alias("_of"))
+                .withColumn(name, across.over(self.earlier)).select(*self.where, name))
 
+    def join(self, rows: DataFrame, carried: DataFrame) -> DataFrame:
+        return rows.join(carried, self.where, "left")
 
 
 def with_neighbours(df: DataFrame, line: Timeline, previous: dict[str, str] | None = None,
@@ -87,29 +119,23 @@ def with_neighbours(df: DataFrame, line: Timeline, previous: dict[str, str] | No
     ``previous`` and ``following`` map a new column name to the column it is taken from.
     """
     previous, following = previous or {}, following or {}
-    s = _Sliced(df, line)
-    rows, edges, carried, added = s.rows, [], [], {}
+    s = _Ranges(df, line, before=bool(previous), after=bool(following))
+    rows, added = s.rows, {}
     if previous:
         pack = F.struct(*sorted(set(previous.values())))
         rows = rows.withColumn("_prev", F.lag(pack).over(s.window))
-        edges.append(F.max_by(pack, s.position).alias("_last"))
-        carried.append(F.lag("_last").over(s.slices).alias("_carry_prev"))
-        both = F.coalesce(F.col("_prev"), F.col("_carry_prev"))
-        added.update({name: both[source] for name, source in previous.items()})
+        added.update({name: F.col("_prev")[source] for name, source in previous.items()})
     if following:
         pack = F.struct(*sorted(set(following.values())))
         rows = rows.withColumn("_next", F.lead(pack).over(s.window))
-        edges.append(F.min_by(pack, s.position).alias("_first"))
-        carried.append(F.lead("_first").over(s.slices).alias("_carry_next"))
-        both = F.coalesce(F.col("_next"), F.col("_carry_next"))
-        added.update({name: both[source] for name, source in following.items()})
+        added.update({name: F.col("_next")[source] for name, source in following.items()})
     if sequence:
-        rows = rows.withColumn("_pos", F.row_number().over(s.window))
-        edges.append(F.count(F.lit(1)).alias("_rows"))
-        carried.append(F.sum("_rows").over(s.earlier).alias("_before"))
+        own = F.sum(F.when(F.col("_guest"), 0).otherwise(1)).over(s.running)
+        rows = rows.withColumn("_pos", own)
+        before = s.carried(s.rows, F.count(F.lit(1)), F.sum("_of"), "_before")
+        rows = s.join(rows, before)
         added[sequence] = F.coalesce(F.col("_before"), F.lit(0)) + F.col("_pos")
-    summary = s.hot.groupBy(*s.where).agg(*edges).select(*s.where, *carried)
-    out = s.join(rows, summary).withColumns(added)
+    out = rows.filter("not _guest").withColumns(added)
     return out.select(*[c for c in df.columns if c not in added], *added)
 
 
@@ -122,47 +148,26 @@ def with_islands(df: DataFrame, line: Timeline, starts: Rule, uses: tuple[str, .
     listed in ``uses`` on the previous and the current row. ``previous`` exposes previous-row
     columns (taken from ``uses``) and ``flag`` the start marker.
     """
-    previous = previous or {}
-    s = _Sliced(df, line)
-    pack = F.struct(*uses)
-
-    def local(rows: DataFrame) -> DataFrame:
-        opened = F.when(F.col("_prev").isNotNull(), starts(_field("_prev"), F.col))
-        return rows.withColumn("_prev", F.lag(pack).over(s.window)).withColumn(
-            "_opens", F.coalesce(opened, F.lit(False)).cast("int"))
-
-    rows = local(s.rows).withColumn("_run", F.sum("_opens").over(s.running))
-    head_opens = F.when(F.col("_tail").isNull(), F.lit(1)).otherwise(
-        F.coalesce(starts(_field("_tail"), _field("_head")), F.lit(False)).cast("int"))
-    summary = (
-        local(s.hot).groupBy(*s.where)
-        .agg(F.sum("_opens").alias("_inner"), F.min_by(pack, s.position).alias("_head"),
-             F.max_by(pack, s.position).alias("_last"))
-        .withColumn("_tail", F.lag("_last").over(s.slices))
-        .withColumn("_head_opens", head_opens)
-        .withColumn("_base", F.sum(F.col("_inner") + F.col("_head_opens")).over(s.earlier))
-        .select(*s.where, "_tail", "_head_opens", "_base")
-    )
-    head = F.coalesce(F.col("_head_opens"), F.lit(1))
-    before = F.coalesce(F.col("_prev"), F.col("_tail"))
-    added = {name: before[source] for name, source in previous.items()}
-    added[island] = F.coalesce(F.col("_base"), F.lit(0)) + head + F.col("_run")
+    s = _Ranges(df, line, before=True)
+    opened = F.when(F.col("_prev").isNull(), True).otherwise(starts(_field("_prev"), F.col))
+    marked = s.rows.withColumn("_prev", F.lag(F.struct(*uses)).over(s.window)).withColumn(
+        "_opens", F.coalesce(opened & ~F.col("_guest"), F.lit(False)))
+    before = s.carried(marked, F.count_if("_opens"), F.sum("_of"), "_before")
+    rows = s.join(marked.withColumn("_run", F.sum(F.col("_opens").cast("int")).over(s.running)), before)
+    added = {name: F.col("_prev")[source] for name, source in (previous or {}).items()}
+    added[island] = F.coalesce(F.col("_before"), F.lit(0)) + F.col("_run")
     if flag:
-        added[flag] = F.when(F.col("_prev").isNull(), head == 1).otherwise(F.col("_opens") == 1)
-    out = s.join(rows, summary).withColumns(added)
+        added[flag] = F.col("_opens")
+    out = rows.filter("not _guest").withColumns(added)
     return out.select(*[c for c in df.columns if c not in added], *added)
 
 
 def with_last_seen(df: DataFrame, line: Timeline, value: Column, alias: str) -> DataFrame:
     """Add the latest non-NULL ``value`` at or before each row: the as-of lookup of a merged
     series of observations and requests, linear in its length."""
-    s = _Sliced(df.withColumn("_seen", value), line)
+    s = _Ranges(df.withColumn("_seen", value), line)
     rows = s.rows.withColumn("_here", F.last("_seen", ignorenulls=True).over(s.running))
-    when_seen = F.when(F.col("_seen").isNotNull(), s.position)
-    summary = (
-        s.hot.groupBy(*s.where).agg(F.max_by("_seen", when_seen).alias("_last"))
-        .withColumn("_carry", F.last("_last", ignorenulls=True).over(s.earlier))
-        .select(*s.where, "_carry")
-    )
-    out = s.join(rows, summary).withColumn(alias, F.coalesce("_here", "_carry"))
+    last = F.max_by("_seen", F.when(F.col("_seen").isNotNull(), s.position))
+    before = s.carried(s.rows, last, F.last("_of", ignorenulls=True), "_carry")
+    out = s.join(rows, before).withColumn(alias, F.coalesce("_here", "_carry"))
     return out.select(*[c for c in df.columns if c != alias], alias)

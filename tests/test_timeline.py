@@ -1,4 +1,4 @@
-"""Splitting hot keys must not change any result."""
+"""Cutting series into ranges must not change any result, and no task holds a whole large key."""
 
 import datetime as dt
 import random
@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from routeline.operators import alerting, delivery, fleet, shipments
 from routeline.operators.timeline import (
-    Timeline, with_islands, with_last_seen, with_neighbours,
+    Timeline, _Ranges, with_islands, with_last_seen, with_neighbours,
 )
 from routeline.sources import feeds
 
@@ -31,9 +31,8 @@ def series(spark):
 
 
 def lines():
-    cold = Timeline(keys=("key",))
-    return cold, [Timeline(keys=("key",), hot_rows=1, slice_seconds=s) for s in (60, 3600)] + [
-        Timeline(keys=("key",), hot_rows=100, slice_seconds=900)]
+    """From whole series to ranges of a few rows."""
+    return [Timeline(keys=("key",), slices=n) for n in (1, 4, 30)]
 
 
 def rows_of(df):
@@ -45,8 +44,7 @@ def test_neighbours_equal_plain_window(series):
     expected = series.withColumns({
         "p": F.lag("state").over(w), "n": F.lead("event_id").over(w),
         "i": F.row_number().over(w).cast("long")})
-    cold, split = lines()
-    for line in [cold, *split]:
+    for line in lines():
         got = with_neighbours(series, line, previous={"p": "state"}, following={"n": "event_id"},
                               sequence="i").select(*expected.columns)
         assert rows_of(got) == rows_of(expected)
@@ -58,8 +56,7 @@ def test_islands_equal_plain_window(series):
     changed = changed | ~F.lag("state").over(w).eqNullSafe(F.col("state"))
     expected = series.withColumn("c", changed).withColumn(
         "run", F.sum(F.col("c").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    cold, split = lines()
-    for line in [cold, *split]:
+    for line in lines():
         got = with_islands(series, line, lambda p, c: ~p("state").eqNullSafe(c("state")),
                            uses=("state",), island="run", flag="c").select(*expected.columns)
         assert rows_of(got) == rows_of(expected)
@@ -70,8 +67,7 @@ def test_last_seen_equals_plain_window(series):
     value = F.when(F.col("state") == "x", F.col("event_id"))
     expected = series.withColumn("v", F.last(value, ignorenulls=True).over(
         w.rowsBetween(Window.unboundedPreceding, 0)))
-    cold, split = lines()
-    for line in [cold, *split]:
+    for line in lines():
         assert rows_of(with_last_seen(series, line, value, "v")) == rows_of(expected)
 
 
@@ -81,10 +77,10 @@ def test_domain_operators_do_not_depend_on_the_split(spark):
     fences = feeds.geofences(spark, ROOT)
 
     def split(*keys):
-        return Timeline(keys=keys, hot_rows=1, slice_seconds=1800)
+        return Timeline(keys=keys, slices=500)
 
     def plain(*keys):
-        return Timeline(keys=keys)
+        return Timeline(keys=keys, slices=1)
 
     cases = [
         lambda t: fleet.reconstruct_trips(positions, line=t("vehicle_id")),
@@ -102,16 +98,49 @@ def test_domain_operators_do_not_depend_on_the_split(spark):
         assert rows_of(a.select(*rounded)) == rows_of(b.select(*rounded))
 
 
-def test_one_vehicle_with_half_of_all_rows_is_spread(spark):
-    """The hot series runs in many window partitions, the others in one each."""
-    from routeline.operators.timeline import _Sliced
-    hot = spark.range(2000).select(F.lit("hot").alias("key"), F.timestamp_seconds(
-        F.lit(1704067200) + F.col("id") * 60).alias("event_timestamp"),
-        F.col("id").cast("string").alias("event_id"))
-    cold = spark.range(50).select(F.lit("cold").alias("key"), F.timestamp_seconds(
-        F.lit(1704067200) + F.col("id")).alias("event_timestamp"),
-        F.col("id").cast("string").alias("event_id"))
-    s = _Sliced(hot.union(cold), Timeline(keys=("key",), hot_rows=1000))
-    slices = {r["_k0"]: r["n"] for r in s.rows.groupBy("_k0").agg(
-        F.countDistinct("_slice").alias("n")).collect()}
-    assert slices == {"hot": 34, "cold": 1}
+def largest(df, line, **kind):
+    """(rows of the largest window group, rows of the largest key, guests)."""
+    rows = _Ranges(df, line, **kind).rows
+    group = rows.groupBy("_k0", "_range").count().agg(F.max("count")).first()[0]
+    return group, df.groupBy("key").count().agg(F.max("count")).first()[0], rows.filter("_guest").count()
+
+
+def event(key, seconds):
+    return [key.alias("key"), seconds.alias("event_timestamp"), F.col("id").cast("string").alias("event_id")]
+
+
+def test_one_vehicle_with_most_rows_is_spread(spark):
+    at = F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 60)
+    df = spark.range(20_000).select(*event(F.when(F.col("id") % 50 == 0, "cold").otherwise("hot"), at))
+    group, whole, guests = largest(df, Timeline(keys=("key",), slices=40), before=True)
+    assert group < 4 * whole / 40 and guests <= 40
+
+
+def test_five_thousand_large_keys_are_spread(spark):
+    at = F.timestamp_seconds(F.lit(1704067200) + F.floor(F.col("id") / 5000))
+    df = spark.range(200_000).select(*event((F.col("id") % 5000).cast("string"), at))
+    line = Timeline(keys=("key",), slices=400)
+    tasks = _Ranges(df, line).rows.groupBy("_range").count().agg(F.max("count"), F.count("*")).first()
+    assert tasks[0] < 4 * 200_000 / 400 and tasks[1] > 390
+
+
+@pytest.mark.parametrize("at", [None, T0])
+def test_a_burst_without_or_at_one_time_is_spread(spark, at):
+    df = spark.range(20_000).select(*event(F.lit("hot"), F.lit(at).cast("timestamp")))
+    group, whole, guests = largest(df, Timeline(keys=("key",), slices=40), before=True, after=True)
+    assert group < 4 * whole / 40 and guests < whole / 8
+    got = with_neighbours(df, Timeline(keys=("key",), slices=40), sequence="i", previous={"p": "event_id"},
+                          following={"n": "event_id"})
+    ordered = sorted(map(str, range(20_000)))
+    assert [(r.event_id, r.p, r.n) for r in got.orderBy("i").collect()] == list(
+        zip(ordered, [None, *ordered], [*ordered[1:], None], strict=False))
+
+
+def test_every_table_is_read_once(spark):
+    """The cuts come from subqueries over the order columns; the rows themselves have one scan a table."""
+    scans = feeds.shipment_events(spark, ROOT)
+    leaves = lambda df: df._jdf.queryExecution().sparkPlan().collectLeaves().mkString("\n").count("FileScan")
+    for build in (shipments.journeys, shipments.stuck_shipments, shipments.journeys_risk_view):
+        assert leaves(build(scans)) == leaves(scans)
+    positions = feeds.vehicle_positions(spark, ROOT)
+    assert leaves(fleet.detect_driving_events(positions)) == leaves(positions)
