@@ -1,15 +1,19 @@
 """Spelling variants by blocked Gram matrices of letter counts.
 
 1. Words are counted over all texts (combined map-side, so a frequent word is a few partial sums).
-2. Words of one length are dealt by hash into blocks of bounded size. Blocks of equal and of adjacent
-   lengths meet in one task each: with A and B the letter counts of two blocks, |a|^2 + |b|^2 - 2 A B' are
-   all squared distances at once. One inserted or deleted letter changes them by 1, a replaced one by 2, so
-   pairs of at most 2 include every pair one edit apart; only those go on, and their letters are compared.
-3. A word's form is its most frequent near word if at least twice as frequent. Along forms the count at
+2. A word's block is its length and its numbers of letters of each class of CLASSES. One edit moves a word to an
+   adjacent block: a replaced letter leaves the length and moves at most one unit from one class to another
+   (letters of no class count as one more), an inserted letter adds one to the length and to one class at most.
+   So pairs one edit apart meet in the task of their blocks' componentwise minimum, to which each word goes in
+   2 * classes + 2 roles; of two roles only those pairs that one edit can make are multiplied.
+3. With A and B the letter counts of two blocks, |a|^2 + |b|^2 - 2 A B' are all squared distances at once, from
+   one product. One inserted or deleted letter makes 1, a replaced one 2, so pairs of at most 2 include every
+   pair one edit apart; only those go on, and their letters are compared.
+4. A word's form is its most frequent near word if at least twice as frequent. Along forms the count at
    least doubles, so a chain has fewer than 64 steps and six rounds of pointer doubling reach every root.
 
-Every word of a length meets every other, in blocks: no candidate is missed, and only near pairs are
-emitted. Tasks hold two blocks, whatever the vocabulary; one length with a third of all words has more blocks.
+No candidate is missed, and only near pairs are emitted. A task with more than ROOM words is dealt by hash into
+parts, and each pair of parts is a task of its own, so tasks stay bounded if one block holds a third of all words.
 
 Defined cases: NULL and empty texts have no words. A NULL id counts as the empty text in the hash. Ties of
 forms go to the word smallest in code-point order. Repeated rows count each. Empty table: empty result. Only
@@ -30,8 +34,12 @@ RUN = "[A-Za-zÀ-ÿ]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LEAST_LENGTH, LEAST_COUNT = 5, 3
 FACTOR = 2               # a form is at least so many times as frequent
-BLOCK_WORDS = 2048       # words a block
-BLOCK_LETTERS = 1 << 21  # letters a block, for very long words
+# Letters whose numbers choose a block. Any classes give the same result; alike frequent ones spread best.
+CLASSES = ("ei", "nas", "otr")
+ROOM = 1 << 16           # words that meet in one task
+LETTERS = 1 << 24        # and letters, for very long words
+TASK_ROWS = 50_000       # rows a task is planned for
+CELLS = 1 << 22          # distances at once
 CHAIN_ROUNDS = 6         # 2 ** 6 steps, more than a 64-bit count can double
 
 
@@ -54,12 +62,11 @@ def count_words(docs: DataFrame, text: str = "text", key: str = "doc_id", damage
         F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least_count)
 
 
-# ---- block pairs --------------------------------------------------------------------------------
+# ---- blocks --------------------------------------------------------------------------------------
 
-def _letters(words: pa.ChunkedArray, length: int) -> np.ndarray:
+def _letters(words: list[str], length: int) -> np.ndarray:
     """Code points, one row a word; the words have one length."""
-    data = "".join(words.to_pylist()).encode("utf-32-le")
-    return np.frombuffer(data, dtype=np.uint32).reshape(-1, length)
+    return np.frombuffer("".join(words).encode("utf-32-le"), dtype=np.uint32).reshape(-1, length)
 
 
 def letter_counts(letters: np.ndarray, alphabet: np.ndarray) -> np.ndarray:
@@ -70,7 +77,10 @@ def letter_counts(letters: np.ndarray, alphabet: np.ndarray) -> np.ndarray:
 
 
 def squared_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2 * (a @ b.T)
+    """|a|^2 + |b|^2 - 2 a b' of all rows, as one matrix product."""
+    one = lambda m: np.ones((len(m), 1), m.dtype)
+    norm = lambda m: (m * m).sum(1, keepdims=True)
+    return np.hstack([-2 * a, norm(a), one(a)]) @ np.hstack([b, one(b), norm(b)]).T
 
 
 def one_edit(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -83,63 +93,97 @@ def one_edit(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return ahead + behind >= length
 
 
-def block_pairs(a: np.ndarray, b: np.ndarray, same: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs one edit apart; of one block with itself each pair once."""
-    alphabet = np.union1d(a, b)
-    left, right = np.nonzero(squared_distances(letter_counts(a, alphabet), letter_counts(b, alphabet)) <= 2)
-    if same:
-        left, right = left[left < right], right[left < right]
-    step = max(1, BLOCK_LETTERS // a.shape[1])
-    parts = [one_edit(a[left[i:i + step]], b[right[i:i + step]]) for i in range(0, len(left), step)]
-    near = np.concatenate(parts) if parts else np.zeros(0, dtype=bool)
-    return left[near], right[near]
-
-
-NEAR_SCHEMA = "word string, n bigint, near string, near_n bigint"
-
-
-def _meet(key: tuple, group: pa.Table) -> pa.Table:
-    """Near pairs of one pair of blocks, in both directions."""
-    short, long, first, second = (k.as_py() for k in key)
-    one_block = short == long and first == second
-    a = group.filter(pc.equal(group["side"], 0))
-    b = a if one_block else group.filter(pc.equal(group["side"], 1))
-    i = j = np.zeros(0, dtype=np.int64)
-    if a.num_rows and b.num_rows:
-        i, j = block_pairs(_letters(a["word"], short), _letters(b["word"], long), one_block)
-    x, y = a.select(["word", "n"]).take(pa.array(i)), b.select(["word", "n"]).take(pa.array(j))
-    columns = [pa.chunked_array([*p.chunks, *q.chunks], type=p.type) for p, q in (
-        (x["word"], y["word"]), (x["n"], y["n"]), (y["word"], x["word"]), (y["n"], x["n"]))]
-    return pa.table(columns, names=["word", "n", "near", "near_n"])
-
-
-def near_words(words: DataFrame, block_words: int = BLOCK_WORDS, block_letters: int = BLOCK_LETTERS) -> DataFrame:
-    """(word, n, near, near_n) for every ordered pair of words one edit apart; ``words`` are distinct."""
-    room = F.greatest(F.lit(1), F.least(F.lit(block_words), F.lit(block_letters) / F.col("length")))
-    lengths = stored(words.groupBy(F.char_length("word").alias("length")).agg(F.count(F.lit(1)).alias("words"))
-                     .select("length", F.ceil(F.col("words") / F.floor(room)).cast("int").alias("blocks")), "lengths")
-    beside = lambda shift, name: lengths.select(
-        (F.col("length") - shift).alias("length"), F.col("blocks").alias(name))
-    sizes = stored(lengths.join(beside(1, "above"), "length", "left").join(beside(-1, "below"), "length", "left"), "blocks")
-    meetings = sizes.agg(F.coalesce(F.sum(
-        F.expr("blocks * (blocks + 1L) / 2 + blocks * coalesce(above, 0)")), F.lit(0)).cast("bigint")).first()[0]
-    own = F.pmod(F.crc32("word"), F.col("blocks")).cast("int")
-    numbers = lambda n: F.when(F.col(n) > 0, F.sequence(F.lit(0), F.col(n) - 1)).otherwise(F.lit([]).cast("array<int>"))
-
-    def meet(short: Column, long: Column, first: Column, second: Column, side: Column) -> Column:
-        return F.struct(short.cast("int").alias("short"), long.cast("int").alias("long"), first.alias("first"),
-                        second.alias("second"), side.cast("int").alias("side"))
-
-    length, me = F.col("length"), F.col("own")
-    keys = F.concat(
-        F.transform(numbers("blocks"), lambda o: meet(length, length, F.least(me, o), F.greatest(me, o), me > o)),
-        F.transform(numbers("above"), lambda o: meet(length, length + 1, me, o, F.lit(False))),
-        F.transform(numbers("below"), lambda o: meet(length - 1, length, o, me, F.lit(True))))
-    dealt = (words.withColumn("length", F.char_length("word")).join(sizes, "length")
-             .withColumn("own", own).select("word", "n", F.explode(keys).alias("k")).select("word", "n", "k.*"))
-    parts = int(min(max(2 * meetings, 1), 20_000))
-    by = ("short", "long", "first", "second")
-    return dealt.repartition(parts, *by).groupBy(*by).applyInArrow(_meet, NEAR_SCHEMA)
+def near_pairs(a: np.ndarray, b: np.ndarray, counts_a: np.ndarray, counts_b: np.ndarray,
+               same: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs one edit apart; of one block with itself (``same``) each pair once."""
+    lefts, rights = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    step, some = max(1, CELLS // max(len(b), 1)), max(1, CELLS // a.shape[1])
+    for start in range(0, len(a) if len(b) else 0, step):
+        left, right = np.nonzero(squared_distances(counts_a[start:start + step], counts_b) <= 2)
+        left += start
+        if same:
+            left, right = left[left < right], right[left < right]
+        for i in range(0, len(left), some):
+            x, y = left[i:i + some], right[i:i + some]
+            near = one_edit(a[x], b[y])
+            lefts.append(x[near])
+            rights.append(y[near])
+    return np.concatenate(lefts), np.concatenate(rights)
+
+
+def meetings(classes: int) -> list[tuple[int, int]]:
+    """Pairs of roles that one edit can make. Role 0 is the task's own block, role i has one more letter of
+    class i, role classes + 1 one more letter of no class, role classes + 1 + i one more of class i (and so
+    one more in length)."""
+    more, longer = range(1, classes + 1), range(classes + 1, 2 * classes + 2)
+    return [(0, 0), *[(0, i) for i in more], *[(i, j) for i in more for j in more if i < j], *[(0, k) for k in longer]]
+
+
+NEAR_SCHEMA = "word string, near string, near_n bigint"
+
+
+def _meet(classes: int):
+    def meet(key: tuple, group: pa.Table) -> pa.Table:
+        """Near pairs of one task, in both directions."""
+        length, one_part = key[0].as_py(), key[-2] == key[-1]
+        group = group.take(pc.sort_indices(group["role"]))
+        words, n = np.array(group["word"].to_pylist(), dtype=object), group["n"].to_numpy()
+        part = group["part"].to_numpy()
+        begin = np.searchsorted(group["role"].to_numpy(), np.arange(2 * classes + 3))
+        cut = begin[classes + 1]
+        short, long = _letters(words[:cut], length), _letters(words[cut:], length + 1)
+        alphabet = np.union1d(short, long)
+        counts = [letter_counts(m, alphabet) for m in (short, long)]
+        # rows of a role; the long ones count from the first long row
+        rows = [np.arange(begin[r], begin[r + 1]) - (cut if r > classes else 0) for r in range(2 * classes + 2)]
+        found = []
+        for r, s in meetings(classes):
+            side = int(s > classes)
+            for p, q in ([(None, None)] if one_part else [(0, 1), (1, 0)] if (r, s) != (0, 0) else [(0, 1)]):
+                x = rows[r] if p is None else rows[r][part[rows[r]] == p]
+                y = rows[s] if q is None else rows[s][part[rows[s] + side * cut] == q]
+                if len(x) and len(y):
+                    i, j = near_pairs(short[x], (short, long)[side][y], counts[0][x], counts[side][y],
+                                      (r, s) == (0, 0) and one_part)
+                    found.append((x[i], y[j] + side * cut))
+        i = np.concatenate([f[0] for f in found] or [np.zeros(0, np.int64)])
+        j = np.concatenate([f[1] for f in found] or [np.zeros(0, np.int64)])
+        a, b = np.concatenate([i, j]), np.concatenate([j, i])
+        return pa.table([pa.array(words[a], pa.string()), pa.array(words[b], pa.string()), pa.array(n[b], pa.int64())],
+                        names=["word", "near", "near_n"])
+    return meet
+
+
+def near_words(words: DataFrame, classes: tuple[str, ...] = CLASSES, room: int = ROOM, letters: int = LETTERS) -> DataFrame:
+    """(word, near, near_n) for every ordered pair of words one edit apart; ``words`` (word, n) are distinct."""
+    k = len(classes)
+    number = lambda c: F.char_length("word") - F.char_length(F.translate("word", c, ""))
+    names = [f"c{i}" for i in range(1, k + 1)]
+    block = words.select("word", "n", F.char_length("word").alias("length"), *[
+        number(c).alias(name) for c, name in zip(classes, names, strict=True)])
+
+    def role(r: int) -> Column:
+        of_class = r if r <= k else r - k - 1
+        return F.struct((F.col("length") - int(r > k)).alias("length"), *[
+            (F.col(name) - int(i == of_class)).alias(name) for i, name in enumerate(names, 1)], F.lit(r).alias("role"))
+
+    at = ["length", *names]
+    dealt = block.select("word", "n", F.explode(F.array(*[role(r) for r in range(2 * k + 2)])).alias("r")).select(
+        "word", "n", "r.*")
+    # a block can't hold fewer than no letters of a class, nor more than its length
+    dealt = dealt.filter(" and ".join([*[f"{c} >= 0" for c in names], f"{' + '.join(names)} <= length"]))
+    space = F.greatest(F.lit(1), F.least(F.lit(room), F.floor(letters / F.greatest("length", F.lit(1)))))
+    sizes = stored(dealt.groupBy(*at).agg(F.count(F.lit(1)).alias("rows")).select(
+        *at, "rows", F.ceil(F.col("rows") / space).cast("int").alias("parts")), "blocks")
+    rows = sizes.agg(F.sum(F.col("rows") * F.col("parts"))).first()[0] or 0
+    own, o = F.pmod(F.crc32("word"), F.col("parts")).cast("int"), F.col("other")
+    pairs = (dealt.join(sizes.drop("rows"), at).withColumn("own", own)
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+             .select("word", "n", *at, "role", (F.col("own") > o).cast("int").alias("part"),
+                     F.least("own", o).alias("first"), F.greatest("own", o).alias("second")))
+    by = (*at, "first", "second")
+    tasks = int(min(max(words.sparkSession.sparkContext.defaultParallelism, rows // TASK_ROWS), 100_000))
+    return pairs.repartition(tasks, *by).groupBy(*by).applyInArrow(_meet(k), NEAR_SCHEMA)
 
 
 # ---- forms and roots ----------------------------------------------------------------------------

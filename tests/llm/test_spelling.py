@@ -57,13 +57,14 @@ def test_query(spark):
 
 def test_blocks_of_any_size(spark):
     rng = random.Random(3)
-    words = {"".join(rng.choice("abé") for _ in range(rng.randint(5, 8))): rng.randint(3, 400) for _ in range(400)}
+    words = {"".join(rng.choice("abeé") for _ in range(rng.randint(5, 8))): rng.randint(3, 400) for _ in range(400)}
     words |= {"x" * 3000: 5, "x" * 2999 + "y": 30, "x" * 3001: 90}
     frame = spark.createDataFrame(list(words.items()), "word string, n bigint")
-    want = {(w, n, x, words[x]) for w, n in words.items() for x in words
-            if abs(len(w) - len(x)) <= 1 and x in edits(w, {"a", "b", "é", "x", "y"})}
-    for block in (17, 2048):
-        assert {tuple(r) for r in spelling.near_words(frame, block, 10_000).collect()} == want
+    want = {(w, x, words[x]) for w in words for x in words
+            if abs(len(w) - len(x)) <= 1 and x in edits(w, {"a", "b", "e", "é", "x", "y"})}
+    for classes, room in ((("a", "b", "é"), 17), (("a",), 5), (("ab", "e"), 2048), (("q", "r"), 40)):
+        got = spelling.near_words(frame, classes, room, 10_000).collect()
+        assert {tuple(r) for r in got} == want and len(got) == len(want)
     assert {tuple(r) for r in spelling.group_variants(frame).collect()} == grouped(words)
 
 
@@ -76,9 +77,12 @@ def test_chain_of_forms(spark):
 def test_ties_and_pairs():
     import numpy as np
     letters = lambda ws: np.array([[ord(c) for c in w] for w in ws], dtype=np.uint32)
+    alphabet = np.arange(ord("a"), ord("z") + 1, dtype=np.uint32)
+    pairs = lambda a, b, same: [x.tolist() for x in spelling.near_pairs(
+        a, b, spelling.letter_counts(a, alphabet), spelling.letter_counts(b, alphabet), same)]
     a = letters(["abcde", "abced", "abcdf"])
-    assert [x.tolist() for x in spelling.block_pairs(a, a, True)] == [[0], [2]]  # a swap is two edits
-    assert [x.tolist() for x in spelling.block_pairs(a, letters(["xabcde", "abcdfe", "abcdez"]), False)] == [[0, 0, 0, 2], [0, 1, 2, 1]]
+    assert pairs(a, a, True) == [[0], [2]]  # a swap is two edits
+    assert pairs(a, letters(["xabcde", "abcdfe", "abcdez"]), False) == [[0, 0, 0, 2], [0, 1, 2, 1]]
     for w in itertools.product("ab", repeat=4):
         assert bool(spelling.one_edit(letters(["aba"]), letters(["".join(w)]))[0]) == ("".join(w) in edits("aba", "ab"))
 
