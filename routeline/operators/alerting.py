@@ -48,24 +48,35 @@ def shipment_exception_records(events: DataFrame) -> DataFrame:
         F.col("event_timestamp").alias("alert_timestamp"))
 
 
-def unify_alerts(*alerts: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """One alert table: same columns, repeats of (module, type, entity, time) dropped, with a
-    stable id and the channels its severity is routed to."""
-    merged = reduce(DataFrame.unionByName, [a.select(*ALERT_COLUMNS) for a in alerts])
-    keys = ["module", "alert_type", "entity_id", "alert_timestamp"]
-    if merged.isStreaming:
-        unique = merged.withWatermark("alert_timestamp", delay).dropDuplicatesWithinWatermark(keys)
-    else:
-        worst = F.max_by(F.struct("severity", "entity_type"), F.struct(
-            labels.severity_score(F.col("severity")), "severity", "entity_type"))
-        unique = merged.groupBy(*keys).agg(worst.alias("w")).select(*keys, "w.*")
+ALERT_KEY = ["module", "alert_type", "entity_id", "alert_timestamp"]
+
+
+def worst_alerts(alerts: DataFrame) -> DataFrame:
+    """One row per (module, type, entity, time), the worst; the answer doesn't depend on the rows' order."""
+    worst = F.max_by(F.struct("severity", "entity_type"), F.struct(
+        labels.severity_score(F.col("severity")), "severity", "entity_type"))
+    return alerts.groupBy(*ALERT_KEY).agg(worst.alias("w")).select(*ALERT_KEY, "w.*")
+
+
+def with_alert_ids(alerts: DataFrame) -> DataFrame:
+    """The unified columns: a stable id and the channels the severity is routed to."""
     at = F.col("alert_timestamp").cast("timestamp")
-    return unique.select(
+    return alerts.select(
         F.md5(F.concat_ws("|", "module", "alert_type", "entity_id",
                           F.unix_micros(at).cast("string"))).alias("alert_id"),
         *ALERT_COLUMNS, channels_of(F.col("severity")).alias("channels"))
 
 
+def alert_records(*alerts: DataFrame) -> DataFrame:
+    return reduce(DataFrame.unionByName, [a.select(*ALERT_COLUMNS) for a in alerts])
+
+
+def unify_alerts(*alerts: DataFrame) -> DataFrame:
+    """One alert table: same columns, of repeats of (module, type, entity, time) the worst. Streams are
+    unified by ``streaming.detect.stream_alerts``, whose table can correct a row it has already given."""
+    return with_alert_ids(worst_alerts(alert_records(*alerts)))
+
+
 def channels_of(severity: Column) -> Column:
     chain = None
     for name, channels in C.ALERT_CHANNELS.items():

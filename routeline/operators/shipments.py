@@ -387,8 +387,14 @@ def hub_hops(events: DataFrame, date: str | None = None,
 
 
 def sla_tracking(events: DataFrame, definitions: DataFrame, since: str | None = None) -> DataFrame:
-    """Promised against actual days per shipment; ``since`` limits an incremental run to
-    shipments created from that day on."""
+    """Promised against actual days per shipment.
+
+    ``since`` limits a run to shipments created from that day on: those with a scan since then, with all their
+    scans, of which the older ones may show that a shipment was created before.
+    """
+    if since:
+        recent = events.filter(F.col("event_date") >= F.lit(since).cast("date"))
+        events = events.join(recent.select("shipment_id").distinct(), "shipment_id", "left_semi")
     rows = events.groupBy("shipment_id").agg(
         _last("origin_hub", "destination_hub", "promised_delivery", "route_hops").alias("s"),
         F.min(F.when(F.col("event_type") == "CREATED", F.col("event_timestamp")))
@@ -408,7 +414,7 @@ def sla_tracking(events: DataFrame, definitions: DataFrame, since: str | None =
         .alias("promised_date"),
         F.to_date("delivered_at").alias("actual_delivery_date"), "final_status")
     if since:
-        rows = rows.filter(F.col("created_date") >= since)
+        rows = rows.filter(F.col("created_date") >= F.lit(since).cast("date"))
     actual, promised = F.col("actual_delivery_date"), F.col("promised_date")
     keys = ["origin_hub", "destination_hub", "service_type"]
     return rows.join(definitions, keys, "left").select(

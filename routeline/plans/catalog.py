@@ -13,6 +13,7 @@ from routeline.operators import (
     alerting, bronze, delivery, dims, fleet, quality, serving, shipments, staging,
 )
 from routeline.functions.values import compact_number, rounded
+from routeline.plans import daily
 from routeline.session import scratch_path
 from routeline.sources import feeds
 from routeline.sources.tables import read_bronze
@@ -296,6 +297,16 @@ def sla_tracking(spark, root):
     return shipments.sla_tracking(_scans(spark, root), feeds.sla_definitions(spark, root))
 
 
+@query
+def sla_merge(spark, root):
+    """The scans up to a day, then all of them, merged with a look-back of three days."""
+    scans, definitions = _scans(spark, root), feeds.sla_definitions(spark, root)
+    table = daily.sla_table(spark, scratch_path(spark, "sla"))
+    daily.merge_sla(table, scans.filter("event_date <= date'1998-12-31'"), definitions)
+    daily.merge_sla(table, scans, definitions)
+    return table.read().drop("created_month")
+
+
 @query
 def hub_inventory(spark, root):
     return shipments.hub_inventory(_scans(spark, root))
@@ -783,6 +794,19 @@ def stream_status_upsert(spark, root):
     return status.read_status(spark, f"{path}/table")
 
 
+@query
+def stream_alerts(spark, root):
+    """All alert records as a stream, each twice, unified in a table that keeps the worst."""
+    path = scratch_path(spark, "alerts")
+    records = alerting.alert_records(
+        alerting.fleet_alert_records(feeds.alerts(spark, root, table=feeds.stream_table)),
+        alerting.shipment_exception_records(feeds.shipment_events(spark, root, table=feeds.stream_table)),
+        alerting.delivery_failure_records(feeds.delivery_events(spark, root, table=feeds.stream_table)))
+    detect.stream_alerts(records.unionByName(records), f"{path}/table", f"{path}/checkpoint",
+                         available_now=True).awaitTermination()
+    return detect.read_alerts(spark, f"{path}/table")
+
+
 @query
 def stream_failure_alerts(spark, root):
     failed = feeds.delivery_events(spark, root, table=feeds.stream_table)

@@ -13,6 +13,7 @@ from routeline.plans import warehouse
 from routeline.sources import sinks
 from routeline.sources.tables import BRONZE_PATHS, DATASET_PATHS, has_data, read_bronze, \
     read_parquet_tree
+from routeline.sources.versions import NULL_PARTITION, KeyedTable
 
 
 def processing_date(run_date: str) -> str:
@@ -66,6 +67,24 @@ def run_shifts(spark: SparkSession, root: str, date: str | None = None,
     return stored, zones
 
 
+def sla_table(spark: SparkSession, path: str) -> KeyedTable:
+    """Service levels, one row per shipment, in files of the month of creation."""
+    return KeyedTable(spark, path, ("shipment_id",), "created_month")
+
+
+def merge_sla(table: KeyedTable, events: DataFrame, definitions: DataFrame, lookback_days: int = 3) -> dict:
+    """Merge the shipments created since ``lookback_days`` before the newest one in the table; all at first.
+
+    A shipment whose row stays the same is not written, nor is a month without changes.
+    """
+    since, months = None, [p for p in table.partitions() if p != NULL_PARTITION]
+    if months:
+        since = table.read(lambda p: p == max(months)).agg(
+            F.date_sub(F.max("created_date"), lookback_days).cast("string")).first()[0]
+    rows = shipments.sla_tracking(events, definitions, since)
+    return table.merge(rows.withColumn("created_month", F.trunc("created_date", "month")))
+
+
 def run_daily(spark: SparkSession, root: str, date: str | None = None,
               as_of: str | None = None) -> DataFrame:
     """One day end to end; returns the quality report, which is also stored. Rerunning a day

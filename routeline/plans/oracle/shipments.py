@@ -253,7 +253,8 @@ select shipment_id, hop as hop_sequence, hub_id, hub_city, event_timestamp as ar
   {hours_between("event_timestamp", "nxt")} > 12 as is_bottleneck, hop = 1 as is_first_hub
 from h""", "dwell_time_hours")
 
-SQL["sla_tracking"] = f"""
+def _sla(events: str) -> str:
+    return f"""
 with s as (
   select shipment_id, max_by(origin_hub, {_AT}) as origin_hub,
     max_by(destination_hub, {_AT}) as destination_hub,
@@ -265,7 +266,7 @@ with s as (
       as actual_delivery_date,
     max(event_type) filter (event_type in ('DELIVERED', 'RETURNED_TO_ORIGIN', 'LOST'))
       as final_status
-  from ({SHIPMENT_EVENTS}) group by shipment_id),
+  from ({events}) group by shipment_id),
 d as (
   select distinct origin_hub, destination_hub, service_type,
     case when service_type = 'EXPRESS' then 3 else 7 end as promised_days
@@ -286,6 +287,17 @@ select shipment_id, origin_hub, destination_hub, service_type, created_date, pro
   actual_delivery_date <= promised_date as is_on_time
 from s left join d using (origin_hub, destination_hub, service_type)"""
 
+
+SQL["sla_tracking"] = _sla(SHIPMENT_EVENTS)
+
+SQL["sla_merge"] = f"""
+with before as ({_sla(f"select * from ({SHIPMENT_EVENTS}) where event_date <= date '1998-12-31'")}),
+merged as (
+  select * from ({_sla(SHIPMENT_EVENTS)})
+  where created_date >= (select max(created_date) - 3 from before))
+select * from merged
+union all select * from before where shipment_id not in (select shipment_id from merged)"""
+
 SQL["hub_inventory"] = f"""
 with d as (
   select hub_id, event_date, count(*) filter (event_type = 'HUB_ARRIVED') as packages_received,

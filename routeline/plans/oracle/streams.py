@@ -14,6 +14,7 @@ SQL: dict[str, str] = {
     "stream_geofence": f"select * exclude (dwell_time_seconds) "
                        f"from ({fleet.SQL['geofence_events']})",
     "stream_status_upsert": shipments.SQL["current_status"],
+    "stream_alerts": delivery.SQL["alerts_unified"],
 }
 
 SQL["stream_dedup"] = rounded(f"""

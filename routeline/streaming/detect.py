@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -14,6 +14,7 @@ from routeline.functions.clock import elapsed
 from routeline.operators import alerting, fleet
 from routeline.operators.bronze import with_event_watermark
 from routeline.operators.timeline import Timeline, with_neighbours
+from routeline.sources.versions import Generations
 
 
 def stream_speeding(positions: DataFrame, limit: float = C.LIMITS.speeding_kmh,
@@ -26,6 +27,31 @@ def stream_failure_alerts(deliveries: DataFrame) -> DataFrame:
     return alerting.delivery_failure_records(deliveries)
 
 
+def _alert_table(spark: SparkSession, path: str) -> Generations:
+    return Generations(spark, path, "entity_id", alerting.worst_alerts)
+
+
+def stream_alerts(alerts: DataFrame, path: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
+    """Unify alert records into a table that keeps the worst of each (module, type, entity, time).
+
+    The state is the table itself, so a repeat is known however late it comes: a worse one corrects the row,
+    a lesser one changes nothing. ``read_alerts`` gives the batch answer over all records so far.
+    """
+    def store(batch: DataFrame, batch_id: int) -> None:
+        table = _alert_table(batch.sparkSession, path)
+        table.add(batch.select(*alerting.ALERT_COLUMNS), batch_id)
+        table.vacuum()
+
+    writer = alerts.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
+
+
+def read_alerts(spark: SparkSession, path: str) -> DataFrame:
+    return alerting.with_alert_ids(_alert_table(spark, path).read())
+
+
 def as_messages(df: DataFrame) -> DataFrame:
     """One JSON ``value`` per row, for a message sink."""
     return df.select(F.to_json(F.struct("*")).alias("value"))

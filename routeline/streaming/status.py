@@ -1,9 +1,9 @@
 """Current shipment status, kept up to date by a stream.
 
-Each micro-batch stores one row per shipment it touched, in a folder named after the batch, so a
-retried batch replaces itself and the cost of a batch depends on the batch alone. Readers merge
-the batches by event time: an older event that arrives late never wins. ``compact`` folds the
-batches into a new base.
+A micro-batch adds one generation with a row per shipment that it touched, so its cost depends on the batch
+alone; generations are folded level by level (``sources.versions.Generations``), so a reader merges few of
+them however long the stream has run. Rows are merged by event time: an older event that arrives late
+never wins. A retried batch is known by its number and adds nothing.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from routeline.operators.shipments import current_status
+from routeline.sources.versions import Generations
 
 _KEPT = ("current_status", "current_hub_id", "last_event_id", "last_event_type",
          "last_event_timestamp", "current_latitude", "current_longitude")
@@ -26,10 +27,16 @@ def merge_status(rows: DataFrame) -> DataFrame:
         "shipment_id", "s.*", "created_at")
 
 
-def upsert_status(path: str):
+def status_table(spark: SparkSession, path: str, fan: int = 4) -> Generations:
+    return Generations(spark, path, "shipment_id", merge_status, fan)
+
+
+def upsert_status(path: str, fan: int = 4):
     """A ``foreachBatch`` function that stores the status rows of a batch."""
     def store(batch: DataFrame, batch_id: int) -> None:
-        current_status(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        table = status_table(batch.sparkSession, path, fan)
+        table.add(current_status(batch), batch_id)
+        table.vacuum()
     return store
 
 
@@ -42,14 +49,6 @@ def stream_status(events: DataFrame, path: str, checkpoint: str,
     return writer.start()
 
 
-def read_status(spark: SparkSession, path: str, base: str | None = None) -> DataFrame:
-    rows = spark.read.parquet(path).drop("batch")
-    if base:
-        rows = rows.unionByName(spark.read.parquet(base))
-    return merge_status(rows)
-
-
-def compact(spark: SparkSession, path: str, target: str, base: str | None = None) -> DataFrame:
-    """Write the merged status to ``target``, a new folder that readers then use as base."""
-    read_status(spark, path, base).write.mode("errorifexists").parquet(target)
-    return spark.read.parquet(target)
+def read_status(spark: SparkSession, path: str, shipment_id: str | None = None) -> DataFrame:
+    """The current status of every shipment, or of one, for which one bucket is opened."""
+    return status_table(spark, path).read(shipment_id)

@@ -144,23 +144,6 @@ def test_batch_size_does_not_change_stream_results(spark, tmp_path):
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, crossings.collect()))
 
 
-def test_status_ignores_late_events_and_compacts(spark, tmp_path):
-    scans = feeds.shipment_events(spark, ROOT).cache()
-    path = str(tmp_path / "status")
-    store = status.upsert_status(path)
-    newest = scans.orderBy(F.desc("event_timestamp"), F.desc("event_id")).limit(500)
-    store(newest.cache(), 0)          # the latest events arrive first
-    rest = scans.join(newest, "event_id", "left_anti")
-    store(rest, 1)
-    store(rest, 1)                    # a retried batch replaces itself
-    from routeline.operators.shipments import current_status
-    expected = sorted(map(tuple, current_status(scans).collect()))
-    got = status.read_status(spark, path)
-    assert sorted(map(tuple, got.select(*current_status(scans).columns).collect())) == expected
-    base = status.compact(spark, path, str(tmp_path / "base"))
-    assert base.count() == len(expected)
-
-
 def test_topic_selection(spark, tmp_path):
     for topic in ("alerts", "delivery_events"):
         folder = str(tmp_path / "topics" / topic)
@@ -178,19 +161,6 @@ def test_topic_selection(spark, tmp_path):
     assert not spark.streams.active
 
 
-def test_unified_alert_stream_drops_repeats(spark, tmp_path):
-    folder = str(tmp_path / "alerts")
-    alerts = feeds.alerts(spark, ROOT)
-    alerts.unionByName(alerts).coalesce(1).write.parquet(folder)
-    stream = spark.readStream.schema(alerts.schema).parquet(folder)
-    out = alerting.unify_alerts(alerting.fleet_alert_records(stream))
-    ingest.write_stream(out, str(tmp_path / "out"), str(tmp_path / "ck"), partition_cols=(),
-                        available_now=True).awaitTermination()
-    got = spark.read.parquet(str(tmp_path / "out"))
-    assert got.count() == got.select("alert_id").distinct().count()
-    assert got.count() == alerting.unify_alerts(alerting.fleet_alert_records(alerts)).count()
-
-
 def test_messages_are_json(spark):
     rows = detect.as_messages(alerting.delivery_failure_records(
         feeds.delivery_events(spark, ROOT))).limit(1).collect()
