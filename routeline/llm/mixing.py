@@ -74,8 +74,13 @@ def plan(docs: DataFrame, text: str = "text", source: str = "source", key: tuple
             .withColumn("copies", (F.floor(rate) + (draw < rate - F.floor(rate)).cast("int")).cast("int")))
 
 
-def mix(docs: DataFrame, **options) -> DataFrame:
-    """The mixed corpus: the rows of ``docs``, each as often as its copies say."""
-    planned = plan(docs, **options).filter(F.col("copies") > 0)
-    copies = planned.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    return copies.select(*docs.columns)
+def mix(docs: DataFrame, copy: str | None = None, **options) -> DataFrame:
+    """The mixed corpus: the rows of ``docs``, unchanged, each as often as its copies say.
+
+    ``copy`` names a column for the number of the copy, from 1.
+    """
+    held = docs.select(F.struct("*").alias("__row"), *[F.col(f"`{c}`") for c in docs.columns])
+    planned = plan(held, **options).filter(F.col("copies") > 0)
+    number = F.explode(F.sequence(F.lit(1), F.col("copies")))
+    rows = planned.select("__row", number.alias("__copy"))
+    return rows.select("__row.*", *([F.col("__copy").alias(copy)] if copy else []))

@@ -97,11 +97,18 @@ def minima(h: np.ndarray, begin: np.ndarray) -> np.ndarray:
     return out
 
 
-def packed(h: np.ndarray, begin: np.ndarray) -> np.ndarray:
+def packed(h: np.ndarray, begin: np.ndarray, rows: int = 512) -> np.ndarray:
     """Texts x WORDS: two bits of the smallest hash in each lane, 0 for an empty lane.
 
-    The low bits of all lanes fill the first half of the words, the high bits the second.
+    The low bits of all lanes fill the first half of the words, the high bits the second. ``rows`` texts are
+    laid out at a time, so a chunk of many short texts takes no more memory than one of a few long ones.
     """
+    parts = [_packed(h[begin[i]:begin[min(i + rows, len(begin) - 1)]], begin[i:i + rows + 1] - begin[i])
+             for i in range(0, len(begin) - 1, rows)]
+    return np.concatenate(parts) if parts else np.zeros((0, WORDS), np.uint64)
+
+
+def _packed(h: np.ndarray, begin: np.ndarray) -> np.ndarray:
     n = len(begin) - 1
     owner = np.repeat(np.arange(n), np.diff(begin))
     part = mix(h ^ np.uint64(0xA4093822299F31D0))

@@ -32,6 +32,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,7 +42,7 @@ SEED = 20240501
 TEMPERATURE = 0.5
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = 0x2581
-CHUNK_CHARS = 1 << 20
+CHUNK_CHARS = 1 << 17  # characters handled together; a longer text is a chunk of its own
 WORD_CELLS = 1 << 14    # characters of distinct words handled together
 EMPTY, NO_PIECE = -2, -1
 BYTE_PENALTY = 4.0      # added cost of a spelt-out character
@@ -167,7 +168,8 @@ class Lattice:
         codes = np.where(codes == 32, SPACE, codes)
         utf8 = 1 + (codes > 0x7F) + (codes > 0x7FF) + (codes > 0xFFFF)
         utf8 = np.where(codes == SPACE, np.where(spelt, 3, 1), utf8)
-        self.alpha = np.full((n, width + 1), -np.inf, np.float32)
+        # doubles: the sums of a long word are far from 0, and only their differences decide
+        self.alpha = np.full((n, width + 1), -np.inf)
         self.alpha[:, 0] = 0.0
         runs = RunHash(mix(codes.ravel().astype(np.uint64) + np.uint64(BASE_B)), BASE_A)
         # from each start, grow while some piece begins with what has been read
@@ -194,10 +196,10 @@ class Lattice:
         for j in range(width):
             ids = self.edge[:, j, :]
             reach = min(j + 1, most)
-            back = np.full((n, most + 1), -np.inf, np.float32)
+            back = np.full((n, most + 1), -np.inf)
             back[:, :reach] = self.alpha[:, j::-1][:, :reach] if j < most else self.alpha[:, j:j - reach:-1]
             back[:, :most] += v.weight[ids]
-            back[:, most] = np.where(ids[:, 0] < 0, self.alpha[:, j] + spell[:, j], np.float32(-np.inf))
+            back[:, most] = np.where(ids[:, 0] < 0, self.alpha[:, j] + spell[:, j], -np.inf)
             top = back.max(axis=1)
             p = np.exp(back - top[:, None])
             total = p.sum(axis=1)
@@ -299,15 +301,34 @@ def sample_ids(v: Vocabulary, texts: list[str], keys: np.ndarray, seed: int) ->
     return ids, np.searchsorted(piece_text, np.arange(len(texts) + 1))
 
 
-def _runs(texts: list[str]) -> Iterator[tuple[int, int]]:
-    first = size = 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > CHUNK_CHARS:
-            yield first, i
-            first, size = i, 0
-        size += len(t) + 1
-    if first < len(texts):
-        yield first, len(texts)
+def _runs(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of about CHUNK_CHARS; ``sizes`` has a text's characters."""
+    total = np.concatenate([[0], np.cumsum(sizes + 1)])
+    first = 0
+    while first < len(sizes):
+        last = max(int(np.searchsorted(total, total[first] + CHUNK_CHARS, side="right")) - 1, first + 1)
+        yield first, min(last, len(sizes))
+        first = last
+
+
+def _encoded(v: Vocabulary, texts: pa.Array, keys: pa.Array, seed: int) -> pa.ListArray:
+    """Piece ids of a batch, a chunk of texts at a time, so that a batch is never held as Python objects."""
+    numbers = keys.to_numpy(zero_copy_only=False).astype(np.int64)
+    lengths = pc.utf8_length(texts).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    ids, sizes = [np.empty(0, np.int32)], [np.empty(0, np.int64)]
+    for a, b in _runs(lengths):
+        found, begin = sample_ids(v, texts.slice(a, b - a).fill_null("").to_pylist(), numbers[a:b], seed)
+        ids.append(found.astype(np.int32))
+        sizes.append(np.diff(begin))
+    offsets = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(np.concatenate(ids)), mask=texts.is_null())
+
+
+def _decoded(pieces: np.ndarray, ids: pa.ListArray) -> pa.Array:
+    offsets, values = np.asarray(ids.offsets), np.asarray(ids.values)
+    missing = ids.is_null().to_numpy(zero_copy_only=False)
+    return pa.array((None if null else b"".join(pieces[values[a:b]])[1:].decode()
+                     for a, b, null in zip(offsets[:-1], offsets[1:], missing, strict=True)), pa.string())
 
 
 def encode(spark: SparkSession, text: Column, key: Column, model: str = MODEL, seed: int = SEED) -> Column:
@@ -316,20 +337,8 @@ def encode(spark: SparkSession, text: Column, key: Column, model: str = MODEL, s
 
     @F.arrow_udf("array<int>")
     def sample(parts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        v = shared.value
-        for part, part_keys in parts:
-            keys = part_keys.to_numpy(zero_copy_only=False).astype(np.int64)
-            texts = part.fill_null("").to_pylist()
-            ids, sizes = [], []
-            for a, b in _runs(texts):
-                found, begin = sample_ids(v, texts[a:b], keys[a:b], seed)
-                ids.append(found.astype(np.int32))
-                sizes.append(np.diff(begin))
-            offsets = np.concatenate([[0], *[np.cumsum(np.concatenate(sizes))]]) if sizes else np.zeros(1)
-            lists = pa.ListArray.from_arrays(
-                pa.array(offsets.astype(np.int32)), pa.array(np.concatenate(ids) if ids else np.empty(0, np.int32)),
-                mask=part.is_null())
-            yield lists
+        for part, keys in parts:
+            yield _encoded(shared.value, part, keys, seed)
 
     return sample(text, F.xxhash64(key))
 
@@ -342,12 +351,20 @@ def decode(spark: SparkSession, ids: Column, model: str = MODEL) -> Column:
     def restore(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         pieces = np.array(shared.value, dtype=object)
         for part in parts:
-            offsets = np.asarray(part.offsets)
-            values = np.asarray(part.values) if len(part.values) else np.empty(0, np.int32)
-            spelt = pieces[values]
-            yield pa.array(
-                [None if null else b"".join(spelt[a:b])[1:].decode()
-                 for a, b, null in zip(offsets[:-1], offsets[1:], part.is_null().to_pylist(), strict=True)],
-                pa.string())
+            yield _decoded(pieces, part)
 
     return restore(ids)
+
+
+def roundtrip(spark: SparkSession, text: Column, key: Column, model: str = MODEL, seed: int = SEED) -> Column:
+    """Struct of the sampled ``piece_ids`` and the text ``decoded`` from them, in one pass of one worker."""
+    shared = spark.sparkContext.broadcast(load(model))
+
+    @F.arrow_udf("struct<piece_ids:array<int>,decoded:string>")
+    def both(parts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        pieces = np.array(shared.value.pieces, dtype=object)
+        for part, keys in parts:
+            ids = _encoded(shared.value, part, keys, seed)
+            yield pa.StructArray.from_arrays([ids, _decoded(pieces, ids)], names=["piece_ids", "decoded"])
+
+    return both(text, F.xxhash64(key))

@@ -173,8 +173,7 @@ from drawn
 
 def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = docs.withColumn("piece_ids", pieces.encode(spark, F.col("text"), F.col("doc_id")))
-    back = coded.withColumn("decoded", pieces.decode(spark, F.col("piece_ids")))
+    back = docs.withColumn("p", pieces.roundtrip(spark, F.col("text"), F.col("doc_id"))).select("doc_id", "text", "p.*")
     return back.select("doc_id", "piece_ids", F.size("piece_ids").alias("n_pieces"),
                        F.sha2("decoded", 256).alias("decoded_sha256"),
                        F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
