@@ -6,7 +6,7 @@ again as the next stage's documents. All stages but the last return the columns
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from routeline.llm import language, mixing, neardup, pieces, secrets
@@ -44,10 +44,18 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sentence_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sampled piece ids of every document."""
-    ids = pieces.encode(spark, F.col("text"), F.col("doc_id"))
-    return docs.select("doc_id", "lang", "source", "n_chars", ids.alias("piece_ids")).withColumn(
-        "n_pieces", F.size("piece_ids"))
+    """Sampled piece ids of every document, and the text decoded from them.
+
+    The copies that mixing made of a document are numbered, and the number is part of the seed, so each copy has
+    a segmentation of its own. Equal rows are told apart by their text, so rows without an id spread.
+    """
+    same = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.lit(1))
+    copies = docs.withColumn("copy", F.row_number().over(same))
+    coded = copies.withColumn("p", pieces.roundtrip(spark, F.col("text"), F.struct("doc_id", "copy")))
+    return coded.select(
+        "doc_id", "lang", "source", "n_chars", "copy", F.col("p.piece_ids").alias("piece_ids"),
+        F.size("p.piece_ids").alias("n_pieces"), F.sha2("p.decoded", 256).alias("decoded_sha256"),
+        F.col("p.decoded").eqNullSafe(F.col("text")).alias("lossless"))
 
 
 STAGES = [
