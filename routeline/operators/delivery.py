@@ -10,7 +10,7 @@ from routeline.functions import geo, labels
 from routeline.functions.clock import elapsed
 from routeline.functions.values import count_when, rounded, safe_div, surrogate_key
 from routeline.operators.timeline import (
-    Timeline, with_islands, with_last_seen, with_neighbours,
+    Timeline, with_islands, with_last_seen, with_neighbours, with_rank,
 )
 
 AGENT_DAY = ["agent_id", "event_date"]
@@ -104,16 +104,12 @@ def combine_shift_metrics(shifts: DataFrame, distance: DataFrame,
     )
 
 
-def rank_agents(shifts: DataFrame, top: int = 3) -> DataFrame:
-    """Ranks within the day and within zone and day. The rows are shifts, already reduced to one
-    per agent day, so a ranked group is bounded by the workforce of a day."""
-    best = [F.desc("successful_deliveries"), F.desc("delivery_success_rate"), F.asc("agent_id"),
-            F.asc("zone_id"), F.asc("vehicle_type")]
-    day = Window.partitionBy("event_date").orderBy(*best)
-    zone = Window.partitionBy("event_date", "zone_id").orderBy(*best)
-    # the daily window first: its partitioning also serves the finer one
-    return shifts.withColumn("overall_rank", F.row_number().over(day)) \
-        .withColumn("zone_rank", F.row_number().over(zone)) \
+def rank_agents(shifts: DataFrame, top: int = 3, slices: int | None = None) -> DataFrame:
+    """Ranks within the day and within zone and day, range by range, so a day is ranked by many tasks."""
+    best = [("successful_deliveries", True), ("delivery_success_rate", True), ("agent_id", False),
+            ("zone_id", False), ("vehicle_type", False)]
+    ranked = with_rank(shifts, ("event_date",), best, "overall_rank", slices)
+    return with_rank(ranked, ("event_date", "zone_id"), best, "zone_rank", slices) \
         .withColumn("is_top_performer", F.col("zone_rank") <= top)
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -169,6 +170,37 @@ def run_table_checks(df: DataFrame, table: str, checks: list[Check]) -> DataFram
     return reduce(DataFrame.unionByName, parts)
 
 
+def run_table_checks_now(df: DataFrame, table: str, checks: list[Check]) -> DataFrame:
+    """Results of a table's checks, computed here in one pass.
+
+    If a value makes that pass fail (a cast in an expression, say), every check runs alone; one that fails
+    by itself is a failed check with the error, and the others keep their results.
+    """
+    spark, rows = df.sparkSession, []
+    try:
+        rows = run_table_checks(df, table, checks).collect()
+    except PySparkException:
+        for check in checks:
+            try:
+                rows += run_table_checks(df, table, [check]).collect()
+            except PySparkException as error:
+                rows += _error_row(spark, check.kind, table, check.column, str(error).splitlines()[0]).collect()
+    return spark.createDataFrame(rows, RESULT_SCHEMA)
+
+
+def uncastable_values(df: DataFrame, types: dict[str, str]) -> DataFrame:
+    """The rows with a value that does not fit the type its column should have: one row per such value, with
+    the column, the raw value, the error and the whole row, so that the rest can be cast safely."""
+    def broken(column: str, kind: str) -> Column:
+        raw = F.col(column)
+        return F.when(raw.isNotNull() & raw.try_cast(kind).isNull(), F.struct(
+            F.lit(column).alias("column"), raw.cast("string").alias("value"),
+            F.lit(f"not a valid {kind}").alias("error")))
+
+    found = F.array_compact(F.array(*[broken(c, k) for c, k in types.items()]))
+    return df.select(F.struct("*").alias("row"), F.explode(found).alias("b")).select("b.*", "row")
+
+
 def _result_columns(table: str) -> list[Column]:
     kind, total, passing = F.col("check"), F.col("total"), F.col("passing")
     empty = (total == 0) & ~kind.isin("row_count", "unique")
@@ -228,15 +260,17 @@ SILVER_SUITE: dict[str, list[Check]] = {
 
 
 def run_suite(spark: SparkSession, suite: dict[str, list[Check]],
-              tables: dict[str, DataFrame]) -> DataFrame:
-    """Results of a suite; a table that is missing fails its ``table_exists`` check."""
+              tables: dict[str, DataFrame], now: bool = False) -> DataFrame:
+    """Results of a suite; a table that is missing fails its ``table_exists`` check. With ``now`` the checks
+    are computed here, and errors of single checks are results."""
+    run = run_table_checks_now if now else run_table_checks
     parts = []
     for table, checks in suite.items():
         if tables.get(table) is None:
             parts.append(_error_row(spark, "table_exists", table, None,
                                     f"Path not found: {table}"))
         else:
-            parts.append(run_table_checks(tables[table], table, checks))
+            parts.append(run(tables[table], table, checks))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -248,13 +282,12 @@ def silver_suite(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame
     return run_suite(spark, SILVER_SUITE, tables)
 
 
-def run_checks(spark: SparkSession, layer: str, tables: dict[str, DataFrame]) -> DataFrame:
-    if layer == "all":
-        return bronze_suite(spark, tables).unionByName(silver_suite(spark, tables))
-    suites = {"bronze": bronze_suite, "silver": silver_suite}
+def run_checks(spark: SparkSession, layer: str, tables: dict[str, DataFrame],
+               now: bool = False) -> DataFrame:
+    suites = {"bronze": BRONZE_SUITE, "silver": SILVER_SUITE, "all": {**BRONZE_SUITE, **SILVER_SUITE}}
     if layer not in suites:
         raise ValueError("layer must be one of: bronze, silver, all")
-    return suites[layer](spark, tables)
+    return run_suite(spark, suites[layer], tables, now)
 
 
 def quality_report(results: DataFrame, layer: str = "all",
@@ -346,10 +379,12 @@ MODEL_TESTS: dict[str, list[Check]] = {
 def run_model_tests(models: dict[str, DataFrame],
                     tests: dict[str, list[Check]] | None = None) -> DataFrame:
     """Contract tests of staging views and marts: failures per test, severity ``warn``. NULLs
-    satisfy ``accepted_values`` and are ignored by ``unique``. One pass per model."""
-    parts = []
+    satisfy ``accepted_values`` and are ignored by ``unique``. One pass per model; the tests of a model
+    that is missing have status ``error``."""
+    parts, absent = [], []
     for model, checks in (MODEL_TESTS if tests is None else tests).items():
         if model not in models:
+            absent += [(model, c.column, c.kind, None) for c in checks]
             continue
         failures = {}
         for i, c in enumerate(checks):
@@ -369,8 +404,12 @@ def run_model_tests(models: dict[str, DataFrame],
             for i in failures]))
         parts.append(totals.select(F.lit(model).alias("model"), rows.alias("r"))
                      .select("model", "r.*"))
+    if absent:
+        spark = SparkSession.active()
+        parts.append(spark.createDataFrame(absent, "model string, column string, test string, failures long"))
     out = reduce(DataFrame.unionByName, parts)
-    return out.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise("warn"))
+    return out.withColumn("status", F.when(F.col("failures") == 0, "pass").when(
+        F.col("failures") > 0, "warn").otherwise("error"))
 
 
 def failing_rows(df: DataFrame, check: Check) -> DataFrame:
@@ -387,6 +426,19 @@ def failing_rows(df: DataFrame, check: Check) -> DataFrame:
     return df.filter(~F.expr(check.expression))
 
 
+def store_failing_rows(models: dict[str, DataFrame], results: DataFrame, path: str,
+                       tests: dict[str, list[Check]] | None = None) -> list[str]:
+    """Write the evidence behind every failed model test to a folder of its own; the folders written."""
+    failed = {(r["model"], r["column"], r["test"]) for r in results.filter("failures > 0").collect()}
+    folders = []
+    for model, checks in (MODEL_TESTS if tests is None else tests).items():
+        for check in checks:
+            if (model, check.column, check.kind) in failed:
+                folders.append(f"{path}/{check.kind}_{model}_{check.column}")
+                failing_rows(models[model], check).write.mode("overwrite").parquet(folders[-1])
+    return folders
+
+
 def check_relationship(child: DataFrame, parent: DataFrame, key: str,
                        parent_key: str | None = None) -> DataFrame:
     """Child keys without a parent and how often they occur; the keys are counted first, so a

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from routeline.operators.timeline import Timeline, with_running_total
 from routeline.functions.values import (
     count_when, require_non_negative_int, require_positive_int, rounded, safe_div,
 )
@@ -33,14 +34,20 @@ def warehouse_kpis(trips: DataFrame, shipments: DataFrame, agent_days: DataFrame
 
 
 def overview_counts(positions: DataFrame, scans: DataFrame, deliveries: DataFrame) -> DataFrame:
+    """Totals and distinct entities. Events are reduced to pairs of entities first, so that only those are
+    counted distinctly, not every event once per entity column."""
+    pairs = positions.groupBy("vehicle_id", "driver_id").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("speed_kmh").alias("speed"), F.count("speed_kmh").alias("speeds"))
+    visits = scans.groupBy("shipment_id", "hub_id").agg(F.count(F.lit(1)).alias("n"))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
     return one_row(
-        positions.agg(F.count(F.lit(1)).alias("gps_points"),
-                      F.countDistinct("vehicle_id").alias("vehicles"),
-                      F.countDistinct("driver_id").alias("drivers"),
-                      F.avg("speed_kmh").alias("avg_speed_kmh")),
-        scans.agg(F.count(F.lit(1)).alias("shipment_events"),
-                  F.countDistinct("shipment_id").alias("shipments"),
-                  F.countDistinct("hub_id").alias("hubs")),
+        pairs.agg(total("n").alias("gps_points"),
+                  F.countDistinct("vehicle_id").alias("vehicles"),
+                  F.countDistinct("driver_id").alias("drivers"),
+                  safe_div(F.sum("speed"), F.sum("speeds")).alias("avg_speed_kmh")),
+        visits.agg(total("n").alias("shipment_events"),
+                   F.countDistinct("shipment_id").alias("shipments"),
+                   F.countDistinct("hub_id").alias("hubs")),
         deliveries.agg(F.count(F.lit(1)).alias("delivery_events"),
                        F.countDistinct("agent_id").alias("agents"),
                        count_when(F.col("event_type") == "DELIVERED").alias("delivered"),
@@ -118,41 +125,25 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
 
 def quantiles(df: DataFrame, group: str, value: str,
               probabilities: tuple[float, ...] = (0.25, 0.5, 0.75),
-              buckets: int = 4096) -> DataFrame:
-    """Exact interpolated quantiles per group, for groups of any size.
+              slices: int | None = None) -> DataFrame:
+    """Exact interpolated quantiles per group, for groups of any size and values of any distribution.
 
-    Equal values are counted first. Bucket totals locate the buckets that hold a wanted rank, and
-    only those are ordered, so no task ever sorts a whole group.
+    Equal values are counted first. Their running count is taken over ranges cut at sampled values
+    (``timeline``), so no task orders a whole group, and a value knows which of the wanted ranks it holds.
     """
     counts = df.filter(F.col(value).isNotNull()).groupBy(
         F.col(group).alias("g"), F.col(value).cast("double").alias("v")).agg(
         F.count(F.lit(1)).alias("n"))
     stats = counts.groupBy(F.col("g").alias("sg")).agg(
         F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("n").alias("total"))
-    width = (F.col("hi") - F.col("lo")) / float(buckets)
-    bucket = F.when(width > 0, F.least(F.floor((F.col("v") - F.col("lo")) / width),
-                                       F.lit(buckets - 1))).otherwise(0)
-    placed = counts.join(stats, F.col("g").eqNullSafe(F.col("sg"))).select(
-        "g", "v", "n", "total", bucket.alias("b"))
-    before = Window.partitionBy("g").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    totals = placed.groupBy("g", "b").agg(F.sum("n").alias("n"), F.max("total").alias("total")) \
-        .withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    placed = with_running_total(counts, Timeline(("g",), ("v",), slices), F.col("n"), "upto")
+    figures = stats.select("sg", "total")
     wanted = F.array(*[F.struct(F.lit(i).alias("i"), ((F.col("total") - 1) * p).alias("x"))
                        for i, p in enumerate(probabilities)])
-    ranks = F.flatten(F.transform(wanted, lambda w: F.array(
-        F.struct(w["i"].alias("i"), w["x"].alias("x"), F.floor(w["x"]).alias("rank")),
-        F.struct(w["i"].alias("i"), w["x"].alias("x"), F.ceil(w["x"]).alias("rank")))))
-    inside = F.filter(ranks, lambda w: (w["rank"] >= F.col("start"))
-                      & (w["rank"] < F.col("start") + F.col("n")))
-    picks = totals.select(F.col("g").alias("pg"), F.col("b").alias("pb"), F.col("start").alias("start"),
-                          F.array_distinct(inside).alias("ranks")).filter(F.size("ranks") > 0)
-    ordered = Window.partitionBy("g", "b").orderBy("v").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    members = placed.join(picks, F.col("g").eqNullSafe(F.col("pg"))
-                          & (F.col("b") == F.col("pb"))) \
-        .withColumn("upto", F.col("start") + F.sum("n").over(ordered))
-    hits = members.select("g", "v", F.explode(F.filter("ranks", lambda w: (
-        w["rank"] < F.col("upto")) & (w["rank"] >= F.col("upto") - F.col("n")))).alias("w"))
+    held = F.filter(wanted, lambda w: (F.ceil(w["x"]) >= F.col("upto") - F.col("n"))
+                    & (F.floor(w["x"]) < F.col("upto")))
+    hits = placed.join(figures, F.col("g").eqNullSafe(F.col("sg"))).select("g", "v", F.explode(held).alias("w"))
+    # at most two values hold the ranks around one quantile
     found = hits.groupBy("g", F.col("w")["i"].alias("i"), F.col("w")["x"].alias("x")).agg(
         F.min("v").alias("low"), F.max("v").alias("high"))
     at = F.col("low") + (F.col("high") - F.col("low")) * (F.col("x") - F.floor("x"))

@@ -256,24 +256,26 @@ def int_shipment_journeys(stg: DataFrame, stuck_hours: float = C.LIMITS.stuck_ho
 
 
 def int_hub_throughput(stg: DataFrame) -> DataFrame:
-    """Scan volumes per hub and day."""
+    """Scan volumes per hub and day.
+
+    Events are reduced to a parcel's visit first: parcels are counted without sending every event once per
+    distinct count. Workers and scanners are collected; a hub's staff of one day bounds these sets.
+    """
     kind, hour = F.col("event_type"), F.col("hour_of_day")
-    rows = stg.filter("hub_id is not null").groupBy(
-        "hub_id", "hub_name", "hub_city", "event_date").agg(
-        F.countDistinct("shipment_id").alias("unique_shipments"),
-        F.count(F.lit(1)).alias("total_events"),
-        count_when(kind == "HUB_ARRIVED").alias("arrivals"),
-        count_when(kind == "HUB_INSCAN").alias("inscans"),
-        count_when(kind == "HUB_SORTED").alias("sorted"),
-        count_when(kind == "HUB_OUTSCAN").alias("outscans"),
-        count_when(kind == "HUB_DEPARTED").alias("departures"),
-        count_when(hour.between(6, 11)).alias("morning_events"),
-        count_when(hour.between(12, 17)).alias("afternoon_events"),
-        count_when(hour.between(18, 23)).alias("evening_events"),
-        count_when(hour.between(0, 5)).alias("night_events"),
-        F.countDistinct("worker_id").alias("unique_workers"),
-        F.countDistinct("scanner_id").alias("unique_scanners"),
-    )
+    place = ["hub_id", "hub_name", "hub_city", "event_date"]
+    counts = {
+        "total_events": F.count(F.lit(1)), "arrivals": count_when(kind == "HUB_ARRIVED"),
+        "inscans": count_when(kind == "HUB_INSCAN"), "sorted": count_when(kind == "HUB_SORTED"),
+        "outscans": count_when(kind == "HUB_OUTSCAN"), "departures": count_when(kind == "HUB_DEPARTED"),
+        "morning_events": count_when(hour.between(6, 11)), "afternoon_events": count_when(hour.between(12, 17)),
+        "evening_events": count_when(hour.between(18, 23)), "night_events": count_when(hour.between(0, 5))}
+    people = {"unique_workers": "worker_id", "unique_scanners": "scanner_id"}
+    visits = stg.filter("hub_id is not null").groupBy(*place, "shipment_id").agg(
+        *[c.alias(name) for name, c in counts.items()],
+        *[F.collect_set(c).alias(name) for name, c in people.items()])
+    rows = visits.groupBy(*place).agg(
+        F.count("shipment_id").alias("unique_shipments"), *[F.sum(name).alias(name) for name in counts],
+        *[F.size(F.array_distinct(F.flatten(F.collect_set(name)))).cast("long").alias(name) for name in people])
     ratio = safe_div(F.col("departures"), F.col("arrivals"))
     peak = labels.peak_of([(F.col(f"{p.lower()}_events"), p)
                            for p in ("MORNING", "AFTERNOON", "EVENING", "NIGHT")])

@@ -171,3 +171,26 @@ def with_last_seen(df: DataFrame, line: Timeline, value: Column, alias: str) ->
     before = s.carried(s.rows, last, F.last("_of", ignorenulls=True), "_carry")
     out = s.join(rows, before).withColumn(alias, F.coalesce("_here", "_carry"))
     return out.select(*[c for c in df.columns if c != alias], alias)
+
+
+def with_running_total(df: DataFrame, line: Timeline, value: Column, alias: str) -> DataFrame:
+    """Add the sum of ``value`` over the rows of the series up to and including each row."""
+    s = _Ranges(df.withColumn("_value", value), line)
+    rows = s.rows.withColumn("_here", F.sum("_value").over(s.running))
+    before = s.carried(s.rows, F.sum("_value"), F.sum("_of"), "_before")
+    total = F.coalesce(F.col("_before"), F.lit(0)) + F.coalesce(F.col("_here"), F.lit(0))
+    out = s.join(rows, before).withColumn(alias, total)
+    return out.select(*[c for c in df.columns if c != alias], alias)
+
+
+def with_rank(df: DataFrame, keys: tuple[str, ...], best: list[tuple[str, bool]], alias: str,
+              slices: int | None = None) -> DataFrame:
+    """Add the 1-based place of each row among those of its keys. ``best`` lists columns and whether larger
+    is better; NULLs come last where it is, else first. Groups of any size are ranked range by range."""
+    order = {}
+    for i, (column, larger) in enumerate(best):
+        if larger:
+            order[f"_n{i}"] = F.col(column).isNull()
+        order[f"_o{i}"] = -F.col(column) if larger else F.col(column)
+    placed = with_neighbours(df.withColumns(order), Timeline(keys, tuple(order), slices), sequence=alias)
+    return placed.withColumn(alias, F.col(alias).cast("int")).drop(*order)

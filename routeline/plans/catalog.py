@@ -585,6 +585,7 @@ def model_tests(spark, root):
         "fct_shipments": shipments.fct_shipments(shipments.int_shipment_journeys(staged), hubs),
         "fct_hub_daily": shipments.fct_hub_daily(shipments.int_hub_throughput(staged), hubs),
         "fct_agent_daily": days, "fct_zone_daily": delivery.fct_zone_daily(days),
+        "dim_hubs": hubs, "dim_time": dim_time(spark, root),
     })
 
 

@@ -92,13 +92,15 @@ def run_daily(spark: SparkSession, root: str, date: str | None = None,
     run_trips(spark, root, date, as_of=as_of)
     run_journeys(spark, root, date, as_of=as_of)
     run_shifts(spark, root, date, as_of=as_of)
-    bronze = {t: read_parquet_tree(spark, f"{root}/{p}") for t, p in BRONZE_PATHS.items()
+    bronze = {t: read_bronze(spark, root, t) for t, p in BRONZE_PATHS.items()
               if has_data(spark, f"{root}/{p}")}
     models = warehouse.publish(spark, bronze, f"{root}/gold", as_of)
-    tests = quality.run_model_tests(models)
-    tests.write.mode("overwrite").parquet(f"{root}/quality/model_tests")
-    tables = {name: read_parquet_tree(spark, f"{root}/{path}")
+    results = f"{root}/quality/model_tests"
+    quality.run_model_tests(models).write.mode("overwrite").parquet(results)
+    quality.store_failing_rows(models, spark.read.parquet(results), f"{root}/quality/failing_rows")
+    tables = {name: read_bronze(spark, root, name) if name in BRONZE_PATHS else read_parquet_tree(spark, f"{root}/{path}")
               for name, path in DATASET_PATHS.items() if has_data(spark, f"{root}/{path}")}
-    report = quality.quality_report(quality.run_checks(spark, "all", tables), "all", as_of)
+    checks = quality.run_checks(spark, "all", tables, now=True)
+    report = quality.quality_report(checks, "all", as_of or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S"))
     sinks.write_report(report, f"{root}/quality/reports")
     return report

@@ -5,7 +5,7 @@ from __future__ import annotations
 from routeline.contracts import DELIVERY_EVENT_TYPES, SHIPMENT_EVENT_TYPES
 from routeline.plans.oracle import delivery, fleet, shipments
 from routeline.plans.oracle.feeds import (
-    AGENT_POSITIONS, ALERTS, DELIVERY_EVENTS, SHIPMENT_EVENTS, half_up, rounded,
+    DIM_HUBS, AGENT_POSITIONS, ALERTS, DELIVERY_EVENTS, SHIPMENT_EVENTS, half_up, rounded,
     vehicle_positions,
 )
 
@@ -123,6 +123,7 @@ _MODELS = {
     "fct_trips": fleet.FCT_TRIPS, "fct_driver_performance": fleet.FCT_DRIVER,
     "fct_shipments": shipments.FCT_SHIPMENTS, "fct_hub_daily": shipments.FCT_HUB_DAILY,
     "fct_agent_daily": delivery.FCT_AGENTS, "fct_zone_daily": delivery.SQL["fct_zone_daily"],
+    "dim_time": shipments.SQL["dim_time"], "dim_hubs": DIM_HUBS,
 }
 _ENUMS = {
     ("stg_vehicle_positions", "vehicle_state"): "IDLE MOVING STOPPED",
@@ -139,12 +140,14 @@ _ENUMS = {
     ("fct_shipments", "journey_outcome"): "DELIVERED FAILED RETURNED STUCK IN_TRANSIT",
     ("fct_hub_daily", "efficiency_rating"): "HIGH MEDIUM LOW",
     ("fct_agent_daily", "performance_tier"): "TOP_PERFORMER GOOD AVERAGE BELOW_AVERAGE",
+    ("dim_hubs", "hub_type"): "MEGA REGIONAL LOCAL",
     ("fct_zone_daily", "zone_performance_tier"): "EXCELLENT GOOD AVERAGE NEEDS_IMPROVEMENT",
 }
 _UNIQUE = {m: "event_id" for m in _MODELS if m.startswith("stg")} | {
     "fct_trips": "trip_key", "fct_driver_performance": "performance_key",
     "fct_shipments": "shipment_key", "fct_hub_daily": "hub_daily_key",
-    "fct_agent_daily": "agent_daily_key", "fct_zone_daily": "zone_daily_key"}
+    "fct_agent_daily": "agent_daily_key", "fct_zone_daily": "zone_daily_key",
+    "dim_time": "date_key", "dim_hubs": "hub_id"}
 _FILLED = [(m, c) for m, c in _UNIQUE.items()] + [
     ("stg_vehicle_positions", "vehicle_id"), ("stg_vehicle_positions", "latitude"),
     ("stg_vehicle_positions", "longitude"), ("stg_vehicle_telemetry", "vehicle_id"),

@@ -122,11 +122,9 @@ class KeyedTable:
         row wins. Only partitions that lose or gain a changed row are written. Where keys are searched, the
         table is read by its key and partition columns alone.
         """
-        versions, state = self.versions, self.versions.load()
-        stored = self._stored
+        state, stored = self.versions.load(), self._stored
         new = stored(rows, "merge-rows")
         names = new.columns
-        version = state["version"] + 1 if state else 0
         changed, touched = new, []
         if state:
             old = self.read(state=state).select(*names)
@@ -148,13 +146,20 @@ class KeyedTable:
             kept = self.read(lambda p: p in set(touched), state).select(*names).alias("o").join(
                 changed.select(*self.key).alias("n"), on, "left_anti")
             changed = kept.unionByName(changed)
+        return self._publish(state, changed, touched, new.schema.jsonValue())
+
+    def replace(self, rows: DataFrame, partitions: Iterable[str]) -> dict:
+        """Make ``rows`` the whole content of ``partitions``, in which they lie; the others keep their files."""
+        return self._publish(self.versions.load(), rows, set(partitions), rows.schema.jsonValue())
+
+    def _publish(self, state: dict | None, rows: DataFrame, gone: Iterable[str], schema: dict) -> dict:
+        versions, version = self.versions, state["version"] + 1 if state else 0
         folder = versions.new_folder(version)
-        changed.withColumn("_part", F.col(self.partition)).hint("rebalance", "_part").write.partitionBy("_part").parquet(
+        rows.withColumn("_part", F.col(self.partition)).hint("rebalance", "_part").write.partitionBy("_part").parquet(
             f"{versions.path}/{folder}")
-        folders = {p: f for p, f in (state["folders"] if state else {}).items() if p not in touched}
+        folders = {p: f for p, f in (state["folders"] if state else {}).items() if p not in gone}
         folders |= {name.removeprefix("_part="): f"{folder}/{name}" for name in versions.folders_below(folder)}
-        schema = state["schema"] if state else new.schema.jsonValue()
-        return versions.publish({"version": version, "schema": schema, "folders": folders})
+        return versions.publish({"version": version, "schema": state["schema"] if state else schema, "folders": folders})
 
     def vacuum(self, keep: int = 2) -> int:
         return self.versions.vacuum(lambda state: state["folders"].values(), keep)

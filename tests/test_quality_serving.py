@@ -120,16 +120,51 @@ def test_model_tests_and_failing_rows(frame):
 
 
 def test_quantiles_match_percentile(spark):
+    """Whatever the distribution: many equal values, and one outlier in a million times the spread."""
     df = spark.range(5000).select((F.col("id") % 3).alias("g"), (
         F.pmod(F.hash("id"), F.lit(1000)) / 10.0).alias("v")).unionByName(
-        spark.range(3000).select(F.lit(0).cast("long").alias("g"), F.lit(42.0).alias("v")))
-    expected = df.groupBy("g").agg(
+        spark.range(3000).select(F.lit(0).cast("long").alias("g"), F.lit(42.0).alias("v"))).unionByName(
+        spark.createDataFrame([(1, 1e12), (None, 3.0), (2, None)], "g bigint, v double"))
+    expected = df.filter("v is not null").groupBy("g").agg(
         F.count("v").alias("count"), F.min("v").alias("min"),
         *[F.percentile("v", p).alias(f"p{round(p * 100)}") for p in (0.25, 0.5, 0.75)],
         F.max("v").alias("max"))
-    for buckets in (1, 7, 4096):
-        got = serving.quantiles(df, "g", "v", buckets=buckets)
-        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
+    for slices in (1, 7, 300):
+        got = serving.quantiles(df, "g", "v", slices=slices)
+        assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, expected.collect()), key=repr)
+
+
+def test_an_outlier_leaves_no_task_with_a_group(spark):
+    from routeline.operators.timeline import Timeline, _Ranges
+    df = spark.range(20_000).select(F.lit("a").alias("g"), F.col("id").cast("double").alias("v")).unionByName(
+        spark.createDataFrame([("a", 1e18)], "g string, v double"))
+    largest = _Ranges(df, Timeline(("g",), ("v",), 40)).rows.groupBy("_range").count().agg(F.max("count")).first()[0]
+    assert largest < 4 * 20_000 / 40
+
+
+def test_a_runtime_error_fails_one_check(spark):
+    frame = spark.createDataFrame([("1", 1), ("x", None)], "v string, n int")
+    checks = [q.not_null("n", 0.5), q.expression("cast(v as int) > 0", "v"), q.row_count(1)]
+    with pytest.raises(Exception):
+        q.run_table_checks(frame, "t", checks).collect()
+    got = {r["check"]: r for r in q.run_suite(spark, {"t": checks}, {"t": frame}, now=True).collect()}
+    assert got["not_null"]["success"] and got["row_count"]["success"]
+    assert not got["expression_is_true"]["success"] and "CAST_INVALID_INPUT" in got["expression_is_true"]["error"]
+    broken = q.uncastable_values(frame, {"v": "int", "n": "int"}).collect()
+    assert [(r["column"], r["value"], r["row"]["v"]) for r in broken] == [("v", "x", "x")]
+
+
+def test_failing_rows_are_stored_and_missing_models_are_errors(spark, tmp_path):
+    frame = spark.createDataFrame([("a", 1), ("a", None), ("b", 2)], "k string, v int")
+    tests = {"m": [q.unique("k"), q.not_null("v"), q.not_null("k")], "gone": [q.not_null("k")]}
+    results = q.run_model_tests({"m": frame}, tests)
+    assert {(r["model"], r["test"], r["column"]): r["status"] for r in results.collect()} == {
+        ("m", "unique", "k"): "warn", ("m", "not_null", "v"): "warn", ("m", "not_null", "k"): "pass",
+        ("gone", "not_null", "k"): "error"}
+    folders = q.store_failing_rows({"m": frame}, results, str(tmp_path), tests)
+    assert [f.rsplit("/", 1)[1] for f in folders] == ["unique_m_k", "not_null_m_v"]
+    assert [tuple(r) for r in spark.read.parquet(folders[0]).collect()] == [("a", 2)]
+    assert [tuple(r) for r in spark.read.parquet(folders[1]).collect()] == [("a", None)]
 
 
 def test_histogram_edges(spark):
