@@ -61,8 +61,3 @@ def geo_cell(lat: Column, lng: Column, resolution: int = 9) -> Column:
         F.lit(f"h3_{resolution}_"),
         rounded(lat, 2).cast("string"), F.lit("_"), rounded(lng, 2).cast("string"),
     )
-
-
-def grid_index(degrees: Column, cell_degrees: float) -> Column:
-    """Integer index of the grid line below a coordinate."""
-    return F.floor(degrees / cell_degrees)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from routeline import contracts as C
 from routeline.functions import geo, labels
 from routeline.functions.clock import elapsed
-from routeline.operators.timeline import Timeline, with_neighbours
+from routeline.operators.timeline import Timeline, with_islands, with_neighbours
 
 ALERT_COLUMNS = ("module", "alert_type", "severity", "entity_type", "entity_id",
                  "alert_timestamp")
@@ -91,70 +91,93 @@ def route_alerts(alerts: DataFrame) -> DataFrame:
     return alerts.withColumn("channel", F.explode("channels")).drop("channels")
 
 
-def fence_cells(fences: DataFrame, cell_degrees: float) -> DataFrame:
-    """Fences listed per grid cell they may touch. A cell holds the fences near it, so lists
-    stay short whatever the number of positions."""
-    north = F.col("radius_km") / 110.0
-    east = F.col("radius_km") / (110.0 * F.cos(F.radians(
-        F.least(F.abs(F.col("center_lat")) + north, F.lit(85.0)))))
-
-    def span(center: str, reach: Column) -> Column:
-        low = geo.grid_index(F.col(center) - reach, cell_degrees)
-        return F.sequence(low, geo.grid_index(F.col(center) + reach, cell_degrees))
+FENCE_CELL_DEGREES = 0.01   # cells of level 0; each level doubles them
+FENCE_LEVELS = 17           # the largest cells span more than the globe
 
-    covered = fences.withColumn("cell_y", F.explode(span("center_lat", north))) \
-        .withColumn("cell_x", F.explode(span("center_lng", east)))
-    fence = F.struct("geofence_id", "geofence_type", "center_lat", "center_lng", "radius_km")
-    return covered.groupBy("cell_y", "cell_x").agg(F.sort_array(F.collect_list(fence))
-                                                   .alias("_near"))
 
+def fence_cells(fences: DataFrame) -> DataFrame:
+    """Fences as rows of the grid cells they touch, at the level whose cells are as wide as the fence.
 
-_FENCE_LIST = "array<struct<id:string,type:string>>"
+    A fence then touches at most two cells each way, whatever its radius, and no cell has a list of fences.
+    """
+    north = F.col("radius_km") / 110.0
+    east = F.col("radius_km") / (110.0 * F.cos(F.radians(
+        F.least(F.abs(F.col("center_lat")) + north, F.lit(85.0)))))
+    wide = F.greatest(2 * F.greatest(north, east) / FENCE_CELL_DEGREES, F.lit(1.0))
+    level = F.least(F.ceil(F.log2(wide)), F.lit(FENCE_LEVELS - 1)).cast("int")
+    rows = fences.withColumns({"level": level, "_north": north, "_east": east})
+    for axis, center, reach in (("cell_y", "center_lat", "_north"), ("cell_x", "center_lng", "_east")):
+        ends = [_cell(F.col(center) + sign * F.col(reach)) for sign in (-1, 1)]
+        rows = rows.withColumn(axis, F.explode(F.sequence(*ends)))
+    return rows.select("level", "cell_y", "cell_x", "geofence_id", "geofence_type", "center_lat", "center_lng",
+                       "radius_km")
 
 
-def fences_at(lat: Column, lng: Column) -> Column:
-    """The fences of the joined cell (``_near``) that contain a point."""
-    close = F.filter("_near", lambda f: geo.haversine_km(
-        lat, lng, f["center_lat"], f["center_lng"]) <= f["radius_km"])
-    ids = F.transform(close, lambda f: F.struct(f["geofence_id"].alias("id"),
-                                                f["geofence_type"].alias("type")))
-    return F.coalesce(ids, F.array().cast(_FENCE_LIST))
+def _cell(degrees: Column) -> Column:
+    """The cell, at the row's ``level``, of a latitude or longitude."""
+    return F.floor(degrees / (F.lit(FENCE_CELL_DEGREES) * F.pow(F.lit(2.0), F.col("level")))).cast("long")
 
 
-def crossings(df: DataFrame, inside: str, was: str) -> DataFrame:
-    """ENTRY and EXIT rows from the fences a vehicle is in and was in."""
-    before = F.coalesce(F.col(was), F.array().cast(_FENCE_LIST))
+def fences_around(points: DataFrame, fences: DataFrame, lat: str = "latitude", lng: str = "longitude") -> DataFrame:
+    """One row per point and fence that contains it: an equi-join on the point's cell at each level in use."""
+    cells = fence_cells(fences)
+    levels = cells.agg(F.collect_set("level")).scalar()  # at most FENCE_LEVELS
+    asked = points.withColumn("_levels", levels).withColumn("level", F.explode("_levels")).drop("_levels").withColumns({
+        "cell_y": _cell(F.col(lat)), "cell_x": _cell(F.col(lng))})
+    near = geo.haversine_km(F.col(lat), F.col(lng), F.col("center_lat"), F.col("center_lng")) <= F.col("radius_km")
+    return asked.join(cells, ["level", "cell_y", "cell_x"]).filter(near).drop(
+        "level", "cell_y", "cell_x", "center_lat", "center_lng", "radius_km")
 
-    def turned(fences: Column, kind: str) -> Column:
-        return F.transform(fences, lambda f: F.struct(f.alias("fence"), F.lit(kind).alias("kind")))
 
-    changes = F.concat(turned(F.array_except(inside, before), "ENTRY"),
-                       turned(F.array_except(before, inside), "EXIT"))
-    place = ["event_id", "vehicle_id", "event_timestamp", "latitude", "longitude"]
-    return df.select(*place, F.explode(changes).alias("c")).select(
-        "event_id", "vehicle_id", F.col("c")["fence"]["id"].alias("geofence_id"),
-        F.col("c")["fence"]["type"].alias("geofence_type"),
-        F.col("c")["kind"].alias("event_type"), "event_timestamp", "latitude", "longitude")
+_PLACE = ("event_id", "event_timestamp", "latitude", "longitude")
 
 
-def geofence_events(positions: DataFrame, fences: DataFrame, cell_degrees: float = 0.05,
+def geofence_events(positions: DataFrame, fences: DataFrame,
                     line: Timeline = Timeline(keys=("vehicle_id",))) -> DataFrame:
     """ENTRY and EXIT of every vehicle at every circular fence, exits with the dwell time.
 
-    Positions meet only the fences of their grid cell (an equi-join that adds no rows); a change
-    of the set of fences between consecutive points yields the crossings.
+    Points are numbered per vehicle; those in a fence with consecutive numbers are one visit, which begins with
+    an ENTRY and ends with an EXIT at the vehicle's next point. Only points within fences go past the join.
     """
-    here = positions.filter("latitude is not null and longitude is not null").select(
-        "event_id", "vehicle_id", "event_timestamp", "latitude", "longitude",
-        geo.grid_index(F.col("latitude"), cell_degrees).alias("cell_y"),
-        geo.grid_index(F.col("longitude"), cell_degrees).alias("cell_x"))
-    placed = here.join(fence_cells(fences, cell_degrees), ["cell_y", "cell_x"], "left") \
-        .withColumn("inside", fences_at(F.col("latitude"), F.col("longitude"))) \
-        .drop("_near", "cell_y", "cell_x")
-    linked = with_neighbours(placed, line, previous={"was": "inside"})
-    paired = with_neighbours(
-        crossings(linked, "inside", "was"),
-        replace(line, keys=("vehicle_id", "geofence_id")), previous={"since": "event_timestamp"})
-    dwell = F.when(F.col("event_type") == "EXIT",
-                   elapsed(F.col("since"), F.col("event_timestamp"), "seconds"))
-    return paired.withColumn("dwell_time_seconds", dwell).drop("since")
+    points = positions.filter("latitude is not null and longitude is not null").select("vehicle_id", *_PLACE)
+    numbered = with_neighbours(points.withColumn("_there", F.lit(True)), line, sequence="_number",
+                               following={f"_next_{c}": c for c in (*_PLACE, "_there")})
+    visitor = ("vehicle_id", "geofence_id", "geofence_type")
+    inside = with_islands(
+        fences_around(numbered, fences), replace(line, keys=visitor, order=("_number",)),
+        lambda before, now: now("_number") != before("_number") + 1, ("_number",), island="_visit")
+    visits = inside.groupBy(*visitor, "_visit").agg(
+        F.min_by(F.struct(*_PLACE), "_number").alias("entry"),
+        F.max_by(F.struct("_next__there", *[F.col(f"_next_{c}").alias(c) for c in _PLACE]), "_number").alias("exit"))
+
+    def event(kind: str, place: str, dwell: Column) -> Column:
+        at = F.col(place)
+        return F.struct(F.lit(kind).alias("event_type"), *[at[c].alias(c) for c in _PLACE], dwell.alias("dwell_time_seconds"))
+
+    stay = elapsed(F.col("entry")["event_timestamp"], F.col("exit")["event_timestamp"], "seconds")
+    both = F.array(event("ENTRY", "entry", F.lit(None).cast("double")),
+                   F.when(F.col("exit")["_next__there"], event("EXIT", "exit", stay.cast("double"))))
+    return visits.select(*visitor, F.explode(F.array_compact(both)).alias("e")).select(
+        "e.event_id", *visitor, "e.event_type", "e.event_timestamp", "e.latitude", "e.longitude", "e.dwell_time_seconds")
+
+
+def crossings(linked: DataFrame, fences: DataFrame) -> DataFrame:
+    """ENTRY and EXIT rows of points linked with the place before (``prev_lat``, ``prev_lng``)."""
+    row = F.struct("vehicle_id", *_PLACE, "prev_lat", "prev_lng")
+    ends = F.array(*[F.struct(F.lit(now).alias("now"), F.col(lat).alias("_lat"), F.col(lng).alias("_lng"))
+                     for now, lat, lng in ((1, "latitude", "longitude"), (0, "prev_lat", "prev_lng"))])
+    probes = linked.select(row.alias("p"), F.explode(ends).alias("e")).select("p", "e.*").filter(
+        "_lat is not null and _lng is not null")
+    sides = fences_around(probes, fences, "_lat", "_lng").groupBy("p", "geofence_id", "geofence_type").agg(
+        F.min("now").alias("first"), F.max("now").alias("last"))
+    return sides.filter("first = last").select(
+        "p.event_id", "p.vehicle_id", "geofence_id", "geofence_type",
+        F.when(F.col("last") == 1, "ENTRY").otherwise("EXIT").alias("event_type"),
+        "p.event_timestamp", "p.latitude", "p.longitude")
+
+
+def with_dwell(events: DataFrame, line: Timeline = Timeline(keys=("vehicle_id", "geofence_id"))) -> DataFrame:
+    """Crossings with the seconds between an EXIT and the ENTRY before it."""
+    paired = with_neighbours(events, line, previous={"_since": "event_timestamp"})
+    return paired.withColumn("dwell_time_seconds", F.when(
+        F.col("event_type") == "EXIT", elapsed(F.col("_since"), F.col("event_timestamp"), "seconds"))).drop("_since")

@@ -783,7 +783,7 @@ def stream_geofence(spark, root):
     path = scratch_path(spark, "geofence")
     detect.stream_geofence(_position_stream(spark, root), feeds.geofences(spark, root), path,
                            f"{path}/checkpoint", available_now=True).awaitTermination()
-    return spark.read.parquet(f"{path}/events").drop("batch")
+    return detect.read_geofence_events(spark, path)
 
 
 @query

@@ -11,8 +11,7 @@ SQL: dict[str, str] = {
     "stream_bronze": fleet.SQL["bronze_validate"],
     "stream_speeding": fleet.SPEEDING,
     "stream_driving_events": fleet.SQL["driving_events"],
-    "stream_geofence": f"select * exclude (dwell_time_seconds) "
-                       f"from ({fleet.SQL['geofence_events']})",
+    "stream_geofence": fleet.SQL["geofence_events"],
     "stream_status_upsert": shipments.SQL["current_status"],
     "stream_alerts": delivery.SQL["alerts_unified"],
 }

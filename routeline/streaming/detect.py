@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from routeline import contracts as C
-from routeline.functions import geo
 from routeline.functions.clock import elapsed
 from routeline.operators import alerting, fleet
 from routeline.operators.bronze import with_event_watermark
@@ -144,25 +143,6 @@ def driving_events_of(linked: DataFrame) -> DataFrame:
         *[c.alias(n) for n, c in event.items()]).filter("event_type is not null")
 
 
-def geofence_crossings_of(fences: DataFrame,
-                          cell_degrees: float = 0.05) -> Callable[[DataFrame], DataFrame]:
-    """ENTRY and EXIT events between linked points; both ends of a hop meet the fences of their
-    own grid cell."""
-    cells = alerting.fence_cells(fences, cell_degrees)
-
-    def crossed(linked: DataFrame) -> DataFrame:
-        for lat, lng, inside in (("latitude", "longitude", "now"),
-                                 ("prev_lat", "prev_lng", "was")):
-            keyed = linked.withColumns({"cell_y": geo.grid_index(F.col(lat), cell_degrees),
-                                        "cell_x": geo.grid_index(F.col(lng), cell_degrees)})
-            linked = keyed.join(cells, ["cell_y", "cell_x"], "left").withColumn(
-                inside, alerting.fences_at(F.col(lat), F.col(lng))) \
-                .drop("_near", "cell_y", "cell_x")
-        return alerting.crossings(linked, "now", "was")
-
-    return crossed
-
-
 def stream_driving_events(positions: DataFrame, path: str, checkpoint: str,
                           available_now: bool = False,
                           lateness: str = "1 hour") -> StreamingQuery:
@@ -172,8 +152,14 @@ def stream_driving_events(positions: DataFrame, path: str, checkpoint: str,
 def stream_geofence(positions: DataFrame, fences: DataFrame, path: str, checkpoint: str,
                     available_now: bool = False, lateness: str = "1 hour") -> StreamingQuery:
     located = positions.filter("latitude is not null and longitude is not null")
-    return stream_linked(located, geofence_crossings_of(fences), path, checkpoint, available_now,
-                         lateness)
+    return stream_linked(located, lambda linked: alerting.crossings(linked, fences), path, checkpoint,
+                         available_now, lateness)
+
+
+def read_geofence_events(spark: SparkSession, path: str) -> DataFrame:
+    """The crossings found so far, exits with the dwell time: ENTRY and EXIT of a visit may come from batches far
+    apart and in any order, so they are paired when read."""
+    return alerting.with_dwell(spark.read.parquet(f"{path}/events").drop("batch"))
 
 
 def stream_stops(positions: DataFrame, gap: str = "5 minutes", delay: str = "10 minutes",
