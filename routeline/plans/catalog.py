@@ -828,3 +828,6 @@ def stream_rollup(spark, root):
         feeds.agent_positions(spark, root, table=feeds.stream_table), "1 day", ("zone_id",),
         measures=("speed_kmh",))
     return _drain(spark, rolled, "rollup")
+
+
+from routeline.plans import catalog_lake  # noqa: E402,F401  registers its queries

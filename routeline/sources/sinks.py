@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from routeline.operators.bronze import stamp
@@ -39,6 +39,21 @@ def materialize(name: str, df: DataFrame, kind: str, root: str | None = None,
     return stored
 
 
+def write_with_manifest(datasets: dict[str, DataFrame], root: str) -> DataFrame:
+    """Write each dataset to a folder below ``root``; one row per dataset with its rows and columns.
+
+    The rows are counted by an observation of the write itself, so nothing is read back. A task that is done
+    again because an executor was lost is observed once.
+    """
+    written = []
+    for name, df in datasets.items():
+        seen = Observation(name)
+        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(f"{root}/{name}")
+        written.append((name, seen.get["rows"], list(df.columns)))
+    spark = next(iter(datasets.values())).sparkSession
+    return spark.createDataFrame(written, "dataset string, rows long, columns array<string>")
+
+
 def write_report(report: DataFrame, path: str) -> None:
     """Append one JSON document per report row."""
     report.select(F.to_json(F.struct("*")).alias("value")).write.mode("append").text(path)

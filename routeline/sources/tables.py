@@ -71,13 +71,27 @@ def has_data(spark: SparkSession, path: str) -> bool:
         return False
 
 
+def dataset(spark: SparkSession, root: str, name: str) -> DataFrame | None:
+    """A dataset below ``root``, columns matched by name across files, bronze with its late rows; None if absent."""
+    paths = [DATASET_PATHS[name], *([f"bronze_late/{name}"] if name in BRONZE_PATHS else [])]
+    found = None
+    for path in paths:
+        try:
+            rows = read_parquet_tree(spark, f"{root}/{path}")
+        except FileNotFoundError:
+            continue
+        found = rows if found is None else found.unionByName(rows, allowMissingColumns=True)
+    return found
+
+
 def register_sources(spark: SparkSession, root: str) -> list[str]:
-    """Register every dataset below ``root`` as a temporary view, columns matched by name across
-    files; absent datasets are skipped. Returns the registered names."""
+    """Register every dataset below ``root`` as a temporary view; absent datasets are skipped. Returns the
+    registered names."""
     names = []
-    for name, path in DATASET_PATHS.items():
-        if has_data(spark, f"{root}/{path}"):
-            read_parquet_tree(spark, f"{root}/{path}").createOrReplaceTempView(name)
+    for name in DATASET_PATHS:
+        rows = dataset(spark, root, name)
+        if rows is not None:
+            rows.createOrReplaceTempView(name)
             names.append(name)
     return names
 
