@@ -105,11 +105,14 @@ def combine_shift_metrics(shifts: DataFrame, distance: DataFrame,
 
 
 def rank_agents(shifts: DataFrame, top: int = 3, slices: int | None = None) -> DataFrame:
-    """Ranks within the day and within zone and day, range by range, so a day is ranked by many tasks."""
+    """Ranks within the day, range by range, so that many tasks rank one day, and within zone and day, where
+    a ranked group is the staff of a zone."""
     best = [("successful_deliveries", True), ("delivery_success_rate", True), ("agent_id", False),
             ("zone_id", False), ("vehicle_type", False)]
-    ranked = with_rank(shifts, ("event_date",), best, "overall_rank", slices)
-    return with_rank(ranked, ("event_date", "zone_id"), best, "zone_rank", slices) \
+    zone = Window.partitionBy("event_date", "zone_id").orderBy(*[
+        F.desc(c) if larger else F.asc(c) for c, larger in best])
+    return with_rank(shifts, ("event_date",), best, "overall_rank", slices) \
+        .withColumn("zone_rank", F.row_number().over(zone)) \
         .withColumn("is_top_performer", F.col("zone_rank") <= top)
 
 

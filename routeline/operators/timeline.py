@@ -64,30 +64,28 @@ class _Ranges:
         place = F.struct(*self.keys, *line.order)
         picked = keyed.select(place.alias("place")).orderBy(F.xxhash64("place"), "place").limit(
             slices * SAMPLES)
-        sample = picked.agg(F.sort_array(F.collect_set("place"))).scalar()
-        # by index: every SAMPLES-th place ends a range
-        end = lambda i: F.get("_sample", i * SAMPLES + (SAMPLES - 1))
-        here = F.col("_place")
+        sample = picked.agg(F.sort_array(F.collect_set("place")).alias("s"))
+        every = lambda rest: sample.select(F.filter("s", lambda _, i: i % SAMPLES == rest)).scalar()
+        end, here, home = (lambda i: F.get("_ends", i)), F.col("_place"), F.col("_home")
 
         def narrowed(at: Column, step: Column) -> Column:
             return F.when(end(at + step - 1) < here, at + step).otherwise(at)
 
         steps = F.array(*[F.lit(1 << b) for b in reversed(range(slices.bit_length()))])
-        home = F.col("_home")
-        mine = lambda i: end(i)["_k0"].eqNullSafe(F.col("_k0")) if len(self.keys) == 1 else F.struct(
-            *[end(i)[k] for k in self.keys]).eqNullSafe(F.struct(*self.keys))
+        mine = lambda i: F.struct(*[end(i)[k] for k in self.keys]).eqNullSafe(F.struct(*self.keys))
         hosts = [F.array(home)]
         if before:
             hosts.append(F.when(end(home) == here, F.array(home + 1)))
         if after:
-            first = F.get("_sample", home * SAMPLES)
+            first = F.get("_firsts", home)
             hosts.append(F.when(mine(home - 1) & F.coalesce(here <= first, F.lit(True)),
                                 F.array(home - 1)))
         none = F.array().cast("array<int>")
         placed = (
-            keyed.withColumns({"_sample": sample, "_place": place})
+            keyed.withColumns({"_ends": every(SAMPLES - 1), "_place": place,
+                               **({"_firsts": every(0)} if after else {})})
             .withColumn("_home", F.reduce(steps, F.lit(0), narrowed))
-            .withColumn("_cut", mine(home) | (F.coalesce(mine(home - 1), F.lit(False))))
+            .withColumn("_cut", mine(home) | F.coalesce(mine(home - 1), F.lit(False)))
         )
         if len(hosts) > 1:
             placed = placed.withColumn("_range", F.explode(F.concat(
@@ -95,7 +93,7 @@ class _Ranges:
         else:
             placed = placed.withColumn("_range", home)
         self.rows = placed.withColumn("_guest", F.col("_range") != home).drop(
-            "_sample", "_place", "_home")
+            "_ends", "_firsts", "_place", "_home")
         self.window = Window.partitionBy(*self.where).orderBy(*line.order)
         self.running = self.window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         self.earlier = Window.partitionBy(*self.keys).orderBy("_range").rowsBetween(
