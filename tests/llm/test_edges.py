@@ -65,6 +65,17 @@ def test_url_lists(spark):
     assert urllists.evaluate(captures.limit(0), entries, "id").count() == 0
 
 
+def test_url_lists_repeated_and_null_keys(spark):
+    captures = spark.sql("select * from values (1,'http://a.com',date'2021-01-05','p'),(1,'http://b.com',date'2021-01-05','q'),"
+                         "(null,'http://a.com',date'2021-01-05','r'),(null,null,null,'s'),(1,'http://a.com',date'2021-01-05','p')"
+                         " t(id,url,day,host)")
+    entries = spark.sql("select 'block' list, 'a.com' domain, date'2021-01-02' day, 'add' action")
+    got = sorted((r.key or 0, r.host or "", r.matched, r.verdict) for r in urllists.evaluate(captures, entries, "id").collect())
+    assert got == [(0, "", None, "unlisted"), (0, "a.com", "a.com", "blocked"), (1, "a.com", "a.com", "blocked"),
+                   (1, "a.com", "a.com", "blocked"), (1, "b.com", None, "unlisted")]
+    assert {r.verdict for r in urllists.evaluate(captures, entries.limit(0), "id").collect()} == {"unlisted"}
+
+
 def test_language(docs, empty):
     model = language.train(docs)
     got = {r.doc_id: r for r in language.identify(docs, model).collect()}
