@@ -49,10 +49,11 @@ LANES = 1024
 WORDS = LANES // 32
 SLACK = 4.5
 FAN = 64
+SMALL = 32
 SEED = 20240501
 
-SMALL = 32
-FEATURES = "struct<n:bigint,d1:bigint,d2:bigint,bands:array<bigint>,bits:binary>"
+SIGNATURE = [f"s{i}" for i in range(WORDS)]
+FEATURES = ("struct<n:bigint,d1:bigint,d2:bigint,bands:array<bigint>," + ",".join(f"{s}:bigint" for s in SIGNATURE) + ">")
 
 
 def shingle_sets(texts: pa.Array, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -134,7 +135,7 @@ def features(size: int = SHINGLE):
     @F.arrow_udf(FEATURES)
     def signature(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for part in parts:
-            columns: list[list[np.ndarray]] = [[] for _ in range(5)]
+            columns: list[list[np.ndarray]] = [[] for _ in range(4 + WORDS)]
             for h, begin in shingle_sets(part, size):
                 n = np.diff(begin)
                 filled = np.flatnonzero(n)
@@ -149,17 +150,16 @@ def features(size: int = SHINGLE):
                 for r in range(BAND_ROWS):
                     band = mix(band + least[:, r::BAND_ROWS] + np.uint64(r + 1))
                 band = mix(band + np.arange(BANDS, dtype=np.uint64))
-                for column, values in zip(columns, [n, *digest, signed(band), packed(h, begin)], strict=True):
+                bits = signed(np.ascontiguousarray(packed(h, begin).T))
+                for column, values in zip(columns, [n, *digest, signed(band), *bits], strict=True):
                     column.append(values)
-            shapes = [0, 0, 0, (0, BANDS), (0, WORDS)]
-            n, d1, d2, band, bits = (np.concatenate(c) if c else np.zeros(shape, np.int64)
-                                     for c, shape in zip(columns, shapes, strict=True))
-            rows = np.arange(len(n) + 1, dtype=np.int32)
-            bands = pa.ListArray.from_arrays(pa.array(rows * np.int32(BANDS)), pa.array(np.ascontiguousarray(band).ravel()))
-            bits = pa.Array.from_buffers(pa.binary(), len(n), [
-                None, pa.py_buffer(rows * np.int32(WORDS * 8)), pa.py_buffer(np.ascontiguousarray(bits))])
-            yield pa.StructArray.from_arrays(
-                [*(pa.array(c.astype(np.int64)) for c in (n, d1, d2)), bands, bits], names=["n", "d1", "d2", "bands", "bits"])
+            flat = [np.concatenate(c) if c else np.zeros((0, BANDS) if i == 3 else 0, np.int64)
+                    for i, c in enumerate(columns)]
+            arrays = [pa.array(c.astype(np.int64)) for i, c in enumerate(flat) if i != 3]
+            offsets = pa.array(np.arange(len(flat[3]) + 1, dtype=np.int32) * BANDS, pa.int32())
+            bands = pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(flat[3]).ravel()))
+            arrays.insert(3, bands)
+            yield pa.StructArray.from_arrays(arrays, names=["n", "d1", "d2", "bands", *SIGNATURE])
 
     return signature
 
@@ -183,63 +183,49 @@ def confirmer(size: int = SHINGLE):
     return confirm
 
 
-def _words(bits: pa.Array) -> np.ndarray:
-    """Rows x WORDS of a binary column without NULLs."""
-    bits = bits.cast(pa.large_binary())
-    first = np.frombuffer(bits.buffers()[1], np.int64)[bits.offset] if len(bits) else 0
-    return np.frombuffer(bits.buffers()[2] or b"", np.uint8)[first:first + len(bits) * WORDS * 8].view(np.uint64).reshape(-1, WORDS)
+def signed_nodes(nodes: DataFrame, *columns: Column | str) -> DataFrame:
+    """``nodes`` with their sizes, signatures and numbers of filled lanes, declared never NULL.
 
-
-def alike(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
-    """Whether the corrected estimate of two signatures comes within SLACK deviations of the threshold."""
-    half = WORDS // 2
-    count = lambda words: np.bitwise_count(words).sum(axis=1, dtype=np.int64)
-    x_filled, y_filled = x[:, :half] | x[:, half:], y[:, :half] | y[:, half:]
-    fills = count(x_filled) + count(y_filled)
-    both = count(x_filled & y_filled)
-    unequal = count((x[:, :half] ^ y[:, :half]) | (x[:, half:] ^ y[:, half:]))
+    Without the NULL checks the comparison stays a method small enough for the JVM to compile.
+    """
+    zero = F.lit(0).cast("bigint")
+    filled = F.lit(0)
+    for low, high in zip(SIGNATURE[:WORDS // 2], SIGNATURE[WORDS // 2:]):
+        filled = filled + F.bit_count(F.col(low).bitwiseOR(F.col(high)))
+    return nodes.select("node", *columns, F.coalesce(filled, F.lit(0)).alias("filled"),
+                        *[F.coalesce(c, zero).alias(c) for c in ("n", *SIGNATURE)])
+
+
+def likely(left: str, right: str, percent: int) -> Column:
+    """Size bound, then the corrected estimate within SLACK deviations of the threshold."""
+    both, unequal = F.lit(0), F.lit(0)
+    for low, high in zip(SIGNATURE[:WORDS // 2], SIGNATURE[WORDS // 2:]):
+        x0, x1, y0, y1 = (F.col(f"{side}.{s}") for side in (left, right) for s in (low, high))
+        both = both + F.bit_count(x0.bitwiseOR(x1).bitwiseAND(y0.bitwiseOR(y1)))
+        unequal = unequal + F.bit_count(x0.bitwiseXOR(y0).bitwiseOR(x1.bitwiseXOR(y1)))
+    fills = F.col(f"{left}.filled") + F.col(f"{right}.filled")
     s = percent / 100
+    n, m = F.col(f"{left}.n"), F.col(f"{right}.n")
     # What to expect of two sets at similarity s: lanes filled in either, those filled in both but
     # unequal (a third agree by chance; few where the sets are small), and how far equal lanes stray,
     # since lanes sample the united set without replacement. Only the sizes enter.
-    united = (n + m) / (1 + s)
-    empty = lambda size: np.exp(-size / LANES)
-    lanes = (1 - empty(united)) * LANES
-    missed = np.maximum(0.05, 1 - lanes / united)
-    chance = (1 - empty(n) - empty(m) + empty(united)) * LANES - lanes * s
-    chance = np.maximum(chance, 0.0) * 1.5 + 2
-    deviation = np.sqrt(lanes * s * (1 - s) * missed + chance / 2)
+    united = (n + m) / F.lit(1 + s)
+    empty = lambda size: F.exp(-size / F.lit(float(LANES)))
+    lanes = (1 - empty(united)) * float(LANES)
+    missed = F.greatest(F.lit(0.05), 1 - lanes / united)
+    chance = (1 - empty(n) - empty(m) + empty(united)) * float(LANES) - lanes * s
+    chance = F.greatest(chance, F.lit(0.0)) * 1.5 + 2
+    deviation = F.sqrt(lanes * s * (1 - s) * missed + chance / 2)
     # equal lanes are (either - unequal - both/3) / (2/3); they should be s * either = s * (fills - both)
-    above = fills * (1.5 - s) - unequal * 1.5 - both * (2 - s)
-    return above >= deviation * -SLACK
-
-
-def estimator(percent: int):
-    """Arrow UDF (bits, bits, size, size) -> may the pair reach the threshold."""
-    @F.arrow_udf("boolean")
-    def estimate(parts: Iterator[tuple[pa.Array, pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for x, y, n, m in parts:
-            sizes = (c.to_numpy(zero_copy_only=False).astype(np.float64) for c in (n, m))
-            yield pa.array(alike(_words(x), _words(y), *sizes, percent))
-
-    return estimate
-
-
-def _sized(left: str, right: str, percent: int) -> Column:
-    n, m = F.col(f"{left}.n"), F.col(f"{right}.n")
-    return F.least(n, m) * 100 >= F.greatest(n, m) * percent
-
-
-def _likely(left: str, right: str, percent: int) -> Column:
-    return estimator(percent)(*(F.col(f"{side}.{c}") for c in ("bits", "n") for side in (left, right)))
+    above = fills * F.lit(1.5 - s) - unequal * F.lit(1.5) - both * F.lit(2 - s)
+    return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (above >= deviation * -SLACK)
 
 
 def _likely_pairs(pairs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that pass size bound and estimate; a signature travels once for each pair."""
     a, b = (bits.withColumnRenamed("node", f"__{x}").alias(f"side_{x}") for x in "ab")
-    return (pairs.join(a, F.col("a") == F.col("__a"))
-            .join(b, (F.col("b") == F.col("__b")) & _sized("side_a", "side_b", percent))
-            .filter(_likely("side_a", "side_b", percent)).select("a", "b"))
+    return (pairs.join(a, F.col("a") == F.col("__a")).join(b, F.col("b") == F.col("__b"))
+            .filter(likely("side_a", "side_b", percent)).select("a", "b"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -293,8 +279,10 @@ def relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full shingle sets reach the threshold."""
-    # the texts travel once: both joins read the same shuffle of (node, text)
-    texts = docs.select("node", "text")
+    # the ends are written first, so their size is known when the join is planned; then only the texts of ends travel,
+    # once: both joins read the same shuffle of (node, text)
+    ends = stored(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "ends")
+    texts = docs.select("node", "text").join(ends, "node", "left_semi")
     both = (pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
             .join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b"))
     found = both.withColumn("found", confirmer(size)("text_a", "text_b"))
@@ -314,7 +302,7 @@ def classify(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size:
     nodes = stored(
         filled.join(classes.select("node", "d1", "d2", "copies"), ["node", "d1", "d2"])
         .dropDuplicates(["node", "d1", "d2"]), "nodes")
-    bits = nodes.select("node", "n", "bits")
+    bits = signed_nodes(nodes)
 
     by_band = nodes.select("node", "copies", F.explode("bands").alias("band"))
     groups = by_band.groupBy("band").agg(
@@ -331,8 +319,6 @@ def classify(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size:
     read = docs.sparkSession.read.schema(pairs.schema).parquet
     labels = components(_confirmed(read(*tested), source, size, percent))
     members = members.filter("node <> centre").drop("centre")
-    # halves of the band hashes tell bands of one place apart well enough
-    bits = nodes.select("node", "n", "bits", F.transform("bands", lambda x: F.shiftright(x, 32).cast("int")).alias("bands"))
     half = F.shiftright("side_a.band", 32).cast("int")
     fan, texts = FAN, source
     while True:
@@ -344,10 +330,12 @@ def classify(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size:
         largest = named.agg(F.max("size")).first()[0]
         if largest is None:
             break
-        # rounds only lose members, so the texts and signatures of these serve all later ones
-        left = named.select("node").distinct()
+        # rounds only lose members, so the texts and signatures of these serve all later ones; written first, as above
+        left = stored(named.select("node").distinct(), "left")
         texts = stored(texts.join(left, "node", "left_semi"), "texts")
-        bits = stored(bits.join(left, "node", "left_semi"), "bits")
+        nodes = stored(nodes.join(left, "node", "left_semi"), "nodes")
+        # halves of the band hashes tell bands of one place apart well enough
+        bits = signed_nodes(nodes, F.transform("bands", lambda x: F.shiftright(x, 32).cast("int")).alias("bands"))
         centres = stored(
             named.groupBy("band", "size", F.pmod(F.xxhash64("node", F.lit(fan)), F.lit(fan)).alias("slot"))
             .agg(F.min_by(F.struct("node", "label"), "node").alias("c"))
@@ -366,9 +354,8 @@ def classify(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size:
         if largest > SMALL:
             # in a large group signatures come to the members, and a pair counts in the first of the bands it shares
             a, b = (side.filter(~few).join(bits, "node").alias(name) for side, name in ((centres, "side_a"), (named, "side_b")))
-            met = a.join(b, meet & _sized("side_a", "side_b", percent)
-                         & (F.array_intersect("side_a.bands", "side_b.bands")[0] == half))
-            met = met.filter(_likely("side_a", "side_b", percent)).select(*ends).distinct()
+            met = a.join(b, meet & likely("side_a", "side_b", percent)
+                         & (F.array_intersect("side_a.bands", "side_b.bands")[0] == half)).select(*ends).distinct()
             pairs = pairs.union(met.join(read(*tested), ["a", "b"], "left_anti")).distinct()
         fresh = scratch_path(docs.sparkSession, "likely")
         pairs.write.parquet(fresh)
