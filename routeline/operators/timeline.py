@@ -7,7 +7,8 @@ all rows, or all rows without a time, would stall the job. Here the rows are cut
 * The cuts are rows of the table: those with the smallest hashes form a random sample of
   ``slices * SAMPLES`` places, read as a scalar subquery over the key and order columns only. Every
   ``SAMPLES``-th is the last place of a range, so a range holds about 1 / slices of all rows, and a
-  key is cut as often as its size asks for. A row finds its range by binary search.
+  key is cut as often as its size asks for. Cuts are listed under the hash of their first key: a row
+  finds its range by binary search among those under its own, where there are any.
 * Rows move once, by (key, range), and are sorted once. The last row of a range is a known place, so
   that row is also sent to the next range, where ``lag`` finds it; for ``lead`` the rows up to the
   first sampled place of a range go to the range before. These guests leave after the window.
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 
 NULL_KEY = "␀"  # groups the rows whose key is NULL, as a window would
 SAMPLES = 16         # sampled places a range
+BUCKETS = 4096       # hashes of first keys under which cuts are listed
 
 
 @dataclass(frozen=True)
@@ -64,45 +66,69 @@ class _Ranges:
         place = F.struct(*self.keys, *line.order)
         picked = keyed.select(place.alias("place")).orderBy(F.xxhash64("place"), "place").limit(
             slices * SAMPLES)
-        sample = picked.agg(F.sort_array(F.collect_set("place")).alias("s"))
-        every = lambda rest: sample.select(F.filter("s", lambda _, i: i % SAMPLES == rest)).scalar()
-        end, here, home = (lambda i: F.get("_ends", i)), F.col("_place"), F.col("_home")
+        cuts, home, here = self._cuts(picked), F.col("_home"), F.col("_place")
+        found_at = F.get(cuts, F.pmod(F.hash(self.keys[0]), F.lit(BUCKETS)))
+        self.may_be_cut = found_at.isNotNull()
+        ends = lambda i: F.get(F.col("_at")["ends"], i)
 
         def narrowed(at: Column, step: Column) -> Column:
-            return F.when(end(at + step - 1) < here, at + step).otherwise(at)
+            return F.when(ends(at + step - 1)["place"] < here, at + step).otherwise(at)
+
+        def found(at: Column) -> Column:
+            mine = lambda end: F.struct(*[end["place"][k] for k in self.keys]).eqNullSafe(F.struct(*self.keys))
+            next_, prior = ends(at), ends(at - 1)
+            return F.struct((F.col("_at")["base"] + at).alias("home"), (next_["place"] == here).alias("last"),
+                            mine(prior).alias("follows"), F.coalesce(here <= prior["after"], F.lit(True)).alias("early"),
+                            (mine(next_) | mine(prior)).alias("cut"))
 
         steps = F.array(*[F.lit(1 << b) for b in reversed(range(slices.bit_length()))])
-        mine = lambda i: F.struct(*[end(i)[k] for k in self.keys]).eqNullSafe(F.struct(*self.keys))
-        hosts = [F.array(home)]
+        spot = F.col("_spot")
+        host = lambda place, guest: F.array(F.struct(place.alias("_range"), F.lit(guest).alias("_guest")))
+        hosts = [host(home, False)]
         if before:
-            hosts.append(F.when(end(home) == here, F.array(home + 1)))
+            hosts.append(F.when(spot["last"], host(home + 1, True)))
         if after:
-            first = F.get("_firsts", home)
-            hosts.append(F.when(mine(home - 1) & F.coalesce(here <= first, F.lit(True)),
-                                F.array(home - 1)))
-        none = F.array().cast("array<int>")
+            hosts.append(F.when(spot["follows"] & spot["early"], host(home - 1, True)))
+        none = F.array().cast("array<struct<_range:int,_guest:boolean>>")
         placed = (
-            keyed.withColumns({"_ends": every(SAMPLES - 1), "_place": place,
-                               **({"_firsts": every(0)} if after else {})})
-            .withColumn("_home", F.reduce(steps, F.lit(0), narrowed))
-            .withColumn("_cut", mine(home) | F.coalesce(mine(home - 1), F.lit(False)))
+            # NULL for nearly all keys that are not cut, so most rows carry no cuts and are not searched for
+            keyed.withColumns({"_place": place, "_at": found_at})
+            .withColumn("_spot", F.when(F.col("_at").isNotNull(), F.reduce(steps, F.lit(0), narrowed, found)))
+            .withColumns({"_home": F.coalesce(spot["home"], F.pmod(F.hash(*self.keys), F.lit(slices))),
+                          "_cut": F.coalesce(spot["cut"], F.lit(False))})
         )
         if len(hosts) > 1:
-            placed = placed.withColumn("_range", F.explode(F.concat(
-                *[F.coalesce(h, none) for h in hosts])))
+            placed = placed.select("*", F.inline(F.concat(*[F.coalesce(h, none) for h in hosts])))
         else:
-            placed = placed.withColumn("_range", home)
-        self.rows = placed.withColumn("_guest", F.col("_range") != home).drop(
-            "_ends", "_firsts", "_place", "_home")
+            placed = placed.withColumns({"_range": home, "_guest": F.lit(False)})
+        self.rows = placed.drop("_at", "_spot", "_place", "_home")
         self.window = Window.partitionBy(*self.where).orderBy(*line.order)
         self.running = self.window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         self.earlier = Window.partitionBy(*self.keys).orderBy("_range").rowsBetween(
             Window.unboundedPreceding, -1)
         self.position = F.struct(*line.order)
 
+    def _cuts(self, picked: DataFrame) -> Column:
+        """By the first key's hash: the number of the first cut and the cuts, each with the sampled place after it."""
+        sample = picked.agg(F.sort_array(F.collect_set("place")).alias("s"))
+        marked = F.transform("s", lambda p, i: F.struct(
+            i.alias("i"), p.alias("place"), F.get(F.col("s"), i + 1).alias("after")))
+        ends = sample.select(F.inline(F.filter(marked, lambda e: e["i"] % SAMPLES == SAMPLES - 1)))
+        listed = ends.groupBy(F.pmod(F.hash(F.col("place")[self.keys[0]]), F.lit(BUCKETS)).alias("bucket")).agg(
+            F.floor(F.min("i") / SAMPLES).cast("int").alias("base"),
+            F.sort_array(F.collect_list(F.struct("place", "after"))).alias("ends"))
+        table = listed.agg(F.map_from_entries(F.collect_list(F.struct("bucket", F.struct("base", "ends")))).alias("m"))
+        return table.select(F.transform(F.sequence(F.lit(0), F.lit(BUCKETS - 1)),
+                                        lambda b: F.try_element_at("m", b))).scalar()
+
     def carried(self, rows: DataFrame, within: Column, across: Column, name: str) -> DataFrame:
-        """``across`` over the ranges before, of ``within`` per range; only of keys that are cut."""
-        return (rows.filter("_cut and not _guest").groupBy(*self.where).agg(within.alias("_of"))
+        """``across`` over the ranges before, of ``within`` per range; only of keys that are cut.
+
+        The first condition needs a key alone, so it reaches the scans and few rows are built again. The last is
+        asked of the ranges: asked of the rows, it would be moved below the search and search again.
+        """
+        return (rows.filter(self.may_be_cut).filter("not _guest").groupBy(*self.where)
+                .agg(within.alias("_of"), F.max("_cut").alias("_cut")).filter("_cut")
                 .withColumn(name, across.over(self.earlier)).select(*self.where, name))
 
     def join(self, rows: DataFrame, carried: DataFrame) -> DataFrame:

@@ -144,3 +144,26 @@ def test_every_table_is_read_once(spark):
         assert leaves(build(scans)) == leaves(scans)
     positions = feeds.vehicle_positions(spark, ROOT)
     assert leaves(fleet.detect_driving_events(positions)) == leaves(positions)
+
+
+def test_a_row_is_searched_for_once_a_pass(spark):
+    """The condition on cut keys must not bring further copies of the search below the carried values."""
+    at = F.timestamp_seconds(F.lit(1704067200) + F.col("id"))
+    df = spark.range(2_000).select(*event((F.col("id") % 3).cast("string"), at))
+    got = with_last_seen(df, Timeline(keys=("key",), slices=40), F.col("event_id"), "v")
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("reduce(") == 2  # the rows, and the ranges that carry
+    w = Window.partitionBy("key").orderBy("event_timestamp", "event_id")
+    assert rows_of(got) == rows_of(df.withColumn("v", F.last("event_id", ignorenulls=True).over(w)))
+
+
+def test_rows_of_keys_without_cuts_carry_none(spark):
+    """A small key is one range of its own, and guests come from cut keys alone."""
+    at = F.timestamp_seconds(F.lit(1704067200) + F.col("id"))
+    key = F.when(F.col("id") % 2 == 0, "hot").otherwise(F.col("id").cast("string"))
+    rows = _Ranges(spark.range(20_000).select(*event(key, at)), Timeline(keys=("key",), slices=40),
+                   before=True, after=True).rows
+    assert rows.filter("key = 'hot'").select("_range").distinct().count() > 10
+    cold = rows.filter("key != 'hot' and not _cut")
+    assert cold.filter("_guest").count() == 0
+    assert cold.select("_range").distinct().count() == 40  # by hash, not by place
