@@ -7,8 +7,8 @@ all rows, or all rows without a time, would stall the job. Here the rows are cut
 * The cuts are rows of the table: those with the smallest hashes form a random sample of
   ``slices * SAMPLES`` places, read as a scalar subquery over the key and order columns only. Every
   ``SAMPLES``-th is the last place of a range, so a range holds about 1 / slices of all rows, and a
-  key is cut as often as its size asks for. Cuts are listed under the hash of their first key: a row
-  finds its range by binary search among those under its own, where there are any.
+  key is cut as often as its size asks for. Cuts are listed under the hash of their key: a row finds its
+  range by binary search among those under its own, where there are any.
 * Rows move once, by (key, range), and are sorted once. The last row of a range is a known place, so
   that row is also sent to the next range, where ``lag`` finds it; for ``lead`` the rows up to the
   first sampled place of a range go to the range before. These guests leave after the window.
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 NULL_KEY = "␀"  # groups the rows whose key is NULL, as a window would
 SAMPLES = 16         # sampled places a range
-BUCKETS = 4096       # hashes of first keys under which cuts are listed
+BUCKETS = 4096       # hashes of keys under which cuts are listed
 
 
 @dataclass(frozen=True)
@@ -67,7 +67,7 @@ class _Ranges:
         picked = keyed.select(place.alias("place")).orderBy(F.xxhash64("place"), "place").limit(
             slices * SAMPLES)
         cuts, home, here = self._cuts(picked), F.col("_home"), F.col("_place")
-        found_at = F.get(cuts, F.pmod(F.hash(self.keys[0]), F.lit(BUCKETS)))
+        found_at = F.get(cuts, F.pmod(F.hash(*self.keys), F.lit(BUCKETS)))
         self.may_be_cut = found_at.isNotNull()
         ends = lambda i: F.get(F.col("_at")["ends"], i)
 
@@ -81,7 +81,6 @@ class _Ranges:
                             mine(prior).alias("follows"), F.coalesce(here <= prior["after"], F.lit(True)).alias("early"),
                             (mine(next_) | mine(prior)).alias("cut"))
 
-        steps = F.array(*[F.lit(1 << b) for b in reversed(range(slices.bit_length()))])
         spot = F.col("_spot")
         host = lambda place, guest: F.array(F.struct(place.alias("_range"), F.lit(guest).alias("_guest")))
         hosts = [host(home, False)]
@@ -93,7 +92,7 @@ class _Ranges:
         placed = (
             # NULL for nearly all keys that are not cut, so most rows carry no cuts and are not searched for
             keyed.withColumns({"_place": place, "_at": found_at})
-            .withColumn("_spot", F.when(F.col("_at").isNotNull(), F.reduce(steps, F.lit(0), narrowed, found)))
+            .withColumn("_spot", F.when(F.col("_at").isNotNull(), F.reduce(F.col("_at")["steps"], F.lit(0), narrowed, found)))
             .withColumns({"_home": F.coalesce(spot["home"], F.pmod(F.hash(*self.keys), F.lit(slices))),
                           "_cut": F.coalesce(spot["cut"], F.lit(False))})
         )
@@ -109,22 +108,27 @@ class _Ranges:
         self.position = F.struct(*line.order)
 
     def _cuts(self, picked: DataFrame) -> Column:
-        """By the first key's hash: the number of the first cut and the cuts, each with the sampled place after it."""
+        """By the key's hash: the number of the first cut, the cuts, each with the sampled place after it, and the
+        steps of a binary search among them."""
         sample = picked.agg(F.sort_array(F.collect_set("place")).alias("s"))
         marked = F.transform("s", lambda p, i: F.struct(
             i.alias("i"), p.alias("place"), F.get(F.col("s"), i + 1).alias("after")))
         ends = sample.select(F.inline(F.filter(marked, lambda e: e["i"] % SAMPLES == SAMPLES - 1)))
-        listed = ends.groupBy(F.pmod(F.hash(F.col("place")[self.keys[0]]), F.lit(BUCKETS)).alias("bucket")).agg(
+        bucket = F.pmod(F.hash(*[F.col("place")[k] for k in self.keys]), F.lit(BUCKETS))
+        listed = ends.groupBy(bucket.alias("bucket")).agg(
             F.floor(F.min("i") / SAMPLES).cast("int").alias("base"),
             F.sort_array(F.collect_list(F.struct("place", "after"))).alias("ends"))
-        table = listed.agg(F.map_from_entries(F.collect_list(F.struct("bucket", F.struct("base", "ends")))).alias("m"))
+        steps = F.transform(F.sequence(F.length(F.bin(F.size("ends"))) - 1, F.lit(0)),
+                            lambda b: F.pow(F.lit(2), b).cast("int"))
+        table = listed.agg(F.map_from_entries(F.collect_list(F.struct(
+            "bucket", F.struct("base", "ends", steps.alias("steps"))))).alias("m"))
         return table.select(F.transform(F.sequence(F.lit(0), F.lit(BUCKETS - 1)),
                                         lambda b: F.try_element_at("m", b))).scalar()
 
     def carried(self, rows: DataFrame, within: Column, across: Column, name: str) -> DataFrame:
         """``across`` over the ranges before, of ``within`` per range; only of keys that are cut.
 
-        The first condition needs a key alone, so it reaches the scans and few rows are built again. The last is
+        The first condition needs the keys alone, so it reaches the scans and few rows are built again. The last is
         asked of the ranges: asked of the rows, it would be moved below the search and search again.
         """
         return (rows.filter(self.may_be_cut).filter("not _guest").groupBy(*self.where)

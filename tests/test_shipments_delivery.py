@@ -222,3 +222,22 @@ def test_first_reason_list_is_sorted_and_complete(spark):
         [("A", T0, r) for r in ("B", "A", "B", None)],
         "agent_id string, event_timestamp timestamp, failure_reason string")
     assert delivery.failure_reason_lists(day).first()["failure_reasons"] == ["A", "B", "B"]
+
+
+def test_reasons_are_spelled_out_after_the_joins_and_ranks(spark):
+    """Lists of failure reasons grow with a day; sorts and exchanges of shifts carry counts."""
+    root = "/root/testdata/sf0.001"
+    positions, deliveries = feeds.agent_positions(spark, root), feeds.delivery_events(spark, root)
+    shifts = delivery.agent_shifts(positions, deliveries)
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    try:
+        plan = shifts._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    spelled = [i for i, line in enumerate(plan) if "array_repeat" in line]
+    windows = [i for i, line in enumerate(plan) if "Window [" in line]
+    assert spelled == [0] and windows and min(windows) > 0
+    want = {(r.agent_id, r.event_date): r.failure_reasons
+            for r in delivery.failure_reason_lists(deliveries).collect()}
+    got = shifts.select("agent_id", "event_date", "failure_reasons").collect()
+    assert all(r.failure_reasons == want.get((r.agent_id, r.event_date)) for r in got) and want
