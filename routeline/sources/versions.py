@@ -221,7 +221,10 @@ class Generations:
     def _write(self, rows: DataFrame, version: int, level: int) -> dict:
         folder = self.versions.new_folder(version)
         bucket = self._bucket(F.col(self.key))
-        rows.withColumn("_bucket", bucket).repartition("_bucket").write.partitionBy("_bucket").parquet(
+        # a bucket is dealt to several tasks: streams run without adaptive execution, which would split large ones
+        spread = max(1, int(self.spark.conf.get("spark.sql.shuffle.partitions")) // self.buckets)
+        part = F.pmod(F.xxhash64(*rows.columns), F.lit(spread))
+        rows.withColumn("_bucket", bucket).repartition("_bucket", part).write.partitionBy("_bucket").parquet(
             f"{self.versions.path}/{folder}")
         return {"folder": folder, "level": level}
 

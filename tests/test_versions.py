@@ -138,3 +138,22 @@ def test_sla_merge(spark, tmp_path):
     got = table.read().drop("created_month")
     assert rows(got.filter(F.col("created_date") >= since)) == rows(full)
     assert got.count() == got.select("shipment_id").distinct().count()
+
+
+def test_a_generation_is_written_by_more_tasks_than_buckets(spark, tmp_path):
+    """One task a bucket would sort an eighth of a table of any size."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # as in a stream
+    try:
+        table = Generations(spark, str(tmp_path / "g"), "k", lambda d: d.groupBy("k").agg(F.max("v").alias("v")),
+                            buckets=2)
+        rows = spark.range(2_000).select((F.col("id") % 1_000).cast("string").alias("k"), F.col("id").alias("v"))
+        table.add(rows, 0)
+        files = spark.read.parquet(f"{tmp_path}/g/{table.live()[0]['folder']}").select(F.input_file_name()).distinct()
+        assert files.count() > 10
+        assert table.read().agg(F.count("k"), F.sum("v")).first()[:] == (1_000, sum(range(1_000, 2_000)))
+        assert table.read("7").first()["v"] == 1_007
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
