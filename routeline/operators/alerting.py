@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from routeline import contracts as C
 from routeline.functions import geo, labels
 from routeline.functions.clock import elapsed
-from routeline.operators.timeline import Timeline, with_islands, with_neighbours
+from routeline.operators.timeline import Timeline, with_neighbours, with_ranges
 
 ALERT_COLUMNS = ("module", "alert_type", "severity", "entity_type", "entity_id",
                  "alert_timestamp")
@@ -93,6 +92,8 @@ def route_alerts(alerts: DataFrame) -> DataFrame:
 
 FENCE_CELL_DEGREES = 0.01   # cells of level 0; each level doubles them
 FENCE_LEVELS = 17           # the largest cells span more than the globe
+LIST = 256                  # fences of one cell that a point meets in one row
+BLOCK = 4096                # points of one vehicle that are ordered by fence in one task
 
 
 def fence_cells(fences: DataFrame) -> DataFrame:
@@ -118,66 +119,133 @@ def _cell(degrees: Column) -> Column:
     return F.floor(degrees / (F.lit(FENCE_CELL_DEGREES) * F.pow(F.lit(2.0), F.col("level")))).cast("long")
 
 
-def fences_around(points: DataFrame, fences: DataFrame, lat: str = "latitude", lng: str = "longitude") -> DataFrame:
-    """One row per point and fence that contains it: an equi-join on the point's cell at each level in use."""
-    cells = fence_cells(fences)
-    levels = cells.agg(F.collect_set("level")).scalar()  # at most FENCE_LEVELS
+def fence_lists(fences: DataFrame, shown: Column) -> DataFrame:
+    """The fences of each cell in lists of at most ``LIST`` members: ``shown`` and the circle."""
+    cell = ("level", "cell_y", "cell_x")
+    placed = fence_cells(fences).withColumn("_list", F.floor(
+        (F.row_number().over(Window.partitionBy(*cell).orderBy("geofence_id")) - 1) / LIST))
+    member = F.struct(shown.alias("shown"), "center_lat", "center_lng", "radius_km")
+    return placed.groupBy(*cell, "_list").agg(F.collect_list(member).alias("_listed")).drop("_list")
+
+
+def fences_around(points: DataFrame, fences: DataFrame, shown: Column, lat: str = "latitude",
+                  lng: str = "longitude") -> DataFrame:
+    """Points with lists ``fences`` of those that contain them: an equi-join on the point's cell at each level in use.
+
+    A point has a row for each of the few lists that it meets, so what is moved is a point, not a point and fence.
+    """
+    lists = fence_lists(fences, shown)
+    levels = fence_cells(fences).agg(F.collect_set("level")).scalar()  # at most FENCE_LEVELS
     asked = points.withColumn("_levels", levels).withColumn("level", F.explode("_levels")).drop("_levels").withColumns({
         "cell_y": _cell(F.col(lat)), "cell_x": _cell(F.col(lng))})
-    near = geo.haversine_km(F.col(lat), F.col(lng), F.col("center_lat"), F.col("center_lng")) <= F.col("radius_km")
-    return asked.join(cells, ["level", "cell_y", "cell_x"]).filter(near).drop(
-        "level", "cell_y", "cell_x", "center_lat", "center_lng", "radius_km")
+
+    def near(fence: Column) -> Column:
+        north = F.abs(F.col(lat) - fence["center_lat"]) * 110.0 <= fence["radius_km"]  # cheap, and never wrong
+        return north & (geo.haversine_km(F.col(lat), F.col(lng), fence["center_lat"], fence["center_lng"]) <= fence["radius_km"])
+
+    met = asked.join(lists, ["level", "cell_y", "cell_x"]).filter(F.exists("_listed", near))
+    return met.withColumn("fences", F.transform(F.filter("_listed", near), lambda fence: fence["shown"])).drop(
+        "level", "cell_y", "cell_x", "_listed")
 
 
 _PLACE = ("event_id", "event_timestamp", "latitude", "longitude")
+_FENCE = ("geofence_id", "geofence_type")
 
 
 def geofence_events(positions: DataFrame, fences: DataFrame,
-                    line: Timeline = Timeline(keys=("vehicle_id",))) -> DataFrame:
+                    line: Timeline = Timeline(keys=("vehicle_id",)), block: int = BLOCK) -> DataFrame:
     """ENTRY and EXIT of every vehicle at every circular fence, exits with the dwell time.
 
     Points are numbered per vehicle; those in a fence with consecutive numbers are one visit, which begins with
-    an ENTRY and ends with an EXIT at the vehicle's next point. Only points within fences go past the join.
+    an ENTRY and ends with an EXIT at the vehicle's next point. Only points within fences go past the join. They
+    move with their lists of fences to blocks of ``block`` numbers, which are spelled out and ordered by fence where
+    they are; only the ends of visits that touch the edge of a block move once more.
     """
     points = positions.filter("latitude is not null and longitude is not null").select("vehicle_id", *_PLACE)
     numbered = with_neighbours(points.withColumn("_there", F.lit(True)), line, sequence="_number",
                                following={f"_next_{c}": c for c in (*_PLACE, "_there")})
-    visitor = ("vehicle_id", "geofence_id", "geofence_type")
-    inside = with_islands(
-        fences_around(numbered, fences), replace(line, keys=visitor, order=("_number",)),
-        lambda before, now: now("_number") != before("_number") + 1, ("_number",), island="_visit")
-    visits = inside.groupBy(*visitor, "_visit").agg(
-        F.min_by(F.struct(*_PLACE), "_number").alias("entry"),
-        F.max_by(F.struct("_next__there", *[F.col(f"_next_{c}").alias(c) for c in _PLACE]), "_number").alias("exit"))
-
+    number, at = F.col("_number"), F.struct("event_timestamp")
+    inside = (fences_around(numbered, fences, F.struct(*_FENCE))
+              .withColumn("_block", F.floor((number - 1) / block)).repartition("vehicle_id", "_block")
+              .select("vehicle_id", "_block", "_number", *_PLACE, *[f"_next_{c}" for c in (*_PLACE, "_there")],
+                      F.inline("fences")))
+    series = Window.partitionBy("vehicle_id", "_block", *_FENCE).orderBy("_number")
+    so_far = series.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before, after = F.lag("_number").over(series), F.lead("_number").over(series)
+    marked = inside.withColumns({
+        "_opens": F.coalesce(before != number - 1, F.lit(True)), "_closes": F.coalesce(after != number + 1, F.lit(True)),
+        "_head": before.isNull() & (number > 1) & ((number - 1) % block == 0),
+        "_tail": after.isNull() & (number % block == 0)})
+    marked = marked.withColumn("_begun", F.last(F.when(F.col("_opens"), F.struct(
+        at.alias("at"), F.col("_head").alias("head"))), ignorenulls=True).over(so_far))
+    head, tail, begun = F.col("_head"), F.col("_tail"), F.col("_begun")
+    within = _visit_ends(marked, F.col("_opens") & ~head, F.col("_closes") & ~tail & ~begun["head"], begun["at"])
+
+    # visits across blocks: where a block's last point is followed by the next one's first, neither is an end
+    edges = marked.filter(head | (F.col("_closes") & (tail | begun["head"])))
+    across = Window.partitionBy("vehicle_id", *_FENCE).orderBy("_number")
+    joined = edges.withColumns({
+        "_follows": head & F.coalesce(F.lag(F.when(tail, number)).over(across) == number - 1, F.lit(False)),
+        "_goes_on": tail & F.coalesce(F.lead(F.when(head, number)).over(across) == number + 1, F.lit(False))})
+    first = F.when(head & ~F.col("_follows"), at).when(~begun["head"], begun["at"])
+    joined = joined.withColumn("_since", F.last(first, ignorenulls=True).over(
+        across.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return within.unionByName(_visit_ends(joined, head & ~F.col("_follows"), F.col("_closes") & (
+        tail | begun["head"]) & ~F.col("_goes_on"), F.col("_since")))
+
+
+def _visit_ends(rows: DataFrame, enters: Column, leaves: Column, since: Column) -> DataFrame:
+    """An ENTRY at the row's place where it ``enters``, an EXIT at the next place, if there is one, where it ``leaves``."""
     def event(kind: str, place: str, dwell: Column) -> Column:
-        at = F.col(place)
-        return F.struct(F.lit(kind).alias("event_type"), *[at[c].alias(c) for c in _PLACE], dwell.alias("dwell_time_seconds"))
+        return F.struct(F.lit(kind).alias("event_type"), *[F.col(f"{place}{c}").alias(c) for c in _PLACE],
+                        dwell.alias("dwell_time_seconds"))
 
-    stay = elapsed(F.col("entry")["event_timestamp"], F.col("exit")["event_timestamp"], "seconds")
-    both = F.array(event("ENTRY", "entry", F.lit(None).cast("double")),
-                   F.when(F.col("exit")["_next__there"], event("EXIT", "exit", stay.cast("double"))))
-    return visits.select(*visitor, F.explode(F.array_compact(both)).alias("e")).select(
-        "e.event_id", *visitor, "e.event_type", "e.event_timestamp", "e.latitude", "e.longitude", "e.dwell_time_seconds")
+    stay = elapsed(since["event_timestamp"], F.col("_next_event_timestamp"), "seconds")
+    both = F.array(F.when(enters, event("ENTRY", "", F.lit(None).cast("double"))),
+                   F.when(leaves & F.col("_next__there"), event("EXIT", "_next_", stay.cast("double"))))
+    return rows.select("vehicle_id", *_FENCE, F.explode(F.array_compact(both)).alias("e")).select(
+        "e.event_id", "vehicle_id", *_FENCE, "e.event_type", "e.event_timestamp", "e.latitude", "e.longitude",
+        "e.dwell_time_seconds")
 
 
 def crossings(linked: DataFrame, fences: DataFrame) -> DataFrame:
-    """ENTRY and EXIT rows of points linked with the place before (``prev_lat``, ``prev_lng``)."""
+    """Points linked with the place before (``prev_lat``, ``prev_lng``) at which fences were ``entered`` or ``left``."""
     row = F.struct("vehicle_id", *_PLACE, "prev_lat", "prev_lng")
     ends = F.array(*[F.struct(F.lit(now).alias("now"), F.col(lat).alias("_lat"), F.col(lng).alias("_lng"))
                      for now, lat, lng in ((1, "latitude", "longitude"), (0, "prev_lat", "prev_lng"))])
     probes = linked.select(row.alias("p"), F.explode(ends).alias("e")).select("p", "e.*").filter(
         "_lat is not null and _lng is not null")
-    sides = fences_around(probes, fences, "_lat", "_lng").groupBy("p", "geofence_id", "geofence_type").agg(
-        F.min("now").alias("first"), F.max("now").alias("last"))
-    return sides.filter("first = last").select(
-        "p.event_id", "p.vehicle_id", "geofence_id", "geofence_type",
-        F.when(F.col("last") == 1, "ENTRY").otherwise("EXIT").alias("event_type"),
-        "p.event_timestamp", "p.latitude", "p.longitude")
-
-
-def with_dwell(events: DataFrame, line: Timeline = Timeline(keys=("vehicle_id", "geofence_id"))) -> DataFrame:
-    """Crossings with the seconds between an EXIT and the ENTRY before it."""
-    paired = with_neighbours(events, line, previous={"_since": "event_timestamp"})
-    return paired.withColumn("dwell_time_seconds", F.when(
-        F.col("event_type") == "EXIT", elapsed(F.col("_since"), F.col("event_timestamp"), "seconds"))).drop("_since")
+    # lists of texts are compared by hash, lists of structs member by member
+    around = fences_around(probes, fences, F.to_json(F.struct(*_FENCE)), "_lat", "_lng")
+    side = lambda now: F.flatten(F.collect_list(F.when(F.col("now") == now, F.col("fences"))))
+    sides = around.groupBy("p").agg(side(1).alias("here"), side(0).alias("there"))
+    named = fences.select(*_FENCE).schema
+    listed = lambda a, b: F.transform(F.array_except(a, b), lambda fence: F.from_json(fence, named))
+    return sides.filter("here <> there").select(
+        "p.vehicle_id", *[f"p.{c}" for c in _PLACE], listed("here", "there").alias("entered"),
+        listed("there", "here").alias("left"))
+
+
+def with_dwell(moves: DataFrame, line: Timeline = Timeline(keys=("vehicle_id",))) -> DataFrame:
+    """``crossings`` as ENTRY and EXIT rows, with the seconds between an EXIT and the ENTRY before it.
+
+    Points move once with their lists, which are spelled out and ordered by fence within a range of the vehicle's
+    points. Of a vehicle with several ranges, the last event at a fence in each also meets the EXIT that waits for it.
+    """
+    def event(kind: str):
+        return lambda fence: F.struct(*[fence[c].alias(c) for c in _FENCE], F.lit(kind).alias("event_type"))
+
+    rows = with_ranges(moves, line, "_range", "_cut").select(
+        "event_id", "vehicle_id", "_range", "_cut", F.inline(F.concat(
+            F.transform("entered", event("ENTRY")), F.transform("left", event("EXIT")))), *_PLACE[1:])
+    order, at, since = ("event_timestamp", "event_id"), F.struct("event_timestamp"), F.col("_since")
+    series = Window.partitionBy("vehicle_id", "_range", "geofence_id").orderBy(*order)
+    paired = rows.withColumns({"_since": F.lag(at).over(series), "_last": F.lead(F.lit(1)).over(series).isNull()})
+    waits = F.col("_cut") & (F.col("event_type") == "EXIT") & since.isNull()
+    whole = Window.partitionBy("vehicle_id", "geofence_id").orderBy(*order)
+    met = (paired.filter(F.col("_cut") & (F.col("_last") | since.isNull()))
+           .withColumns({"_waits": waits, "_since": F.lag(at).over(whole)}).filter("_waits").drop("_waits"))
+    return paired.filter(~waits).unionByName(met).select(
+        "event_id", "vehicle_id", *_FENCE, "event_type", *_PLACE[1:],
+        F.when(F.col("event_type") == "EXIT", elapsed(
+            since["event_timestamp"], F.col("event_timestamp"), "seconds")).alias("dwell_time_seconds"))

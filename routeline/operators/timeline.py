@@ -190,6 +190,12 @@ def with_islands(df: DataFrame, line: Timeline, starts: Rule, uses: tuple[str, .
     return out.select(*[c for c in df.columns if c not in added], *added)
 
 
+def with_ranges(df: DataFrame, line: Timeline, range_: str, cut: str) -> DataFrame:
+    """Move the rows of each (keys, ``range_``) to one task; ``cut`` tells the keys that have several ranges."""
+    placed = _Ranges(df, line).rows.withColumns({range_: F.col("_range"), cut: F.col("_cut")})
+    return placed.select(*[c for c in df.columns if c not in (range_, cut)], range_, cut).repartition(*line.keys, range_)
+
+
 def with_last_seen(df: DataFrame, line: Timeline, value: Column, alias: str) -> DataFrame:
     """Add the latest non-NULL ``value`` at or before each row: the as-of lookup of a merged
     series of observations and requests, linear in its length."""

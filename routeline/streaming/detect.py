@@ -158,7 +158,7 @@ def stream_geofence(positions: DataFrame, fences: DataFrame, path: str, checkpoi
 
 def read_geofence_events(spark: SparkSession, path: str) -> DataFrame:
     """The crossings found so far, exits with the dwell time: ENTRY and EXIT of a visit may come from batches far
-    apart and in any order, so they are paired when read."""
+    apart and in any order, so they are paired when read. Stored are points with the fences entered and left there."""
     return alerting.with_dwell(spark.read.parquet(f"{path}/events").drop("batch"))
 
 

@@ -4,6 +4,7 @@ import datetime as dt
 import math
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from routeline.operators import alerting
@@ -76,3 +77,46 @@ def test_a_fence_is_a_few_rows_whatever_its_radius(spark):
     sizes = [0.001, 0.5, 3.0, 40.0, 500.0, 4000.0]
     fences = spark.createDataFrame([(str(r), "HUB", 30.0, 77.0, r) for r in sizes], FENCES)
     assert alerting.fence_cells(fences).groupBy("geofence_id").count().agg(F.max("count")).first()[0] <= 4
+
+
+@pytest.mark.parametrize("block", [2, 3, 7])
+def test_visits_over_the_edges_of_blocks(spark, block):
+    rnd = random.Random(block)
+    points = [(f"e{i:03d}", rnd.choice(["a", "b", None]), T0 + dt.timedelta(minutes=i), 20.0 + rnd.choice([0, 0, 0, 1]),
+               77.0 + rnd.choice([0.0, 0.05])) for i in range(150)]
+    fences = [("wide", "CITY", 20.0, 77.0, 30.0), ("spot", "HUB", 20.0, 77.05, 0.5), ("none", "HUB", 40.0, 40.0, 1.0),
+              *[(f"f{i}", "TOLL", 20.0, 77.0, 1.0) for i in range(4)]]
+    p, f = spark.createDataFrame(points, POINTS), spark.createDataFrame(fences, FENCES)
+    assert found(alerting.geofence_events(p, f, block=block)) == walked(points, fences)
+
+
+def test_a_point_moves_once_however_many_fences_hold_it(spark):
+    fences = spark.range(200).select(
+        F.format_string("f%03d", "id").alias("geofence_id"), F.lit("HUB").alias("geofence_type"),
+        F.lit(20.005).alias("center_lat"), F.lit(77.005).alias("center_lng"), F.lit(0.5).alias("radius_km"))
+    at = [("e1", "v", T0, 20.005, 77.005), ("e2", "v", T0 + dt.timedelta(seconds=60), 21.0, 78.0),
+          ("e3", "v", T0 + dt.timedelta(seconds=90), 21.0, 78.0)]
+    points = spark.createDataFrame(at, POINTS)
+    around = alerting.fences_around(points, fences, F.col("geofence_id")).collect()
+    assert [(r["event_id"], len(set(r["fences"]))) for r in around] == [("e1", 200)]
+    linked = points.withColumns({"prev_lat": F.when(F.col("event_id") == "e2", 20.005), "prev_lng": F.when(F.col("event_id") == "e2", 77.005)})
+    moves = alerting.crossings(linked, fences)
+    assert sorted((r["event_id"], len(r["entered"]), len(r["left"])) for r in moves.collect()) == [("e1", 200, 0), ("e2", 0, 200)]
+    for slices in (1, 30):
+        got = alerting.with_dwell(moves, Timeline(("vehicle_id",), slices=slices))
+        assert got.groupBy("event_type", "dwell_time_seconds").count().orderBy("event_type").collect() == [
+            ("ENTRY", None, 200), ("EXIT", 60.0, 200)]
+
+
+def test_dwell_of_a_vehicle_with_several_ranges(spark):
+    """A stay longer than a range is paired with its ENTRY."""
+    fence = lambda name: [(name, "HUB")]
+    rows = [("e000", "v", T0, 1.0, 1.0, fence("long"), [])]
+    for i in range(1, 400):
+        rows.append((f"e{i:03d}", "v", T0 + dt.timedelta(seconds=i), 1.0, 1.0, *((fence("f"), []) if i % 2 else ([], fence("f")))))
+    rows.append(("e400", "v", T0 + dt.timedelta(seconds=400), 1.0, 1.0, [], fence("long")))
+    listed = "array<struct<geofence_id:string,geofence_type:string>>"
+    moves = spark.createDataFrame(rows, f"{POINTS}, entered {listed}, left {listed}")
+    for slices in (1, 10):
+        got = alerting.with_dwell(moves, Timeline(("vehicle_id",), slices=slices)).filter("event_type = 'EXIT'")
+        assert sorted((r["geofence_id"], r["dwell_time_seconds"]) for r in got.collect()) == [("f", 1.0)] * 199 + [("long", 400.0)]
