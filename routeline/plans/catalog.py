@@ -740,8 +740,9 @@ def stream_bronze(spark, root):
                   "vehicle_id")
     path = scratch_path(spark, "bronze")
     rows = ingest.bronze_rows(raw, "vehicle_positions")
-    ingest.write_stream(rows, f"{path}/table", f"{path}/checkpoint",
-                        available_now=True).awaitTermination()
+    with ingest.open_writers(spark):
+        ingest.write_stream(rows, f"{path}/table", f"{path}/checkpoint",
+                            available_now=True).awaitTermination()
     return spark.read.parquet(f"{path}/table").select(
         "event_id", "vehicle_id", "latitude", "longitude", "speed_kmh", "is_valid_location",
         "is_valid_speed")

@@ -22,8 +22,9 @@ AS_OF = "2024-02-01 00:00:00"
 def _ingested(spark: SparkSession, topic: str, feed: DataFrame, key: str, by: tuple[str, ...] = ("event_date",)) -> DataFrame:
     """A topic's feed as JSON messages, through the ingest stream into a bronze table."""
     path = scratch_path(spark, topic)
-    ingest.write_stream(ingest.bronze_rows(encoded(feed, topic, key), topic), f"{path}/table", f"{path}/checkpoint",
-                        partition_cols=by, available_now=True).awaitTermination()
+    with ingest.open_writers(spark):
+        ingest.write_stream(ingest.bronze_rows(encoded(feed, topic, key), topic), f"{path}/table", f"{path}/checkpoint",
+                            partition_cols=by, available_now=True).awaitTermination()
     return spark.read.parquet(f"{path}/table")
 
 

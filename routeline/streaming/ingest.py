@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager, nullcontext
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -25,10 +28,31 @@ def bronze_rows(raw: DataFrame, topic: str, as_of: Column | None = None) -> Data
     return FLAGS[topic](bronze.parse_events(raw, contract(topic), as_of))
 
 
+WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+OPEN_FILES = 32  # folders a task writes to at a time
+
+
+@contextmanager
+def open_writers(spark: SparkSession, files: int = OPEN_FILES) -> Iterator[None]:
+    """Within, a task writes rows to the folders of a partitioned table as they come, up to ``files`` at a time.
+
+    Otherwise it sorts all its rows by folder first and spills them. Rows of further folders are still sorted. A value
+    set by the user stays. The setting is the session's and read by every batch, so wait for the stream within.
+    """
+    if int(spark.conf.get(WRITERS)) > 0:
+        yield
+        return
+    spark.conf.set(WRITERS, str(files))
+    try:
+        yield
+    finally:
+        spark.conf.unset(WRITERS)
+
+
 def write_stream(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
                  partition_cols: tuple[str, ...] = ("event_date",),
                  available_now: bool = False, name: str | None = None) -> StreamingQuery:
-    """Append a stream to a partitioned table with its own checkpoint."""
+    """Append a stream to a partitioned table with its own checkpoint; see ``open_writers``."""
     writer = df.writeStream.format(fmt).outputMode("append") \
         .option("checkpointLocation", checkpoint)
     if partition_cols:
@@ -106,13 +130,14 @@ def run_streams(spark: SparkSession, root: str, checkpoints: str,
     unknown = set(topics) - set(CONTRACTS)
     if unknown:
         raise ValueError(f"unknown topics: {sorted(unknown)}")
-    queries = [
-        ingest(spark, topic, root, checkpoints,
-               **(options | ({"path": f"{folder}/{topic}"} if folder else {})))
-        for topic in topics]
-    if await_termination:
-        for running in queries:
-            running.awaitTermination()
+    with open_writers(spark) if await_termination else nullcontext():
+        queries = [
+            ingest(spark, topic, root, checkpoints,
+                   **(options | ({"path": f"{folder}/{topic}"} if folder else {})))
+            for topic in topics]
+        if await_termination:
+            for running in queries:
+                running.awaitTermination()
     return queries
 
 
