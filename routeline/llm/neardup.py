@@ -7,8 +7,8 @@
 2. Texts with equal sets (groups of exact copies, however large) become one class through the
    digest, an aggregate that is combined before its shuffle. Only one node per class goes on.
 3. Nodes that share a band are candidates. Groups are never paired off. In each round a group has a
-   few centres (first the node with most copies, then 64, 4096, ... by hash), each compared only with
-   members not yet known to be linked to it. Up to SMALL members, the pairs are named by their ids and signatures join
+   few centres (first the node with most copies, then 64, 4096, ... by hash, or all members where
+   these are at most WIDE times as many), each compared only with members not yet known to be linked to it. Up to SMALL members, the pairs are named by their ids and signatures join
    the distinct ones; in a larger group the signatures come to the members, and a pair counts only in the first band
    that it shares. A centre leaves its group after its round, and a group
    ends when its remaining members carry one label. So every pair of a group is either compared or
@@ -49,6 +49,7 @@ LANES = 1024
 WORDS = LANES // 32
 SLACK = 4.5
 FAN = 64
+WIDE = 4  # groups of up to WIDE times a round's centres are compared whole, at most WIDE / 2 times the centres' work
 SMALL = 32
 SEED = 20240501
 
@@ -330,20 +331,29 @@ def classify(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size:
         largest = named.agg(F.max("size")).first()[0]
         if largest is None:
             break
-        # rounds only lose members, so the texts and signatures of these serve all later ones; written first, as above
-        left = stored(named.select("node").distinct(), "left")
-        texts = stored(texts.join(left, "node", "left_semi"), "texts")
-        nodes = stored(nodes.join(left, "node", "left_semi"), "nodes")
-        # halves of the band hashes tell bands of one place apart well enough
-        bits = signed_nodes(nodes, F.transform("bands", lambda x: F.shiftright(x, 32).cast("int")).alias("bands"))
-        centres = stored(
-            named.groupBy("band", "size", F.pmod(F.xxhash64("node", F.lit(fan)), F.lit(fan)).alias("slot"))
-            .agg(F.min_by(F.struct("node", "label"), "node").alias("c"))
-            .select("band", "size", F.col("c.node").alias("node"), F.col("c.label").alias("label")), "centres")
-        named = named.join(centres.select("band", "node", F.lit(True).alias("centre")), ["band", "node"], "left")
+        if fan == FAN:
+            # rounds only lose members, so the texts and signatures of these serve all later ones; written first, as above
+            left = stored(named.select("node").distinct(), "left")
+            texts = stored(texts.join(left, "node", "left_semi"), "texts")
+            nodes = stored(nodes.join(left, "node", "left_semi"), "nodes")
+            # halves of the band hashes tell bands of one place apart well enough
+            bits = signed_nodes(nodes, F.transform("bands", lambda x: F.shiftright(x, 32).cast("int")).alias("bands"))
+        last = largest <= WIDE * fan
+        if last:
+            named = named.withColumn("centre", F.lit(True))
+        else:
+            whole = F.col("size") <= WIDE * fan
+            wide = named.filter(~whole)
+            first = (wide.groupBy("band", F.pmod(F.xxhash64("node", F.lit(fan)), F.lit(fan)).alias("slot"))
+                     .agg(F.min("node").alias("node")).select("band", "node", F.lit(True).alias("first")))
+            # written, since the pairs read it from both sides and the next round once more
+            named = stored(named.filter(whole).withColumn("centre", F.lit(True)).unionByName(
+                wide.join(first, ["band", "node"], "left")
+                .select("band", "node", "label", "size", F.col("first").isNotNull().alias("centre"))), "marked")
+        centres = named.filter("centre")
         # two centres meet once
         meet = ((F.col("side_a.band") == F.col("side_b.band")) & (F.col("side_a.label") != F.col("side_b.label"))
-                & (F.col("side_b.centre").isNull() | (F.col("side_a.node") < F.col("side_b.node"))))
+                & (~F.col("side_b.centre") | (F.col("side_a.node") < F.col("side_b.node"))))
         ends = [F.least("side_a.node", "side_b.node").alias("a"), F.greatest("side_a.node", "side_b.node").alias("b")]
         # the few pairs of a small group are named by ids, and signatures join the distinct ones
         few = F.col("size") <= SMALL
@@ -363,7 +373,9 @@ def classify(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size:
         links = stored(_confirmed(read(fresh), texts, size, percent), "links")
         if not links.isEmpty():
             labels = relabelled(labels, links)
-        members = named.filter("centre is null").select("band", "node")
+        if last:
+            break
+        members = named.filter("not centre").select("band", "node")
         fan *= FAN
     return _answer(seen, classes, labels)
 
