@@ -36,13 +36,13 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from routeline.llm.common import BASE_A, BASE_B, RunHash, mix, span_hash
+from routeline.llm.common import BASE_A, BASE_B, mix, span_hash
 
 SEED = 20240501
 TEMPERATURE = 0.5
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = 0x2581
-CHUNK_CHARS = 1 << 17  # characters handled together; a longer text is a chunk of its own
+CHUNK_CHARS = 1 << 18  # characters handled together; a longer text is a chunk of its own
 WORD_CELLS = 1 << 14    # characters of distinct words handled together
 EMPTY, NO_PIECE = -2, -1
 BYTE_PENALTY = 4.0      # added cost of a spelt-out character
@@ -108,7 +108,7 @@ def load(path: str = MODEL) -> Vocabulary:
     entries = dict.fromkeys(hashes.tolist(), NO_PIECE)
     entries.update(zip(hashes[ends - 1].tolist(), plain, strict=True))
     slots = 1 << int(np.ceil(np.log2(len(entries) * 4)))
-    keys, ids = np.zeros(slots, np.uint64), np.full(slots, EMPTY, np.int64)
+    keys, ids = np.zeros(slots, np.uint64), np.full(slots, EMPTY, np.int32)
     for h, i in entries.items():
         at = h & (slots - 1)
         while ids[at] != EMPTY:
@@ -126,15 +126,17 @@ def load(path: str = MODEL) -> Vocabulary:
 def find(vocabulary: Vocabulary, h: np.ndarray) -> np.ndarray:
     """Piece id per hash, NO_PIECE if pieces begin with it, else EMPTY."""
     mask = np.uint64(len(vocabulary.keys) - 1)
-    at = h & mask
-    out = np.full(len(h), EMPTY, np.int64)
-    left = np.arange(len(h))
+    at = (h & mask).view(np.int64)
+    out = vocabulary.ids.take(at)
+    # nearly all are settled by the first slot; the others go on from slot to slot
+    left = np.flatnonzero((out != EMPTY) & (vocabulary.keys.take(at) != h))
+    at = at[left]
     while len(left):
-        ids = vocabulary.ids[at[left]]
-        hit = (ids != EMPTY) & (vocabulary.keys[at[left]] == h[left])
-        out[left[hit]] = ids[hit]
-        left = left[(ids != EMPTY) & ~hit]
-        at[left] = (at[left] + np.uint64(1)) & mask
+        at = (at + 1) & np.int64(mask)
+        ids = vocabulary.ids.take(at)
+        out[left] = ids
+        on = (ids != EMPTY) & (vocabulary.keys.take(at) != h[left])
+        left, at = left[on], at[on]
     return out
 
 
@@ -159,72 +161,78 @@ class Lattice:
     """Forward tables of a block of distinct words, padded to the longest."""
 
     def __init__(self, v: Vocabulary, flat: np.ndarray, begin: np.ndarray, length: np.ndarray):
+        # Words lie along the last axis, so that each step works on long runs of numbers
         n, width = len(begin), int(length.max())
         most = min(v.longest, width)
         self.length = length
-        at = np.minimum(begin[:, None] + np.arange(width), len(flat) - 1)
+        at = np.minimum(begin + np.arange(width)[:, None], len(flat) - 1)
         codes = flat[at].astype(np.int64)
         spelt = (codes == SPACE) | (codes == 0)          # literal U+2581: bytes only
         codes = np.where(codes == 32, SPACE, codes)
         utf8 = 1 + (codes > 0x7F) + (codes > 0x7FF) + (codes > 0xFFFF)
         utf8 = np.where(codes == SPACE, np.where(spelt, 3, 1), utf8)
         # doubles: the sums of a long word are far from 0, and only their differences decide
-        self.alpha = np.full((n, width + 1), -np.inf)
-        self.alpha[:, 0] = 0.0
-        runs = RunHash(mix(codes.ravel().astype(np.uint64) + np.uint64(BASE_B)), BASE_A)
-        # from each start, grow while some piece begins with what has been read
-        s = np.flatnonzero((np.arange(width) < length[:, None]).ravel() & ~spelt.ravel())
-        room = (length[:, None] - np.arange(width)).ravel()
-        literal = spelt.ravel()
+        alpha = np.full((width + 1, n), -np.inf)
+        alpha[0] = 0.0
+        # from each start, grow while some piece begins with what has been read; its hash grows along
+        stop = np.ones((width + 1, n), bool)
+        stop[:width] = spelt | (np.arange(width)[:, None] >= length)
+        stop = stop.ravel()
+        values = mix(codes.ravel().astype(np.uint64) + np.uint64(BASE_B))
+        s = np.flatnonzero(~stop)
+        total = np.zeros(len(s), np.uint64)
         found = []
         for size in range(1, most + 1):
-            ids = find(v, runs(s, s + size))
-            hit = ids >= 0
-            found.append((s[hit], ids[hit]))
-            s = s[(ids != EMPTY) & (room[s] > size)]
-            s = s[~literal[s + size]] if len(s) else s
-            if not len(s):
+            end = s + (size - 1) * n
+            total += values.take(end) * np.uint64(pow(BASE_A, size - 1, 1 << 64))
+            ids = find(v, mix(total + np.uint64(size * BASE_B % (1 << 64))))
+            hit = np.flatnonzero(ids >= 0)
+            found.append((end[hit], ids[hit]))
+            on = np.flatnonzero((ids != EMPTY) & ~stop.take(end + n))
+            if not len(on):
                 break
+            s, total = s[on], total[on]
         most = len(found)
-        # edge[i, j, l]: the piece of l+1 characters that ends after character j; -1 none
-        self.edge = np.full((n, width, most), -1, np.int32)
-        self.cumulated = np.zeros((n, width, most + 1), np.float32)  # last: the spelt character
-        for size, (s, ids) in enumerate(found, 1):
-            self.edge[s // width, s % width + size - 1, size - 1] = ids
+        # edge[l, j, i]: the piece of l+1 characters that ends after character j of word i; -1 none
+        self.edge = np.full((most, width, n), -1, np.int32)
+        weight = np.full((most, width, n), -np.inf, np.float32)
+        cumulated = np.ones((width, most + 1, n), np.float32)  # last: the spelt character
+        for size, (end, ids) in enumerate(found):
+            self.edge[size].put(end, ids)
+            weight[size].put(end, v.weight.take(ids))
         floor = np.float32(v.weight[np.isfinite(v.weight)].min())
         spell = floor - np.float32(BYTE_PENALTY) * utf8.astype(np.float32)
         for j in range(width):
-            ids = self.edge[:, j, :]
             reach = min(j + 1, most)
-            back = np.full((n, most + 1), -np.inf)
-            back[:, :reach] = self.alpha[:, j::-1][:, :reach] if j < most else self.alpha[:, j:j - reach:-1]
-            back[:, :most] += v.weight[ids]
-            back[:, most] = np.where(ids[:, 0] < 0, self.alpha[:, j] + spell[:, j], -np.inf)
-            top = back.max(axis=1)
-            p = np.exp(back - top[:, None])
-            total = p.sum(axis=1)
-            self.alpha[:, j + 1] = top + np.log(total)
-            self.cumulated[:, j, :] = np.cumsum(p, axis=1) / total[:, None]
-        self.codes, self.spelt = codes, spelt
+            p = np.empty((reach + 1, n))
+            np.add(alpha[j - reach + 1:j + 1][::-1], weight[:reach, j], out=p[:reach])
+            p[reach] = np.where(self.edge[0, j] < 0, alpha[j] + spell[j], -np.inf)
+            top = p.max(axis=0)
+            p -= top
+            np.exp(p, out=p)
+            np.cumsum(p, axis=0, out=p)
+            alpha[j + 1] = top + np.log(p[reach])
+            np.divide(p[:reach], p[reach], out=cumulated[j, :reach], casting="same_kind")
+            cumulated[j, reach:most] = cumulated[j, reach - 1]
+        self.cumulated = cumulated.transpose(0, 2, 1).reshape(width * n, most + 1)
+        self.codes, self.spelt = codes.ravel(), spelt.ravel()
 
     def sample(self, word: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, ...]:
         """For each occurrence, its pieces from the last to the first: (occurrence, step, end, length)."""
         at = self.length[word].astype(np.int64)
+        most, width, n = self.edge.shape
         live = np.arange(len(word))
         out = []
         step = 0
         while len(live):
-            w, j = word[live], at[live] - 1
+            place = (at[live] - 1) * n + word[live]
             u = (mix(key[live] + np.uint64(step * BASE_B % (1 << 64))) >> np.uint64(40)).astype(np.float32) * np.float32(2.0 ** -24)
-            c = self.cumulated[w, j]
-            pick = (c <= u[:, None]).sum(axis=1)
-            last = c.shape[1] - 1
-            # rounding can leave the last sum below u: take the last edge that exists
-            pick = np.minimum(pick, (c < c[:, -1:]).sum(axis=1))
-            spelt = pick == last
+            # the first sum above u; the last sum is 1, and u is less
+            pick = (self.cumulated.take(place, axis=0) > u[:, None]).argmax(axis=1)
+            spelt = pick == most
             size = np.where(spelt, 1, pick + 1)
-            ids = np.where(spelt, -1, self.edge[w, j, np.minimum(pick, last - 1)])
-            out.append((live, np.full(len(live), step), ids, self.codes[w, j], self.spelt[w, j]))
+            ids = np.where(spelt, -1, self.edge.take(np.minimum(pick, most - 1) * (width * n) + place))
+            out.append((live, np.full(len(live), step), ids, self.codes[place], self.spelt[place]))
             at[live] -= size
             live = live[at[live] > 0]
             step += 1

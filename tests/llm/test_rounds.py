@@ -1,7 +1,10 @@
 """How much work the rounds of near-duplicate search and the chunks of the piece sampler take, on small made rows."""
 
+import numpy as np
+import pyarrow as pa
+
 import brute
-from routeline.llm import neardup
+from routeline.llm import neardup, pieces
 
 
 def _unlinked(n: int) -> list[tuple[int, str]]:
@@ -36,3 +39,25 @@ def test_groups_larger_than_a_round_s_centres(spark, monkeypatch):
     monkeypatch.setattr(neardup, "SMALL", 2)
     rows = _unlinked(24)
     assert _classes(spark, rows) == brute.near_classes(rows)
+
+
+def test_equal_words_of_a_batch_share_a_lattice(monkeypatch):
+    words = [f"wo{i}rd{i * 7919 % 1000}" for i in range(500)]
+    texts = pa.array([" ".join(words[(k * 37 + i) % 500] for i in range(400)) for k in range(60)] + [None, "", "\u2581 \U0001F600\n"])
+    keys = pa.array(np.arange(len(texts), dtype=np.int64))
+    vocabulary, init, seen = pieces.load(), pieces.Lattice.__init__, []
+    monkeypatch.setattr(pieces.Lattice, "__init__", lambda self, v, flat, begin, length: (
+        seen.append(len(begin)), init(self, v, flat, begin, length))[1])
+
+    def encoded(chunk=None):
+        seen.clear()
+        if chunk:
+            monkeypatch.setattr(pieces, "CHUNK_CHARS", chunk)
+        return pieces._encoded(vocabulary, texts, keys, 1), sum(seen)
+
+    assert 1 << 17 < sum(len(t or "") for t in texts.to_pylist()) < 1 << 18
+    ids, lattices = encoded()
+    again, more = encoded(1 << 12)
+    _, once = encoded(1 << 30)
+    assert lattices == once < more and ids.equals(again)  # before, two chunks each made their own
+    assert pieces._decoded(np.array(vocabulary.pieces, dtype=object), ids).equals(texts)
