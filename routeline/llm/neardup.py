@@ -7,13 +7,14 @@
 2. Texts with equal sets (groups of exact copies, however large) become one class through the
    digest, an aggregate that is combined before its shuffle. Only one node per class goes on.
 3. Nodes that share a band are candidates. Groups are never paired off. In each round a group has a
-   few centres (first the node with most copies, then 64, 4096, ... by hash, or all members where
-   these are at most WIDE times as many), each compared only with members not yet known to be linked to it. Up to SMALL members, the pairs are named by their ids and signatures join
-   the distinct ones; in a larger group the signatures come to the members, and a pair counts only in the first band
-   that it shares. A centre leaves its group after its round, and a group
-   ends when its remaining members carry one label. So every pair of a group is either compared or
-   already known to be in one component: no link between components is lost, and a group of n
-   alike copies costs n comparisons.
+   few centres (first the node with most copies, then 64, 4096, ... by hash, or all members outside the
+   group's commonest component where these are at most WIDE times as many), each compared only with
+   members not yet known to be linked to it. Up to SMALL members, the pairs are named by their ids and
+   signatures join the distinct ones; in a larger group the signatures come to the members, which meet
+   the centres in blocks of about BLOCK, and a pair counts only in the first band that it shares. A
+   centre leaves its group after its round, and a group ends when its remaining members carry one
+   label. So every pair of a group is either compared or already known to be in one component: no link
+   between components is lost, and a group of n alike copies costs n comparisons.
 4. A candidate first passes a size bound and the similarity estimated from the packed words by bit
    counts: of u lanes filled in either node and b filled in both, e are equal; a third of unequal
    fillings agree by chance, so s = (e - b/3) / (2/3) / u. It must come within SLACK standard
@@ -49,8 +50,9 @@ LANES = 1024
 WORDS = LANES // 32
 SLACK = 4.5
 FAN = 64
-WIDE = 4  # groups of up to WIDE times a round's centres are compared whole, at most WIDE / 2 times the centres' work
+WIDE = 8  # up to WIDE times a round's centres outside its commonest component, a group is compared whole
 SMALL = 32
+BLOCK = 512
 SEED = 20240501
 
 SIGNATURE = [f"s{i}" for i in range(WORDS)]
@@ -184,16 +186,20 @@ def confirmer(size: int = SHINGLE):
     return confirm
 
 
-def signed_nodes(nodes: DataFrame, *columns: Column | str) -> DataFrame:
+def signed_nodes(nodes: DataFrame, percent: int, *columns: Column | str) -> DataFrame:
     """``nodes`` with their sizes, signatures and numbers of filled lanes, declared never NULL.
 
-    Without the NULL checks the comparison stays a method small enough for the JVM to compile.
+    Without the NULL checks and the exponentials, which are taken here once a node, the comparison stays a
+    method small enough for the JVM to compile: ``void`` is the share of lanes that a set of this size leaves empty,
+    and the product of two ``spare`` that which the united set does if the similarity is just ``percent``.
     """
     zero = F.lit(0).cast("bigint")
     filled = F.lit(0)
     for low, high in zip(SIGNATURE[:WORDS // 2], SIGNATURE[WORDS // 2:]):
         filled = filled + F.bit_count(F.col(low).bitwiseOR(F.col(high)))
+    empty = lambda lanes: F.coalesce(F.exp(-F.col("n") / F.lit(float(lanes))), F.lit(1.0))
     return nodes.select("node", *columns, F.coalesce(filled, F.lit(0)).alias("filled"),
+                        empty(LANES).alias("void"), empty(LANES * (1 + percent / 100)).alias("spare"),
                         *[F.coalesce(c, zero).alias(c) for c in ("n", *SIGNATURE)])
 
 
@@ -211,10 +217,10 @@ def likely(left: str, right: str, percent: int) -> Column:
     # unequal (a third agree by chance; few where the sets are small), and how far equal lanes stray,
     # since lanes sample the united set without replacement. Only the sizes enter.
     united = (n + m) / F.lit(1 + s)
-    empty = lambda size: F.exp(-size / F.lit(float(LANES)))
-    lanes = (1 - empty(united)) * float(LANES)
+    empty = F.col(f"{left}.spare") * F.col(f"{right}.spare")
+    lanes = (1 - empty) * float(LANES)
     missed = F.greatest(F.lit(0.05), 1 - lanes / united)
-    chance = (1 - empty(n) - empty(m) + empty(united)) * float(LANES) - lanes * s
+    chance = (1 - F.col(f"{left}.void") - F.col(f"{right}.void") + empty) * float(LANES) - lanes * s
     chance = F.greatest(chance, F.lit(0.0)) * 1.5 + 2
     deviation = F.sqrt(lanes * s * (1 - s) * missed + chance / 2)
     # equal lanes are (either - unequal - both/3) / (2/3); they should be s * either = s * (fills - both)
@@ -287,8 +293,8 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Da
     both = (pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
             .join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b"))
     found = both.withColumn("found", confirmer(size)("text_a", "text_b"))
-    return (found.filter((F.col("found.shared") * 100 >= F.col("found.united") * percent))
-            .select("a", "b").distinct())
+    # a pair comes again where ids repeat; components() makes links distinct
+    return found.filter(F.col("found.shared") * 100 >= F.col("found.united") * percent).select("a", "b")
 
 
 def classify(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = SHINGLE,
@@ -298,12 +304,12 @@ def classify(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size:
     seen = stored(source.withColumn("f", features(size)("text")).select("node", "f.*"), "shingles")
     filled = seen.filter("n > 0 and node is not null")
     # one node per distinct set; its band hashes and bits are the same for all rows of the class
-    classes = stored(filled.groupBy("d1", "d2", "n").agg(
-        F.min("node").alias("node"), F.count("*").alias("copies")), "classes")
+    copied = filled.groupBy("d1", "d2", "n").agg(F.min("node").alias("node"), F.count("*").alias("copies"))
     nodes = stored(
-        filled.join(classes.select("node", "d1", "d2", "copies"), ["node", "d1", "d2"])
+        filled.join(copied.select("node", "d1", "d2", "copies"), ["node", "d1", "d2"])
         .dropDuplicates(["node", "d1", "d2"]), "nodes")
-    bits = signed_nodes(nodes)
+    classes = nodes.select("d1", "d2", "n", "node")
+    bits = signed_nodes(nodes, percent)
 
     by_band = nodes.select("node", "copies", F.explode("bands").alias("band"))
     groups = by_band.groupBy("band").agg(
@@ -325,29 +331,34 @@ def classify(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size:
     while True:
         named = (members.join(labels, "node", "left")
                  .select("band", "node", F.coalesce("label", "node").alias("label")))
-        open_groups = (named.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size"))
-                       .filter("lo < hi").select("band", "size"))
+        # what is not in a group's commonest component so far: only pairs with such an end are left to compare
+        shares = named.groupBy("band", "label").agg(F.count("*").alias("members"))
+        open_groups = (shares.groupBy("band").agg(
+            F.sum("members").alias("size"), F.max(F.struct("members", "label")).alias("most")).filter("size > most.members")
+            .select("band", "size", (F.col("size") - F.col("most.members")).alias("rest"), F.col("most.label").alias("common")))
         named = stored(named.join(open_groups, "band"), "open")
-        largest = named.agg(F.max("size")).first()[0]
+        largest, rest = named.agg(F.max("size"), F.max("rest")).first()
         if largest is None:
             break
+        last = rest <= WIDE * fan
         if fan == FAN:
             # rounds only lose members, so the texts and signatures of these serve all later ones; written first, as above
             left = stored(named.select("node").distinct(), "left")
-            texts = stored(texts.join(left, "node", "left_semi"), "texts")
+            if not last:
+                texts = stored(texts.join(left, "node", "left_semi"), "texts")
             nodes = stored(nodes.join(left, "node", "left_semi"), "nodes")
             # halves of the band hashes tell bands of one place apart well enough
-            bits = signed_nodes(nodes, F.transform("bands", lambda x: F.shiftright(x, 32).cast("int")).alias("bands"))
-        last = largest <= WIDE * fan
+            bits = signed_nodes(nodes, percent, F.transform("bands", lambda x: F.shiftright(x, 32).cast("int")).alias("bands"))
+        outside = (F.col("label") != F.col("common")).alias("centre")
         if last:
-            named = named.withColumn("centre", F.lit(True))
+            named = named.select("band", "node", "label", "size", outside)
         else:
-            whole = F.col("size") <= WIDE * fan
+            whole = F.col("rest") <= WIDE * fan
             wide = named.filter(~whole)
             first = (wide.groupBy("band", F.pmod(F.xxhash64("node", F.lit(fan)), F.lit(fan)).alias("slot"))
                      .agg(F.min("node").alias("node")).select("band", "node", F.lit(True).alias("first")))
             # written, since the pairs read it from both sides and the next round once more
-            named = stored(named.filter(whole).withColumn("centre", F.lit(True)).unionByName(
+            named = stored(named.filter(whole).select("band", "node", "label", "size", outside).unionByName(
                 wide.join(first, ["band", "node"], "left")
                 .select("band", "node", "label", "size", F.col("first").isNotNull().alias("centre"))), "marked")
         centres = named.filter("centre")
@@ -358,21 +369,22 @@ def classify(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size:
         # the few pairs of a small group are named by ids, and signatures join the distinct ones
         few = F.col("size") <= SMALL
         a, b = centres.filter(few).alias("side_a"), named.filter(few).alias("side_b")
-        pairs = _likely_pairs(
-            a.join(b, meet).select(*ends).distinct().join(read(*tested), ["a", "b"], "left_anti"),
-            bits.drop("bands"), percent)
+        pairs = _likely_pairs(a.join(b, meet).select(*ends).distinct(), bits.drop("bands"), percent)
         if largest > SMALL:
-            # in a large group signatures come to the members, and a pair counts in the first of the bands it shares
-            a, b = (side.filter(~few).join(bits, "node").alias(name) for side, name in ((centres, "side_a"), (named, "side_b")))
-            met = a.join(b, meet & likely("side_a", "side_b", percent)
-                         & (F.array_intersect("side_a.bands", "side_b.bands")[0] == half)).select(*ends).distinct()
-            pairs = pairs.union(met.join(read(*tested), ["a", "b"], "left_anti")).distinct()
+            # in a large group signatures come to the members, and a pair counts in the first of the bands it shares;
+            # a member is in one block of its group and a centre in all of them, so no task gets a whole large group
+            blocks = F.ceil(F.col("size") / BLOCK)
+            of_a, of_b = F.explode(F.sequence(F.lit(0), blocks - 1)), F.pmod(F.xxhash64("node"), blocks)
+            a, b = (side.filter(~few).join(bits, "node").withColumn("block", block)
+                    .repartition("band", "block").alias(name)
+                    for side, block, name in ((centres, of_a, "side_a"), (named, of_b, "side_b")))
+            met = a.join(b, meet & (F.col("side_a.block") == F.col("side_b.block")) & likely("side_a", "side_b", percent)
+                         & (F.array_intersect("side_a.bands", "side_b.bands")[0] == half)).select(*ends)
+            pairs = pairs.union(met).distinct()
         fresh = scratch_path(docs.sparkSession, "likely")
-        pairs.write.parquet(fresh)
+        pairs.join(read(*tested), ["a", "b"], "left_anti").write.parquet(fresh)
         tested.append(fresh)
-        links = stored(_confirmed(read(fresh), texts, size, percent), "links")
-        if not links.isEmpty():
-            labels = relabelled(labels, links)
+        labels = relabelled(labels, _confirmed(read(fresh), texts, size, percent))
         if last:
             break
         members = named.filter("not centre").select("band", "node")

@@ -41,6 +41,35 @@ def test_groups_larger_than_a_round_s_centres(spark, monkeypatch):
     assert _classes(spark, rows) == brute.near_classes(rows)
 
 
+def _mostly_linked(copies: int, others: int) -> list[tuple[int, str]]:
+    """Copies of one text with one new word each, which are linked, and texts that share bands with it at similarity 0.72."""
+    unlinked = [text for _, text in _unlinked(others)[:others]]
+    rows = [" ".join(f"t{i}" for i in range(100)) + f" more{k}" for k in range(copies)] + unlinked
+    return list(enumerate(rows))
+
+
+def test_a_group_of_one_large_component_is_compared_in_one_round(spark, monkeypatch):
+    rounds = []
+    path = neardup.scratch_path
+    monkeypatch.setattr(neardup, "scratch_path", lambda s, name: (rounds.append(name), path(s, name))[1])
+    monkeypatch.setattr(neardup, "FAN", 4)
+    monkeypatch.setattr(neardup, "WIDE", 1)
+    rows = _mostly_linked(24, 4)
+    assert _classes(spark, rows) == brute.near_classes(rows)
+    assert rounds.count("likely") == 2  # before, the size of the whole group decided, and slots left members to later rounds
+
+
+def test_large_groups_meet_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "SMALL", 2)
+    monkeypatch.setattr(neardup, "BLOCK", 5)
+    rows = _mostly_linked(12, 18) + [(100 + k, text) for k, text in _unlinked(18)[18:]]
+    want = brute.near_classes(rows)
+    assert _classes(spark, rows) == want
+    monkeypatch.setattr(neardup, "FAN", 3)
+    monkeypatch.setattr(neardup, "WIDE", 1)
+    assert _classes(spark, rows) == want
+
+
 def test_equal_words_of_a_batch_share_a_lattice(monkeypatch):
     words = [f"wo{i}rd{i * 7919 % 1000}" for i in range(500)]
     texts = pa.array([" ".join(words[(k * 37 + i) % 500] for i in range(400)) for k in range(60)] + [None, "", "\u2581 \U0001F600\n"])
